@@ -9,6 +9,9 @@ from footfall.functions.money import amount, units
 from footfall.functions.status import CANCELLED, COMPLETED, became
 from footfall.functions.time import activity_day
 
+# What the daily roll-up reads of an order.
+ORDER_COLUMNS = ("order_id", "user_id", "status", "created_at", "updated_at")
+
 
 def _order_units(order_items: DataFrame) -> DataFrame:
     return order_items.groupBy("order_id").agg(
@@ -51,9 +54,7 @@ def daily_user_orders(
     the later day and takes nothing back from the earlier one, so a sequence of
     daily runs and one run over everything differ by design.
     """
-    transitions = status_transitions(
-        orders.select("order_id", "user_id", "status", "created_at", "updated_at"), previous
-    )
+    transitions = status_transitions(orders.select(*ORDER_COLUMNS), previous)
 
     def count(flag: str):
         return F.sum(F.col(flag).cast("long"))

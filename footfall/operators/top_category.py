@@ -29,10 +29,11 @@ def rankings(
     categories, however many raw rows the key has. For the winner alone use
     ``top_category``.
     """
-    ranks = {
-        name: F.row_number().over(
-            W.partitionBy(*keys).orderBy(*[F.desc(s) for s in scores], F.asc(category))
-        )
-        for name, scores in specs.items()
-    }
-    return df.select(*keys, category, *[rank.alias(name) for name, rank in ranks.items()])
+    def rank(scores: Sequence[str]) -> Column:
+        best_first = [F.desc(s) for s in scores]
+        window = W.partitionBy(*keys).orderBy(*best_first, F.asc(category))
+        return F.row_number().over(window).cast("long")
+
+    return df.select(
+        *keys, category, *[rank(scores).alias(name) for name, scores in specs.items()]
+    )

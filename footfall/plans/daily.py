@@ -6,13 +6,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from footfall.operators.batch import batch_filter
 from footfall.operators.events import DAY_KEYS, daily_user_events
 from footfall.operators.features import behavior_features
 from footfall.operators.history import as_of
-from footfall.operators.orders import daily_user_orders
+from footfall.operators.orders import ORDER_COLUMNS, daily_user_orders
 from footfall.params import RunParams
 from footfall.sources.registry import Sources
 from footfall.storage import files
@@ -25,6 +26,8 @@ from footfall.storage.tables import (
     recover,
 )
 
+# One million keys of 8 bytes: some tens of megabytes as a hash table.
+BROADCAST_KEYS = 1_000_000
 ORDER_KEYS = ("user_id", "activity_date")
 # Orders change far less often than events happen: their daily rows are kept by month.
 EVENT_LAYOUT = Layout()
@@ -60,24 +63,29 @@ class Targets:
         return spark.read.parquet(self.path(step))
 
 
-def _batch(
-    spark: SparkSession,
-    sources: Sources,
-    table: str,
-    moment: str,
-    day: str,
-    target: str,
-    params: RunParams,
-    full_refresh: bool,
-) -> DataFrame:
-    """The rows to process: the interval, or everything where there is no target yet."""
+def _is_incremental(spark: SparkSession, target: str, full_refresh: bool) -> bool:
     recover(spark, target, 1)
-    rows = sources[table]
-    if full_refresh or not files.exists(spark, target):
-        return rows
+    return not full_refresh and files.exists(spark, target)
+
+
+def _batch(rows: DataFrame, moment: str, day: str, params: RunParams) -> DataFrame:
     return batch_filter(rows, moment, params, day if day in rows.columns else None)
 
 
+def _rows_of(df: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """``df`` without rows that cannot meet ``batch`` on ``key``, an integer.
+
+    The range of keys reaches the scan and skips files. If the batch has few enough
+    keys, they go to every task and the rest of ``df`` is dropped before any shuffle;
+    otherwise the join that follows sorts it out.
+    """
+    low, high, count = batch.agg(F.min(key), F.max(key), F.count("*")).head()
+    near = df.where(F.col(key).between(F.lit(low), F.lit(high)))
+    if count > BROADCAST_KEYS:
+        return near
+    return near.join(F.broadcast(batch.select(key)), key, "left_semi")
+
+
 def orders_snapshot(
     spark: SparkSession, sources: Sources, targets: Targets, params: RunParams, full_refresh: bool
 ) -> None:
@@ -97,9 +105,9 @@ def int_daily_user_events(
     spark: SparkSession, sources: Sources, targets: Targets, params: RunParams, full_refresh: bool
 ) -> None:
     path = targets.path("int_daily_user_events")
-    events = _batch(
-        spark, sources, "events", "created_at", "created_day", path, params, full_refresh
-    )
+    events = sources["events"]
+    if _is_incremental(spark, path, full_refresh):
+        events = _batch(events, "created_at", "created_day", params)
     incremental_replace(
         spark,
         daily_user_events(events),
@@ -116,13 +124,20 @@ def int_daily_user_orders(
 ) -> None:
     """Compares the batch with the history recorded up to ``params.as_of``."""
     path = targets.path("int_daily_user_orders")
-    orders = _batch(
-        spark, sources, "orders", "updated_at", "updated_day", path, params, full_refresh
-    )
+    staged = f"{path}.orders"
+    orders, items = sources["orders"], sources["order_items"]
     history = read_history(
         spark, targets.path("orders_snapshot"), sources.logical("orders").schema
     )
-    batch = daily_user_orders(orders, as_of(history, params.as_of), sources["order_items"])
+    previous = as_of(history, params.as_of)
+    if _is_incremental(spark, path, full_refresh):
+        # The batch is small beside the tables it meets: write it down, and narrow them.
+        batch = _batch(orders, "updated_at", "updated_day", params).select(*ORDER_COLUMNS)
+        batch.write.mode("overwrite").parquet(staged)
+        orders = spark.read.schema(batch.schema).parquet(staged)
+        previous = _rows_of(previous, orders, "order_id")
+        items = _rows_of(items, orders, "order_id")
+    batch = daily_user_orders(orders, previous, items)
     incremental_replace(
         spark,
         batch,
@@ -132,6 +147,7 @@ def int_daily_user_orders(
         sort_by=("user_id",),
         full_refresh=full_refresh,
     )
+    files.delete(spark, staged)
 
 
 def build_behavior_features(

@@ -111,9 +111,9 @@ FROM {part}
 """
 
 DISTRIBUTION_CENTERS = """
-SELECT CAST(n_nationkey AS bigint) AS id, n_name AS name,
-  CAST(n_nationkey * 1.5 AS {float}) AS latitude, CAST(n_regionkey * -0.25 AS {float}) AS longitude
-FROM {nation}
+SELECT s_suppkey AS id, s_name AS name,
+  CAST(s_nationkey * 1.5 AS {float}) AS latitude, CAST(s_nationkey * -0.25 AS {float}) AS longitude
+FROM {supplier}
 """
 
 INVENTORY_ITEMS = """
@@ -128,7 +128,7 @@ SELECT p_partkey * 2 AS id, p_partkey AS product_id,
 FROM {part}
 """
 
-_INPUTS = ("nation", "customer", "part", "orders", "lineitem", "events")
+_INPUTS = ("nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 _SPARK = {"ntz": "timestamp_ntz", "text": "string", "float": "float"}
 _CHECK = {"ntz": "timestamp", "text": "varchar", "float": "float"}
 
