@@ -8,6 +8,7 @@ from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from footfall.functions.time import ntz, valid_at
@@ -15,8 +16,20 @@ from footfall.functions.time import ntz, valid_at
 META = ("scd_id", "meta_updated_at", "valid_from", "valid_to")
 
 
+def _unique(source: DataFrame, key: str) -> DataFrame:
+    # Placed and sorted by key as the join that follows needs it, so this costs no shuffle.
+    copy = F.row_number().over(W.partitionBy(key).orderBy(key))
+    message = F.concat(F.lit(f"{key} occurs more than once: "), F.col(key).cast("string"))
+    single = F.when(F.col("copy") == 1, True).otherwise(F.raise_error(message).cast("boolean"))
+    return source.withColumn("copy", copy).where(single).drop("copy")
+
+
 def first_versions(source: DataFrame, key: str, run_ts: datetime) -> DataFrame:
-    """Every row of ``source`` as an open version that starts at ``run_ts``."""
+    """Every row of ``source`` as an open version that starts at ``run_ts``.
+
+    A key that occurs twice stops the job.
+    """
+    source = _unique(source, key)
     now = ntz(run_ts)
     return source.select(
         "*",

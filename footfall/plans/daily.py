@@ -35,12 +35,12 @@ ORDER_LAYOUT = Layout(monthly=True)
 STEPS = ("orders_snapshot", "int_daily_user_events", "int_daily_user_orders", "behavior_features")
 
 _STORED = {
-    "int_daily_user_events": StructType.fromDDL(
+    "int_daily_user_events": (
         "user_id bigint, activity_date date, browser string, traffic_source string, "
         "event_count bigint, last_event_time timestamp_ntz, last_event_type string, "
         "last_event_uri string, session_count bigint, total_session_duration bigint"
     ),
-    "int_daily_user_orders": StructType.fromDDL(
+    "int_daily_user_orders": (
         "user_id bigint, activity_date date, last_order_time timestamp_ntz, "
         "completed_order_count bigint, cancelled_order_count bigint, "
         "total_completed_order_amount double, total_cancelled_order_amount double"
@@ -59,7 +59,7 @@ class Targets:
 
     def read(self, spark: SparkSession, step: str) -> DataFrame:
         if step in _STORED:
-            return read_partitioned(spark, self.path(step), _STORED[step])
+            return read_partitioned(spark, self.path(step), StructType.fromDDL(_STORED[step]))
         return spark.read.parquet(self.path(step))
 
 

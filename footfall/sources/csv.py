@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions.time import ntz
@@ -35,16 +35,37 @@ SHAPES = {
 }
 
 PROBLEMS = "problems"
+LINE = "line"  # whole text of a line with too few or too many values
 
 
 def read_text(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """All columns as text, by header name; each file's header is checked.
+    """All columns as text, by header name; stops at a line that does not fit the header.
 
-    ``multiline`` admits line breaks inside quotes, at the price that a file can no
-    longer be split between tasks.
+    Every file's header is checked. ``multiline`` admits line breaks inside quotes, at
+    the price that a file can no longer be split between tasks.
     """
-    return spark.read.csv(
-        path, header=True, quote='"', escape='"', enforceSchema=False, multiLine=multiline
+    return _reader(spark, multiline).option("mode", "FAILFAST").csv(path)
+
+
+def _reader(spark: SparkSession, multiline: bool) -> DataFrameReader:
+    # A quote inside quotes is doubled. Without pruning every line is counted out.
+    return spark.read.options(
+        header=True,
+        quote='"',
+        escape='"',
+        enforceSchema=False,
+        columnPruning=False,
+        multiLine=multiline,
+    )
+
+
+def _read_text_and_broken_lines(spark: SparkSession, path: str, multiline: bool) -> DataFrame:
+    header = _reader(spark, multiline).csv(path).schema
+    return (
+        _reader(spark, multiline)
+        .schema(header.add(LINE, "string"))
+        .options(mode="PERMISSIVE", columnNameOfCorruptRecord=LINE)
+        .csv(path)
     )
 
 
@@ -63,65 +84,64 @@ def _parse(text: Column, kind: str) -> Column:
     return text.try_cast(SPARK_TYPES[kind])
 
 
-def _typed(raw: DataFrame, table: Table, load_ts: datetime) -> DataFrame:
-    """Logical columns of ``table``, and under ``PROBLEMS`` the names of unreadable ones."""
+def _kinds(raw: DataFrame, table: Table) -> dict[str, str]:
+    """Columns to read: those of the table, and system columns that the file may bring."""
     absent = [name for name in table.columns if name not in raw.columns]
     if absent:
         raise ValueError(f"the file has no column {', '.join(absent)}")
-    values, problems = {}, []
+    brought = [n for n in table.system if table.system_in_file and n in raw.columns]
+    return {**table.columns, **{name: "datetime?" for name in brought}}
+
 
-    def read(name: str, kind: str, missing: Column) -> Column:
+def _is_given(text: Column) -> Column:
+    return text.isNotNull() & (text != "")
+
+
+def _typed(raw: DataFrame, table: Table, load_ts: datetime, *extra: Column, stop: bool) -> DataFrame:
+    """Logical columns of ``table``. Unreadable text stops the job or counts as missing."""
+
+    def value(name: str, kind: str) -> Column:
         text = F.col(f"`{name}`")
-        given = text.isNotNull() & (text != "")
-        value = _parse(text, kind)
-        problems.append(F.when(given & value.isNull(), F.lit(name)))
-        return F.when(given, value).otherwise(missing.cast(SPARK_TYPES[kind]))
-
-    for name, kind in table.columns.items():
-        values[name] = read(name, kind, F.lit(MISSING[kind]))
-    stamps = {}
-    for name, rule in table.system.items():
-        default = ntz(load_ts) if rule == LOAD_TIME else F.col(rule)
-        if table.system_in_file and name in raw.columns:
-            values[f"file_{name}"] = read(name, "datetime", F.lit(None))
-            default = F.coalesce(F.col(f"file_{name}"), default)
-        stamps[name] = default
-
-    typed = raw.select(
-        *[value.alias(name) for name, value in values.items()],
-        F.filter(F.array(*problems), lambda p: p.isNotNull()).alias(PROBLEMS),
-        F.struct(*[F.col(f"`{c}`") for c in raw.columns]).alias("raw"),
-    )
+        missing = F.lit(MISSING[kind]).cast(SPARK_TYPES[kind])
+        if stop:
+            problem = F.raise_error(F.concat(F.lit(f"cannot read {name}: "), text))
+            missing = F.when(_is_given(text), problem.cast(SPARK_TYPES[kind])).otherwise(missing)
+        return F.coalesce(_parse(text, kind), missing)
+
+    kinds = _kinds(raw, table)
+    typed = raw.select(*[value(name, kind).alias(name) for name, kind in kinds.items()], *extra)
     for name, sql in table.derived.items():
         typed = typed.withColumn(name, F.expr(sql))
-    return typed.select(
-        *table.columns,
-        *table.derived,
-        *[value.alias(name) for name, value in stamps.items()],
-        PROBLEMS,
-        "raw",
-    )
+    for name, rule in table.system.items():
+        default = ntz(load_ts) if rule == LOAD_TIME else F.col(rule)
+        own = F.coalesce(F.col(name), default) if name in kinds else default
+        typed = typed.withColumn(name, own)
+    return typed
 
 
 def read_csv(
     spark: SparkSession, name: str, path: str, load_ts: datetime, multiline: bool = False
 ) -> DataFrame:
     """Table ``name`` from its CSV; text that does not fit its column stops the job."""
-    typed = _typed(read_text(spark, path, multiline), TABLES[name], load_ts)
-    message = F.concat(
-        F.lit(f"{name}: cannot read "), F.array_join(PROBLEMS, ", "), F.lit(" in "), F.to_json("raw")
-    )
-    sound = F.when(F.size(PROBLEMS) == 0, True).otherwise(F.raise_error(message).cast("boolean"))
-    return typed.where(sound).drop(PROBLEMS, "raw")
+    table = TABLES[name]
+    raw = read_text(spark, path, multiline)
+    return _typed(raw, table, load_ts, stop=True).select(*table.logical)
 
 
 def read_csv_with_rejects(
     spark: SparkSession, name: str, path: str, load_ts: datetime, multiline: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Sound rows of the table, and the others as text with their problems."""
-    typed = _typed(read_text(spark, path, multiline), TABLES[name], load_ts)
-    sound = typed.where(F.size(PROBLEMS) == 0).drop(PROBLEMS, "raw")
-    return sound, typed.where(F.size(PROBLEMS) > 0).select("raw.*", PROBLEMS)
+    """Sound rows of the table, and the others as text with the names of bad columns."""
+    table = TABLES[name]
+    raw = _read_text_and_broken_lines(spark, path, multiline)
+    bad = [
+        F.when(_is_given(F.col(f"`{c}`")) & _parse(F.col(f"`{c}`"), kind).isNull(), F.lit(c))
+        for c, kind in _kinds(raw, table).items()
+    ]
+    bad.append(F.when(F.col(LINE).isNotNull(), F.lit(LINE)))
+    checked = raw.withColumn(PROBLEMS, F.filter(F.array(*bad), lambda p: p.isNotNull()))
+    sound = _typed(checked.where(F.size(PROBLEMS) == 0), table, load_ts, stop=False)
+    return sound.select(*table.logical), checked.where(F.size(PROBLEMS) > 0)
 
 
 def write_table(df: DataFrame, name: str, target: str, mode: str = "append") -> None:

@@ -50,12 +50,6 @@ def read_history(spark: SparkSession, path: str, source: StructType) -> DataFram
     return read_partitioned(spark, path, schema).drop(MONTH)
 
 
-def _require_unique(source: DataFrame, key: str) -> None:
-    repeated = source.groupBy(key).count().where("count > 1").head()
-    if repeated is not None:
-        raise ValueError(f"{key} {repeated[0]} occurs {repeated[1]} times in the source")
-
-
 def update_snapshot(
     spark: SparkSession,
     source: DataFrame,
@@ -67,10 +61,10 @@ def update_snapshot(
 ) -> None:
     """Records the state of ``source`` at ``run_ts``.
 
-    Running again on the same state adds nothing. Runs must move forward in time.
+    Running again on the same state adds nothing. Runs must move forward in time, and
+    the source must hold a key once.
     """
     recover(spark, path, len(_PARTITIONS))
-    _require_unique(source, key)
     month = F.date_format(F.col(month_of), "yyyyMM")
     if not files.exists(spark, path):
         versions = first_versions(source, key, run_ts).withColumn(MONTH, month)
