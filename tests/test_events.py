@@ -1,0 +1,104 @@
+from __future__ import annotations
+
+from datetime import date, datetime
+
+from footfall.operators.events import (
+    as_joined_per_event,
+    daily_user_events,
+    last_event_per_user_day,
+    session_durations,
+)
+
+EVENT = (
+    "id bigint, user_id bigint, sequence_number bigint, session_id string, "
+    "created_at timestamp_ntz, browser string, traffic_source string, uri string, "
+    "event_type string"
+)
+
+
+def event(number, session, moment, user=1, sequence=1, browser="Chrome", source="Search"):
+    return (number, user, sequence, session, moment, browser, source, f"/{number}", f"t{number}")
+
+
+def test_session_across_midnight_counts_on_both_days(rows):
+    events = rows(
+        EVENT,
+        event(1, "a", "2024-01-01 23:59:00"),
+        event(2, "a", "2024-01-01 23:59:30"),
+        event(3, "a", "2024-01-02 00:10:00"),
+        event(4, "a", "2024-01-02 00:10:05"),
+    )
+    got = {
+        r.activity_date: (r.event_count, r.session_count, r.total_session_duration)
+        for r in daily_user_events(events).collect()
+    }
+    assert got == {date(2024, 1, 1): (2, 1, 30), date(2024, 1, 2): (2, 1, 5)}
+
+
+def test_session_is_split_by_browser_and_source(rows):
+    events = rows(
+        EVENT,
+        event(1, "a", "2024-01-01 10:00:00"),
+        event(2, "a", "2024-01-01 10:01:00", browser="Safari"),
+        event(3, "a", "2024-01-01 10:02:00", source="Email"),
+    )
+    assert [r.session_duration for r in session_durations(events).collect()] == [0, 0, 0]
+
+
+def test_equal_times_go_to_sequence_then_id(rows):
+    same = "2024-01-01 10:00:00"
+    events = rows(
+        EVENT,
+        event(1, "a", same, sequence=2),
+        event(9, "a", same, sequence=1),
+        event(3, "b", same, sequence=2),
+        event(2, "c", same, sequence=2),
+    )
+    assert daily_user_events(events).head().last_event_type == "t3"
+    assert last_event_per_user_day(events).head().last_event_uri == "/3"
+
+
+def test_missing_values_stay_one_group(rows):
+    events = rows(
+        EVENT,
+        event(1, "a", "2024-01-01 10:00:00", user=0, source=None),
+        event(2, "b", "2024-01-01 10:05:00", user=0, source=None),
+    )
+    (row,) = daily_user_events(events).collect()
+    assert (row.user_id, row.traffic_source, row.session_count) == (0, None, 2)
+
+
+def test_joined_per_event_multiplies_both_ways(rows):
+    events = rows(
+        EVENT,
+        event(1, "a", "2024-01-01 10:00:00"),
+        event(2, "a", "2024-01-01 10:00:10"),
+        event(3, "b", "2024-01-01 11:00:00"),
+    )
+    row = as_joined_per_event(daily_user_events(events)).head()
+    assert (row.event_count, row.session_count, row.total_session_duration) == (6, 2, 30)
+
+
+def test_no_join_and_two_shuffles(spark, rows):
+    plan = daily_user_events(rows(EVENT))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_one_user_with_a_third_of_all_rows(spark):
+    """The heavy user's rows leave a task combined, whatever their number."""
+    events = spark.range(30_000).selectExpr(
+        "id",
+        "if(id % 3 = 0, 0, id) as user_id",
+        "id as sequence_number",
+        "'s' as session_id",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) as created_at",
+        "'Chrome' as browser",
+        "'Search' as traffic_source",
+        "concat('/', id) as uri",
+        "'view' as event_type",
+    )
+    row = daily_user_events(events).where("user_id = 0").head()
+    assert row.event_count == 10_000
+    assert row.last_event_uri == "/29997"
+    assert row.last_event_time == datetime(2024, 1, 1, 8, 19, 57)
