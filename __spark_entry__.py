@@ -472,7 +472,7 @@ def behavior_features_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 _DAYS = (date(2024, 1, 24), date(2024, 1, 25), date(2024, 1, 26))
 
 
-def _pipeline_sql() -> str:
+def _daily_run_sql() -> str:
     """The first run takes all orders and knows no state before; later runs take a day each."""
     runs = [RunParams.for_day(day) for day in _DAYS]
     parts = {
@@ -494,8 +494,8 @@ def _pipeline_sql() -> str:
     return oracle.with_parts(oracle.features(_DAYS[-1]), **parts)
 
 
-@query(_pipeline_sql())
-def pipeline_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query(_daily_run_sql())
+def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three daily runs, each on the raw tables as they stood at the end of its day."""
     targets = Targets(shared_folder(spark))
     events = sample_data.events(spark, sf_dir)

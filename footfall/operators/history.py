@@ -13,11 +13,24 @@ from pyspark.sql import functions as F
 
 from footfall.functions.time import ntz, valid_at
 
-META = ("scd_id", "meta_updated_at", "valid_from", "valid_to")
+
+def _version(key: Column, run_ts: datetime) -> dict[str, Column]:
+    """Columns that a version starting at ``run_ts`` has beside those of its row."""
+    now = ntz(run_ts)
+    return {
+        "scd_id": F.md5(F.concat_ws("|", key.cast("string"), now.cast("string"))),
+        "meta_updated_at": now,
+        "valid_from": now,
+        "valid_to": F.lit(None).cast("timestamp_ntz"),
+    }
 
 
 def _unique(source: DataFrame, key: str) -> DataFrame:
-    # Placed and sorted by key as the join that follows needs it, so this costs no shuffle.
+    """``source``, stopping the job where a key occurs twice.
+
+    Rows are placed and sorted by key as a join on it needs them, so before such a
+    join this costs no shuffle.
+    """
     copy = F.row_number().over(W.partitionBy(key).orderBy(key))
     message = F.concat(F.lit(f"{key} occurs more than once: "), F.col(key).cast("string"))
     single = F.when(F.col("copy") == 1, True).otherwise(F.raise_error(message).cast("boolean"))
@@ -25,71 +38,76 @@ def _unique(source: DataFrame, key: str) -> DataFrame:
 
 
 def first_versions(source: DataFrame, key: str, run_ts: datetime) -> DataFrame:
-    """Every row of ``source`` as an open version that starts at ``run_ts``.
+    """Every row of ``source`` as an open version that starts at ``run_ts``."""
+    return started_versions(_unique(source, key), key, run_ts)
 
-    A key that occurs twice stops the job.
-    """
-    source = _unique(source, key)
-    now = ntz(run_ts)
-    return source.select(
-        "*",
-        F.md5(F.concat_ws("|", F.col(key).cast("string"), now.cast("string"))).alias("scd_id"),
-        now.alias("meta_updated_at"),
-        now.alias("valid_from"),
-        F.lit(None).cast("timestamp_ntz").alias("valid_to"),
-    )
 
+def started_versions(source: DataFrame, key: str, run_ts: datetime) -> DataFrame:
+    """``first_versions`` of rows known to have unique keys."""
+    version = _version(F.col(key), run_ts)
+    return source.select("*", *[column.alias(name) for name, column in version.items()])
 
-def compare_versions(
-    open_versions: DataFrame, source: DataFrame, key: str, check: Sequence[str], run_ts: datetime
+
+def _compare(
+    open_versions: DataFrame,
+    source: DataFrame,
+    key: str,
+    check: Sequence[str],
+    old_columns: Sequence[str],
+    new_columns: Sequence[str],
 ) -> DataFrame:
-    """One row per key: struct ``old``, struct ``new``, and whether a version starts now.
+    """One row per key: structs ``old`` and ``new``, and whether a version starts now.
 
     ``old`` is NULL for keys new in the source, ``new`` for keys gone from it.
     Only the ``check`` columns decide; NULL equals NULL.
     """
-    old = open_versions.select(F.col(key), F.struct(*open_versions.columns).alias("old"))
-    fresh = first_versions(source, key, run_ts).select(*open_versions.columns)
-    new = fresh.select(F.col(key), F.struct(*open_versions.columns).alias("new"))
+    old = open_versions.select(key, F.struct(*old_columns).alias("old"))
+    new = _unique(source.select(key, F.struct(*new_columns).alias("new")), key)
     differs = reduce(or_, [~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in check])
     starts = F.col("new").isNotNull() & (F.col("old").isNull() | differs)
-    return old.join(new, key, "full").select("old", "new", starts.alias("starts"))
-
+    return old.join(new, key, "full").withColumn("starts", starts)
 
-def _closed(old: Column, columns: Sequence[str], run_ts: datetime) -> Column:
-    return F.struct(
-        *[
-            ntz(run_ts).alias("valid_to") if c == "valid_to" else old.getField(c).alias(c)
-            for c in columns
-        ]
-    )
 
+def changed_keys(
+    open_versions: DataFrame, source: DataFrame, key: str, check: Sequence[str], also: str
+) -> DataFrame:
+    """Keys whose version starts now, with column ``also`` of the open and the new row.
 
-def changed_versions(compared: DataFrame, columns: Sequence[str], run_ts: datetime) -> DataFrame:
-    """The versions that a run closes and the ones it starts, from one pass over the join."""
-    closed = F.when(F.col("old").isNotNull(), _closed(F.col("old"), columns, run_ts))
-    rows = F.explode(F.filter(F.array(closed, F.col("new")), lambda r: r.isNotNull()))
-    return compared.where("starts").select(rows.alias("row")).select("row.*")
+    Shuffles the key, the ``check`` columns and ``also``, and nothing else of either side.
+    """
+    columns = [*check, also]
+    compared = _compare(open_versions, source, key, check, columns, columns)
+    return compared.where("starts").select(
+        key, F.col(f"old.{also}").alias(f"old_{also}"), F.col(f"new.{also}").alias(f"new_{also}")
+    )
 
 
 def merge_versions(
     history: DataFrame, source: DataFrame, key: str, check: Sequence[str], run_ts: datetime
 ) -> DataFrame:
-    """The whole history after a run.
+    """The whole history after a run, from one pass over the join with its source.
 
     Changed keys get their open version closed and a new one started, new keys
-    start one, all others stay, including keys gone from the source.
+    start one, all others stay, including keys gone from the source. For a history
+    kept as a table use ``storage.history``, which rewrites only what changes.
     """
     columns = history.columns
     open_versions = history.where(F.col("valid_to").isNull())
-    compared = compare_versions(open_versions, source, key, check, run_ts)
-    kept = F.when(F.col("old").isNotNull() & ~F.col("starts"), F.col("old"))
-    closed = F.when(
-        F.col("old").isNotNull() & F.col("starts"), _closed(F.col("old"), columns, run_ts)
+    compared = _compare(open_versions, source, key, check, columns, source.columns)
+
+    def row(values: dict[str, Column]) -> Column:
+        return F.struct(*[values[c].alias(c) for c in columns])
+
+    old = {c: F.col(f"old.{c}") for c in columns}
+    new = {c: F.col(f"new.{c}") for c in source.columns}
+    had, starts = F.col("old").isNotNull(), F.col("starts")
+    versions = F.array(
+        F.when(had & ~starts, row(old)),
+        F.when(had & starts, row({**old, "valid_to": ntz(run_ts)})),
+        F.when(starts, row({**new, **_version(F.col(key), run_ts)})),
     )
-    started = F.when(F.col("starts"), F.col("new"))
-    rows = F.filter(F.array(kept, closed, started), lambda r: r.isNotNull())
-    current = compared.select(F.explode(rows).alias("row")).select("row.*")
+    present = F.filter(versions, lambda version: version.isNotNull())
+    current = compared.select(F.explode(present).alias("row")).select("row.*")
     return history.where(F.col("valid_to").isNotNull()).unionByName(current)
 
 

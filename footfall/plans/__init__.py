@@ -1 +1 @@
-"""Pipelines: operators and tables put together."""
+"""The daily run: operators and tables put together."""

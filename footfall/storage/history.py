@@ -1,9 +1,9 @@
 """The order-status history as a table.
 
-Partitioned by ``valid_to`` and by the month of a column that stays with a row
-for life. Closed versions never change: each run adds one ``valid_to`` partition.
-Open versions are the ``valid_to`` NULL partition, of which a run rewrites only
-the months it changes. A point-in-time read prunes all partitions that had ended.
+Partitioned by ``valid_to`` and by the month of a column that rarely changes in the
+life of a row. Closed versions never change: each run adds one ``valid_to`` partition.
+Open versions are the ``valid_to`` NULL partition, of which a run rewrites only the
+months it changes. A point-in-time read prunes all partitions that had ended.
 """
 
 from __future__ import annotations
@@ -15,15 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
-from footfall.operators.batch import without_keys
-from footfall.operators.history import changed_versions, compare_versions, first_versions
+from footfall.functions.time import ntz
+from footfall.operators.history import changed_keys, first_versions, started_versions
 from footfall.storage import files
-from footfall.storage.tables import (
-    read_partitioned,
-    recover,
-    replace_partitions,
-    write_partitioned,
-)
+from footfall.storage.tables import read_partitioned, recover, replace_partitions
 
 MONTH = "version_month"
 _PARTITIONS = ("valid_to", MONTH)
@@ -63,41 +58,46 @@ def update_snapshot(
 
     Running again on the same state adds nothing. Runs must move forward in time, and
     the source must hold a key once.
+
+    Finding the changes takes the key and the compared columns of all open versions
+    and of the whole source; whole rows are read for the months of the changes only.
     """
     recover(spark, path, len(_PARTITIONS))
-    month = F.date_format(F.col(month_of), "yyyyMM")
+    schema = history_schema(source.schema)
+    dated = source.withColumn(MONTH, F.date_format(F.col(month_of), "yyyyMM"))
     if not files.exists(spark, path):
-        versions = first_versions(source, key, run_ts).withColumn(MONTH, month)
+        versions = first_versions(dated, key, run_ts)
         replace_partitions(spark, versions, path, _PARTITIONS, [key])
         return
 
-    schema = history_schema(source.schema)
-    open_versions = read_partitioned(spark, path, schema, only=[_OPEN])
-    columns = open_versions.drop(MONTH).columns
-    compared = compare_versions(open_versions.drop(MONTH), source, key, check, run_ts)
-    changes = changed_versions(compared, columns, run_ts).withColumn(MONTH, month)
-
+    has_open = files.exists(spark, f"{path}/{_OPEN}")
+    open_versions = read_partitioned(spark, path, schema, only=[_OPEN] if has_open else [])
     staged = f"{path.rstrip('/')}.changes"
-    files.delete(spark, staged)
-    write_partitioned(changes, staged, _PARTITIONS, [key])
-    months = sorted({p.split(f"{MONTH}=")[1] for p in files.partitions(spark, staged, 2)})
+    changed_keys(open_versions, dated, key, check, MONTH).write.mode("overwrite").parquet(staged)
+    changes = spark.read.parquet(staged)
+    months = _months(changes)
     if months:
         latest = open_versions.agg(F.max("valid_from")).head()[0]
         if latest is not None and latest >= run_ts:
             raise ValueError(f"history already reaches {latest}; cannot record {run_ts}")
-        changed = read_partitioned(spark, staged, schema)
-        open_months = [f"{_OPEN}/{MONTH}={m}" for m in months]
+        keys = changes.select(key)
+        changed_rows = dated.where(F.col(MONTH).isin(months)).join(keys, key, "left_semi")
+        versions = started_versions(changed_rows, key, run_ts).select(*schema.fieldNames())
+
+        open_months = [f"{_OPEN}/{MONTH}={month}" for month in months]
         present = set(files.partitions(spark, path, 2))
         touched = [name for name in open_months if name in present]
         if touched:
-            kept = read_partitioned(spark, path, schema, only=touched)
-            changed = without_keys(kept, changed, [key]).unionByName(changed)
-        replace_partitions(
-            spark,
-            changed,
-            path,
-            _PARTITIONS,
-            [key],
-            also_empty=open_months,
-        )
+            marks = keys.withColumn("ends", F.lit(True))
+            marked = read_partitioned(spark, path, schema, only=touched).join(marks, key, "left")
+            ended = marked.withColumn("valid_to", F.when(F.col("ends"), ntz(run_ts)))
+            versions = versions.unionByName(ended.drop("ends"))
+        replace_partitions(spark, versions, path, _PARTITIONS, [key], also_empty=open_months)
     files.delete(spark, staged)
+
+
+def _months(changes: DataFrame) -> list[str]:
+    """Months in which open versions end or start: as many as the history has, at most."""
+    both = F.array(f"old_{MONTH}", f"new_{MONTH}")
+    found = changes.select(F.explode(both).alias("month")).where("month IS NOT NULL").distinct()
+    return sorted(row.month for row in found.collect())

@@ -66,6 +66,8 @@ def read_partitioned(
 
     ``only`` names partition directories; the others are not even listed.
     """
+    if only is not None and not only:
+        return spark.createDataFrame([], schema)
     folders = [path] if only is None else [f"{path}/{name}" for name in only]
     reader = spark.read.schema(schema).option("basePath", path)
     return reader.parquet(*folders).select(*schema.fieldNames())

@@ -7,7 +7,7 @@ from datetime import date, datetime
 from sample_data import EVENTS, ORDER_ITEMS, ORDERS, RAW, check_sql, orders_at_sql
 
 DAY_KEYS = "user_id, activity_date, browser, traffic_source"
-HORIZONS = {"1d": "= 0", "7d": "< 7", "30d": "< 30", "total": None}
+HORIZONS = ("1d", "7d", "30d", "total")
 
 
 def with_parts(query: str, **parts: str) -> str:
@@ -63,35 +63,32 @@ AMOUNTS = """SELECT order_id, sum(CAST(sale_price AS decimal(18,4))) AS order_am
 
 
 def daily_orders(orders: str, previous: str) -> str:
-    def became(status: str) -> str:
-        return f"o.status = '{status}' AND (p.status <> '{status}' OR p.status IS NULL)"
-
-    def count(status: str) -> str:
-        return f"CAST(sum(CASE WHEN {became(status)} THEN 1 ELSE 0 END) AS bigint)"
-
-    def worth(status: str) -> str:
-        return (
-            f"CAST(sum(CASE WHEN {became(status)} THEN coalesce(order_amount, 0) ELSE 0 END)"
-            " AS double)"
-        )
-
-    return f"""SELECT o.user_id, CAST(o.updated_at AS date) AS activity_date,
-      max(o.created_at) AS last_order_time,
-      {count("Completed")} AS completed_order_count,
-      {count("Cancelled")} AS cancelled_order_count,
-      {worth("Completed")} AS total_completed_order_amount,
-      {worth("Cancelled")} AS total_cancelled_order_amount
-    FROM {orders} o LEFT JOIN {previous} p ON p.order_id = o.order_id
-    LEFT JOIN ({AMOUNTS}) a ON a.order_id = o.order_id
-    GROUP BY 1, 2"""
+    """Transitions listed one by one, then counted and summed."""
+    return f"""SELECT user_id, activity_date, max(created_at) AS last_order_time,
+      count(*) FILTER (WHERE entered = 'Completed') AS completed_order_count,
+      count(*) FILTER (WHERE entered = 'Cancelled') AS cancelled_order_count,
+      CAST(coalesce(sum(order_amount) FILTER (WHERE entered = 'Completed'), 0) AS double)
+        AS total_completed_order_amount,
+      CAST(coalesce(sum(order_amount) FILTER (WHERE entered = 'Cancelled'), 0) AS double)
+        AS total_cancelled_order_amount
+    FROM (SELECT o.user_id, CAST(o.updated_at AS date) AS activity_date, o.created_at,
+        nullif(o.status, coalesce(p.status, '')) AS entered, a.order_amount
+      FROM {orders} o LEFT JOIN {previous} p ON p.order_id = o.order_id
+      LEFT JOIN ({AMOUNTS}) a ON a.order_id = o.order_id) t
+    GROUP BY user_id, activity_date"""
 
 
 def horizons(job_date: date, name: str, value: str, kind: str = "bigint") -> str:
-    far = f"date_diff('day', activity_date, DATE '{job_date}')"
+    """Sums over the last days up to the job date, told by their first day."""
     return ", ".join(
-        f"CAST(sum({value if rule is None else f'CASE WHEN {far} {rule} THEN {value} ELSE 0 END'})"
-        f" AS {kind}) AS {name}_{suffix}"
-        for suffix, rule in HORIZONS.items()
+        f"CAST(coalesce(sum({value}) FILTER (WHERE activity_date > {first}), 0) AS {kind})"
+        f" AS {name}_{suffix}"
+        for suffix, first in (
+            ("1d", f"DATE '{job_date}' - 1"),
+            ("7d", f"DATE '{job_date}' - 7"),
+            ("30d", f"DATE '{job_date}' - 30"),
+            ("total", "DATE '1900-01-01'"),
+        )
     )
 
 
@@ -111,10 +108,11 @@ def source_rankings(stats: str) -> str:
 
 def popular(stats: str) -> str:
     tops = ", ".join(
-        f"max(CASE WHEN rank_{s} = 1 THEN traffic_source END) AS most_popular_traffic_source_{s}"
+        f"first(traffic_source ORDER BY sessions_{s} DESC, sessions_total DESC, traffic_source)"
+        f" AS most_popular_traffic_source_{s}"
         for s in HORIZONS
     )
-    return f"SELECT user_id, {tops} FROM ({source_rankings(stats)}) rk GROUP BY user_id"
+    return f"SELECT user_id, {tops} FROM ({stats}) st GROUP BY user_id"
 
 
 def event_agg(job_date: date, daily: str = "ed") -> str:
@@ -151,7 +149,7 @@ def features(job_date: date, events: str = "ed", orders: str = "od") -> str:
         return ", ".join(f"{name}_{s}" for s in HORIZONS if s not in skip)
 
     day = f"DATE '{job_date}'"
-    return f"""SELECT coalesce(e.user_id, o.user_id) AS user_id, last_event_time,
+    return f"""SELECT user_id, last_event_time,
       date_diff('day', CAST(last_event_time AS date), {day}) AS days_since_last_event,
       {each("events")}, {each("total_session_duration")},
       {each("most_popular_traffic_source", "1d")},
@@ -159,11 +157,12 @@ def features(job_date: date, events: str = "ed", orders: str = "od") -> str:
       date_diff('day', CAST(last_order_time AS date), {day}) AS days_since_last_order,
       {each("completed_orders")}, {each("cancelled_orders")},
       {each("total_completed_amount")}, {each("total_cancelled_amount")}, {averages()},
-      CASE WHEN date_diff('day', CAST(last_event_time AS date), {day}) > 90
-        THEN TRUE ELSE FALSE END AS is_churned
-    FROM ({event_agg(job_date, events)}) e
-    LEFT JOIN ({popular(source_stats(job_date, events))}) p ON e.user_id = p.user_id
-    FULL OUTER JOIN ({order_agg(job_date, orders)}) o ON e.user_id = o.user_id"""
+      coalesce(CAST(last_event_time AS date) < {day} - 90, FALSE) AS is_churned
+    FROM (SELECT user_id FROM {events} WHERE activity_date <= {day}
+      UNION SELECT user_id FROM {orders} WHERE activity_date <= {day}) u
+    LEFT JOIN ({event_agg(job_date, events)}) e USING (user_id)
+    LEFT JOIN ({popular(source_stats(job_date, events))}) p USING (user_id)
+    LEFT JOIN ({order_agg(job_date, orders)}) o USING (user_id)"""
 
 
 def history(states: dict[datetime, str]) -> str:

@@ -103,6 +103,15 @@ def test_a_row_that_changes_its_month_moves(spark, rows, tmp_path):
     }
 
 
+def test_nothing_at_first(spark, rows, tmp_path):
+    path = str(tmp_path / "history")
+    for run in DAY[:2]:
+        record(spark, path, rows(ORDER), run)
+    record(spark, path, rows(ORDER, order(1, "Processing")), DAY[2])
+    history = read_history(spark, path, rows(ORDER).schema)
+    assert versions(history) == {(1, "Processing", DAY[2], None)}
+
+
 def test_runs_must_move_forward(spark, states, tmp_path):
     path = str(tmp_path / "history")
     record(spark, path, states[0], DAY[2])
