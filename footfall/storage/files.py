@@ -65,11 +65,12 @@ def shared_folder(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``. Only a local session, whose
     machine is the whole cluster, may go without.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="footfall-")
         atexit.register(shutil.rmtree, base, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(base)
     return f"{base.rstrip('/')}/footfall-{uuid4().hex}"

@@ -165,3 +165,36 @@ def test_as_of_join(rows):
         5: None,
         6: None,
     }
+
+
+def test_as_of_join_splits_a_hot_key(spark):
+    """One order with a third of all facts; its tasks are split by adaptive execution."""
+    facts = spark.range(0, 300_000, 1, 8).selectExpr(
+        "if(id % 3 = 0, 1, id) as order_id",
+        "timestamp_ntz'2024-01-02 00:00:00' as at",
+        "md5(cast(id as string)) as payload",
+    )
+    history = spark.range(300_000).selectExpr(
+        "id as order_id",
+        "'Processing' as status",
+        "timestamp_ntz'2024-01-01 00:00:00' as valid_from",
+        "cast(null as timestamp_ntz) as valid_to",
+    )
+    confs = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "500k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "500k",
+    }
+    before = {name: spark.conf.get(name) for name in confs}
+    for name, value in confs.items():
+        spark.conf.set(name, value)
+    try:
+        joined = as_of_join(facts, history, "order_id", "at", ["status"])
+        assert joined.where("status_as_of = 'Processing'").select("payload").distinct().count() == 300_000
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert "skew=true" in plan
