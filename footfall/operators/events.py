@@ -31,13 +31,14 @@ def session_durations(events: DataFrame) -> DataFrame:
 
 
 def _session_rollup(events: DataFrame) -> DataFrame:
+    last = F.max(F.struct(*_LAST))
     return (
         _with_day(events)
         .groupBy(*SESSION_KEYS)
         .agg(
             F.count("*").alias("event_count"),
-            F.max(F.struct(*_LAST)).alias("last"),
-            seconds_between(F.min("created_at"), F.max("created_at")).alias("session_duration"),
+            last.alias("last"),
+            seconds_between(F.min("created_at"), last["created_at"]).alias("session_duration"),
         )
     )
 

@@ -17,7 +17,7 @@ from footfall.operators.orders import ORDER_COLUMNS, daily_user_orders
 from footfall.params import RunParams
 from footfall.sources.registry import Sources
 from footfall.storage import files
-from footfall.storage.history import read_history, update_snapshot
+from footfall.storage.history import read_any_history, read_history, update_snapshot
 from footfall.storage.tables import (
     Layout,
     incremental_replace,
@@ -58,9 +58,12 @@ class Targets:
         return f"{self.base.rstrip('/')}/{step}"
 
     def read(self, spark: SparkSession, step: str) -> DataFrame:
+        path = self.path(step)
         if step in _STORED:
-            return read_partitioned(spark, self.path(step), StructType.fromDDL(_STORED[step]))
-        return spark.read.parquet(self.path(step))
+            return read_partitioned(spark, path, StructType.fromDDL(_STORED[step]))
+        if step == "orders_snapshot":
+            return read_any_history(spark, path)
+        return spark.read.parquet(path)
 
 
 def _is_incremental(spark: SparkSession, target: str, full_refresh: bool) -> bool:

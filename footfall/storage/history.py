@@ -45,6 +45,12 @@ def read_history(spark: SparkSession, path: str, source: StructType) -> DataFram
     return read_partitioned(spark, path, schema).drop(MONTH)
 
 
+def read_any_history(spark: SparkSession, path: str) -> DataFrame:
+    """The history of a source whose columns are not known beforehand."""
+    history = spark.read.parquet(path).drop(MONTH)
+    return history.withColumn("valid_to", F.col("valid_to").cast("timestamp_ntz"))
+
+
 def update_snapshot(
     spark: SparkSession,
     source: DataFrame,
