@@ -49,23 +49,29 @@ def started_versions(source: DataFrame, key: str, run_ts: datetime) -> DataFrame
 
 
 def _compare(
-    open_versions: DataFrame,
+    versions: DataFrame,
     source: DataFrame,
     key: str,
     check: Sequence[str],
     old_columns: Sequence[str],
     new_columns: Sequence[str],
 ) -> DataFrame:
-    """One row per key: structs ``old`` and ``new``, and whether a version starts now.
+    """Structs ``old`` and ``new`` side by side, and whether a version starts now.
 
-    ``old`` is NULL for keys new in the source, ``new`` for keys gone from it.
-    Only the ``check`` columns decide; NULL equals NULL.
+    ``old`` is NULL for keys new in the source; ``new`` is NULL for keys gone from it
+    and for closed versions, which meet nothing. Only the ``check`` columns decide;
+    NULL equals NULL.
     """
-    old = open_versions.select(key, F.struct(*old_columns).alias("old"))
-    new = _unique(source.select(key, F.struct(*new_columns).alias("new")), key)
+    is_open = F.col("valid_to").isNull().alias("is_open")
+    old = versions.select(F.col(key).alias("old_key"), is_open, F.struct(*old_columns).alias("old"))
+    single = _unique(source.select(key, F.struct(*new_columns).alias("new")), key)
+    new = single.withColumnRenamed(key, "new_key")
     differs = reduce(or_, [~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in check])
     starts = F.col("new").isNotNull() & (F.col("old").isNull() | differs)
-    return old.join(new, key, "full").withColumn("starts", starts)
+    joined = old.join(new, (F.col("old_key") == F.col("new_key")) & F.col("is_open"), "full")
+    return joined.select(
+        F.coalesce("old_key", "new_key").alias(key), "old", "new", starts.alias("starts")
+    )
 
 
 def changed_keys(
@@ -88,12 +94,11 @@ def merge_versions(
     """The whole history after a run, from one pass over the join with its source.
 
     Changed keys get their open version closed and a new one started, new keys
-    start one, all others stay, including keys gone from the source. For a history
-    kept as a table use ``storage.history``, which rewrites only what changes.
+    start one, all others stay, including keys gone from the source. Both sides are
+    read once, so runs can be chained lazily. For a history kept as a table use ``storage.history``, which rewrites only what changes.
     """
     columns = history.columns
-    open_versions = history.where(F.col("valid_to").isNull())
-    compared = _compare(open_versions, source, key, check, columns, source.columns)
+    compared = _compare(history, source, key, check, columns, source.columns)
 
     def row(values: dict[str, Column]) -> Column:
         return F.struct(*[values[c].alias(c) for c in columns])
@@ -107,8 +112,7 @@ def merge_versions(
         F.when(starts, row({**new, **_version(F.col(key), run_ts)})),
     )
     present = F.filter(versions, lambda version: version.isNotNull())
-    current = compared.select(F.explode(present).alias("row")).select("row.*")
-    return history.where(F.col("valid_to").isNotNull()).unionByName(current)
+    return compared.select(F.explode(present).alias("row")).select("row.*")
 
 
 def as_of(history: DataFrame, moment: datetime) -> DataFrame:

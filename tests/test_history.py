@@ -198,3 +198,21 @@ def test_as_of_join_splits_a_hot_key(spark):
         for name, value in before.items():
             spark.conf.set(name, value)
     assert "skew=true" in plan
+
+
+def test_chained_runs_read_each_state_once(states):
+    history = first_versions(states[0], "order_id", DAY[0])
+    for run, state in zip(DAY[1:], states[1:], strict=False):
+        history = merge_versions(history, state, "order_id", CHECK, run)
+    plan = history._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join FullOuter") == 2
+
+
+def test_a_missing_key_is_an_ordinary_key_of_the_source(rows):
+    """Key 0 stands for a missing id; it is versioned like any other."""
+    history = first_versions(rows(ORDER, order(0, "Processing")), "order_id", DAY[0])
+    history = merge_versions(history, rows(ORDER, order(0, "Completed")), "order_id", CHECK, DAY[1])
+    assert versions(history) == {
+        (0, "Processing", DAY[0], DAY[1]),
+        (0, "Completed", DAY[1], None),
+    }
