@@ -63,7 +63,8 @@ def _compare(
     NULL equals NULL.
     """
     is_open = F.col("valid_to").isNull().alias("is_open")
-    old = versions.select(F.col(key).alias("old_key"), is_open, F.struct(*old_columns).alias("old"))
+    packed = F.struct(*old_columns).alias("old")
+    old = versions.select(F.col(key).alias("old_key"), is_open, packed)
     single = _unique(source.select(key, F.struct(*new_columns).alias("new")), key)
     new = single.withColumnRenamed(key, "new_key")
     differs = reduce(or_, [~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in check])

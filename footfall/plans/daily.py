@@ -184,7 +184,9 @@ def run_daily(
     """Runs the chosen steps in their fixed order; an error stops the run.
 
     Each step leaves its table behind, so a failed run can be repeated from the
-    step that failed, and a repeated step gives the same table.
+    step that failed, and a repeated step gives the same table. History only moves
+    forward: to process an older interval again, leave ``orders_snapshot`` out. Its
+    orders then meet the history as it was at that interval.
     """
     unknown = sorted(set(steps) - set(STEPS))
     if unknown:

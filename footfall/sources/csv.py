@@ -97,7 +97,7 @@ def _is_given(text: Column) -> Column:
     return text.isNotNull() & (text != "")
 
 
-def _typed(raw: DataFrame, table: Table, load_ts: datetime, *extra: Column, stop: bool) -> DataFrame:
+def _typed(raw: DataFrame, table: Table, load_ts: datetime, stop: bool) -> DataFrame:
     """Logical columns of ``table``. Unreadable text stops the job or counts as missing."""
 
     def value(name: str, kind: str) -> Column:
@@ -109,7 +109,7 @@ def _typed(raw: DataFrame, table: Table, load_ts: datetime, *extra: Column, stop
         return F.coalesce(_parse(text, kind), missing)
 
     kinds = _kinds(raw, table)
-    typed = raw.select(*[value(name, kind).alias(name) for name, kind in kinds.items()], *extra)
+    typed = raw.select(*[value(name, kind).alias(name) for name, kind in kinds.items()])
     for name, sql in table.derived.items():
         typed = typed.withColumn(name, F.expr(sql))
     for name, rule in table.system.items():

@@ -189,7 +189,8 @@ def raw_table(name: str, load_ts: datetime, effective: str) -> str:
 
 
 def replaced(target: str, batch: str, keys: str) -> str:
-    same = " AND ".join(f"t.{k.strip()} IS NOT DISTINCT FROM b.{k.strip()}" for k in keys.split(","))
+    names = [key.strip() for key in keys.split(",")]
+    same = " AND ".join(f"t.{name} IS NOT DISTINCT FROM b.{name}" for name in names)
     return f"""SELECT * FROM {target} t WHERE NOT EXISTS (SELECT 1 FROM {batch} b WHERE {same})
     UNION ALL SELECT * FROM {batch}"""
 

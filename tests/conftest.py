@@ -37,6 +37,7 @@ def rows(spark):
         df = spark.createDataFrame(
             [tuple(None if v is None else str(v) for v in row) for row in values], text
         )
-        return df.selectExpr(*[f"cast({n} as {k}) as {n}" for n, k in zip(names, kinds, strict=True)])
+        casts = [f"cast({n} as {k}) as {n}" for n, k in zip(names, kinds, strict=True)]
+        return df.selectExpr(*casts)
 
     return build

@@ -109,6 +109,40 @@ def test_orders_differ_from_a_full_refresh_by_design(spark, tmp_path, rows):
     assert (row.activity_date.day, row.completed_order_count) == (2, 0)
 
 
+def test_an_older_day_again(spark, targets):
+    """Once history has moved on, an older day runs without the snapshot and stays as it was."""
+    day = RunParams.for_day(DAYS[1])
+    sources = sources_at(spark, day.end)
+    with pytest.raises(ValueError, match="cannot record"):
+        run_daily(spark, sources, targets, day, ["orders_snapshot"])
+    for step in daily.STEPS[1:3]:
+        before = content(targets.read(spark, step))
+        run_daily(spark, sources, targets, day, [step])
+        assert content(targets.read(spark, step)) == before
+
+
+def test_a_day_without_data_changes_features_only(spark, tmp_path):
+    targets = Targets(str(tmp_path))
+    run(spark, targets, DAYS[-1])
+    kept = daily.STEPS[1:3]
+    before = [content(targets.read(spark, step)) for step in kept]
+    params = RunParams.for_day(date(2024, 3, 1))
+    run_daily(spark, sources_at(spark, datetime(2024, 1, 30)), targets, params)
+    assert [content(targets.read(spark, step)) for step in kept] == before
+    features = targets.read(spark, "behavior_features")
+    assert features.where("events_1d > 0 or events_30d > 0").isEmpty()
+    assert not features.where("events_total > 0").isEmpty()
+
+
+def test_days_run_one_by_one_or_at_once_give_the_same_events(spark, targets, tmp_path):
+    at_once = Targets(str(tmp_path))
+    run(spark, at_once, DAYS[0], steps=["int_daily_user_events"])
+    span = RunParams(datetime(2024, 1, 28), datetime(2024, 1, 30), DAYS[-1])
+    run_daily(spark, sources_at(spark, span.end), at_once, span, ["int_daily_user_events"])
+    step = "int_daily_user_events"
+    assert content(at_once.read(spark, step)) == content(targets.read(spark, step))
+
+
 def test_steps_are_checked(spark, targets):
     with pytest.raises(ValueError, match="unknown step nonsense"):
         run(spark, targets, DAYS[0], steps=["nonsense"])

@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import date, datetime
 
 import pytest
+from pyspark.errors import PySparkException
 
 from footfall.operators.orders import daily_user_orders, order_amounts, status_transitions
 
@@ -74,3 +75,10 @@ def test_an_order_whose_items_span_two_users_counts_once(rows):
     items = rows("order_id bigint, user_id bigint, sale_price double", (1, 1, 2.0), (1, 2, 3.0))
     row = daily_user_orders(rows(ORDER, order(1, "Completed")), rows(STATE), items).head()
     assert (row.completed_order_count, row.total_completed_order_amount) == (1, 5.0)
+
+
+def test_a_sum_beyond_the_range_stops_instead_of_wrapping(spark, rows):
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    items = rows(ITEM, (1, 9e14), (1, 9e14))
+    with pytest.raises(PySparkException, match="OVERFLOW"):
+        order_amounts(items).collect()
