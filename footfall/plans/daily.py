@@ -130,7 +130,10 @@ def int_daily_user_orders(
     staged = f"{path}.orders"
     orders, items = sources["orders"], sources["order_items"]
     history = read_history(
-        spark, targets.path("orders_snapshot"), sources.logical("orders").schema
+        spark,
+        targets.path("orders_snapshot"),
+        sources.logical("orders").schema,
+        ended_after=params.as_of,
     )
     previous = as_of(history, params.as_of)
     if _is_incremental(spark, path, full_refresh):

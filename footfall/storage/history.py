@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,12 +38,29 @@ def history_schema(source: StructType) -> StructType:
     )
 
 
-def read_history(spark: SparkSession, path: str, source: StructType) -> DataFrame:
-    """The history, without its layout column; empty if there is none yet."""
+def read_history(
+    spark: SparkSession, path: str, source: StructType, ended_after: datetime | None = None
+) -> DataFrame:
+    """The history, without its layout column; empty if there is none yet.
+
+    With ``ended_after`` only versions still open or ended later; the folders of all
+    others, one per past run, are not listed.
+    """
     schema = history_schema(source)
     if not files.exists(spark, path):
         return spark.createDataFrame([], schema).drop(MONTH)
-    return read_partitioned(spark, path, schema).drop(MONTH)
+    only = None
+    if ended_after is not None:
+        only = [
+            name
+            for name in files.partitions(spark, path, 1)
+            if name == _OPEN or _ended(name) > ended_after
+        ]
+    return read_partitioned(spark, path, schema, only).drop(MONTH)
+
+
+def _ended(folder: str) -> datetime:
+    return datetime.fromisoformat(unquote(folder.removeprefix("valid_to=")))
 
 
 def read_any_history(spark: SparkSession, path: str) -> DataFrame:
@@ -91,8 +109,8 @@ def update_snapshot(
         versions = started_versions(changed_rows, key, run_ts).select(*schema.fieldNames())
 
         open_months = [f"{_OPEN}/{MONTH}={month}" for month in months]
-        present = set(files.partitions(spark, path, 2))
-        touched = [name for name in open_months if name in present]
+        present = files.partitions(spark, f"{path}/{_OPEN}", 1)
+        touched = [name for name in open_months if name.removeprefix(f"{_OPEN}/") in present]
         if touched:
             marks = keys.withColumn("ends", F.lit(True))
             marked = read_partitioned(spark, path, schema, only=touched).join(marks, key, "left")

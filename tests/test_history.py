@@ -141,6 +141,20 @@ def test_as_of_sees_starts_and_not_ends(spark, states, tmp_path):
     assert "PartitionFilters: [((valid_to" in plan
 
 
+def test_reading_late_versions_lists_no_earlier_folder(spark, states, tmp_path):
+    path = str(tmp_path / "history")
+    runs = [DAY[0], DAY[1], DAY[2].replace(microsecond=500_000)]
+    for run, state in zip(runs, states, strict=True):
+        record(spark, path, state, run)
+    schema = states[0].schema
+    for moment, ends in [(DAY[0], {runs[1], runs[2], None}), (runs[1], {runs[2], None})]:
+        late = read_history(spark, path, schema, ended_after=moment)
+        assert {r.valid_to for r in late.collect()} == ends
+    late = read_history(spark, path, schema, ended_after=runs[2])
+    assert not late.isEmpty() and late.where("valid_to is not null").isEmpty()
+    assert all("__HIVE_DEFAULT_PARTITION__" in file for file in late.inputFiles())
+
+
 def test_as_of_join(rows):
     history = rows(
         "order_id bigint, status string, valid_from timestamp_ntz, valid_to timestamp_ntz",

@@ -106,6 +106,8 @@ def test_history(spark, rows, tmp_path, seed):
     for moment in (START - timedelta(hours=1), RUNS[2], RUNS[3] + timedelta(hours=5)):
         valid = {k: [v] for k in want if (v := at(k, moment)) is not None}
         assert stored(as_of(history, moment)) == flat(valid)
+        late = read_history(spark, path, frames[0].schema, ended_after=moment)
+        assert stored(as_of(late, moment)) == flat(valid)
 
     facts = [
         (n, rng.randrange(33), START + timedelta(hours=rng.randrange(-10, 120))) for n in range(80)
