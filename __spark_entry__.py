@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -513,6 +514,21 @@ def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return targets.read(spark, "behavior_features")
 
 
+# Training-data operators and their pipeline are optional; the library does without them.
+_added: dict[str, Query] = {}
+_added_sql: dict[str, str] = {}
+try:
+    import corpus_pipeline
+    from footfall.llm.queries import QUERIES
+    from footfall.llm.sql import ORACLE
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("corpus_pipeline", "footfall.llm")):
+        raise
+else:
+    _added |= {**QUERIES, "pipeline": corpus_pipeline.run}
+    _added_sql |= ORACLE
+
+
 def _key(name: str) -> str:
     return name.removesuffix("_query")
 
@@ -523,8 +539,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {_key(name): function for name, function in _queries.items()}
+    return {_key(name): function for name, function in _queries.items()} | _added
 
 
 def oracle_sql() -> dict[str, str]:
-    return {_key(name): sql for name, sql in _oracle.items()}
+    return {_key(name): sql for name, sql in _oracle.items()} | _added_sql
