@@ -149,10 +149,10 @@ def _judged(df: DataFrame, bands: Bands) -> DataFrame:
                 kept=~failed & np.array(fits),
             )
 
-    return df.mapInArrow(judge, StructType([*others, *VERDICT]))
+    return df.mapInArrow(judge, StructType([*others, *StructType.fromDDL(VERDICT)]))
 
 
-VERDICT = StructType.fromDDL(
+VERDICT = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "base_failed boolean, ratio double, n_chunks long, n_bad_chunks long, kept boolean"
 )
