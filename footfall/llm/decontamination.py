@@ -29,7 +29,7 @@ from footfall.llm.words import (
 
 WINDOW = 10
 TEST_BYTES = 8 << 20  # of test text that is searched for at once
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = (4 << 20) - 64
 
 Test = list[tuple[str, bytes]]
 

@@ -38,7 +38,7 @@ from footfall.llm.words import (
 BANDS = 30
 BAND_BINS = 5
 BINS = BANDS * BAND_BINS
-SKETCH_BYTES = 8 << 20
+SKETCH_BYTES = (4 << 20) - 64
 FAMILY_ESTIMATE = 0.5  # of neighbours in a bucket to count as one family
 BLOCK_TEXTS = 512  # of a family that are compared at once
 BLOCK_TEXT_BYTES = 64 << 20

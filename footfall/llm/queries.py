@@ -13,9 +13,12 @@ from footfall.llm import (
     chat,
     compression,
     decontamination,
+    language_model,
     license_scan,
     mixing,
+    near_dedup,
     quality,
+    substring_dedup,
     warc,
 )
 from footfall.llm.tables import kept, read
@@ -53,6 +56,21 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(read(spark, sf_dir, "documents"))
 
 
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    documents = read(spark, sf_dir, "documents").withColumn("learn", ~held_out)
+    scored = language_model.score_texts(documents)
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op6_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
@@ -68,6 +86,14 @@ def op6_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_strings(read(spark, sf_dir, "documents"))
+
+
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents"), size=2)
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     odd = spark.range(2).select(
         F.lit(ODD_CHAT).cast("long").alias("conv_id"),
@@ -156,7 +182,10 @@ QUERIES = {
         op2_warc_bundles,
         op3_decontamination,
         op4_license_scan,
+        op5_language_model,
         op6_compression_classifier,
+        op7_repeated_strings,
+        op8_near_duplicates,
         op9_chat_formatting,
         op10_mixing,
     )

@@ -129,9 +129,76 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
+OP8 = f"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id,
+    coalesce(regexp_extract_all({_lower("text")}, '{WORD}'), []) AS words
+  FROM documents
+),
+s AS MATERIALIZED (
+  SELECT DISTINCT r, unnest(CASE WHEN len(words) < 2 THEN words
+    ELSE [words[i] || ' ' || words[i + 1] for i in range(1, len(words))] END) AS shingle
+  FROM d
+),
+n AS MATERIALIZED (SELECT r, count(*) AS n FROM s GROUP BY r),
+p AS (
+  SELECT a.r AS x, b.r AS y, count(*) AS c
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.r <> b.r GROUP BY ALL
+),
+l AS MATERIALIZED (
+  SELECT x, y FROM p JOIN n a ON a.r = x JOIN n b ON b.r = y WHERE 100 * c >= 80 * (a.n + b.n - c)
+),
+reach AS (
+  SELECT r AS x, r AS y FROM d UNION SELECT reach.x, l.y FROM reach JOIN l ON reach.y = l.x
+),
+g AS (SELECT x AS r, min(e.doc_id) AS component_id FROM reach JOIN d e ON e.r = y GROUP BY x)
+SELECT doc_id, CAST(coalesce(n, 0) AS bigint) AS n_shingles, component_id,
+  doc_id = component_id AS kept
+FROM d JOIN g USING (r) LEFT JOIN n USING (r)
+"""
+
+# Windows are told apart by their digest, bytes handled as hexadecimal digits.
+OP7 = """
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+),
+w AS MATERIALIZED (
+  SELECT r, i, md5(substr(h, 2 * i + 1, 400)) AS m
+  FROM (SELECT r, h, unnest(range(0, CAST(len(h) / 2 AS bigint) - 199)) AS i FROM d)
+),
+t AS MATERIALIZED (
+  SELECT r, i FROM w WHERE m IN (SELECT m FROM w GROUP BY m HAVING count(*) > 1)
+),
+e AS (
+  SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 200 THEN 0 ELSE 1 END AS new
+  FROM t
+),
+g AS (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS run FROM e),
+runs AS MATERIALIZED (
+  SELECT r, min(i) AS first, max(i) + 200 AS last FROM g GROUP BY r, run
+),
+gaps AS (
+  SELECT r, coalesce(lag(last) OVER (PARTITION BY r ORDER BY first), 0) AS first, first AS last
+  FROM runs
+  UNION ALL SELECT r, max(last), NULL FROM runs GROUP BY r
+),
+left_ AS (
+  SELECT r, string_agg(substr(h, 2 * first + 1,
+    coalesce(2 * last, len(h)) - 2 * first), '' ORDER BY first) AS h
+  FROM gaps JOIN d USING (r) GROUP BY r
+),
+n AS (SELECT r, sum(last - first) AS n_removed, count(*) AS n_spans FROM runs GROUP BY r)
+SELECT doc_id, CAST(len(d.h) / 2 AS bigint) AS n_bytes,
+  CAST(coalesce(n_removed, 0) AS bigint) AS n_removed, CAST(coalesce(n_spans, 0) AS bigint) AS n_spans,
+  sha256(unhex(coalesce(left_.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN n USING (r) LEFT JOIN left_ USING (r)
+"""
+
 ORACLE = {
     "op2_warc_bundles": OP2,
     "op3_decontamination": OP3,
+    "op7_repeated_strings": OP7,
+    "op8_near_duplicates": OP8,
     "op9_chat_formatting": OP9,
     "op10_mixing": OP10,
 }

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 2 << 20  # texts handled at once; a longer document is a block of its own
+BLOCK_BYTES = (2 << 20) - 64  # texts handled at once; a longer document is a block of its own
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
