@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import decontamination, mixing, quality
+from footfall.llm import decontamination, mixing, near_dedup, quality, substring_dedup
 from footfall.llm.tables import kept, read
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -22,6 +22,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_sound(docs)
 
 
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return near_dedup.keep_one(docs)
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the strings of 200 bytes that stand in another place too."""
+    without = substring_dedup.without_repeats(docs)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        without = without.withColumn("n_chars", F.length("text").cast(kind))
+    return without
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     return decontamination.decontaminate(docs, read(spark, sf_dir, "benchmark"))
@@ -36,11 +50,13 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality_rules),
+    ("near-duplicates", near_dedup_stage),
+    ("repeated strings", suffix_array_dedup),
     ("benchmark decontamination", benchmark_decontamination),
     ("mixing sources", source_mixing),
 ]
 
-# Compression ratios have no form in SQL; the stages are tested against brute force.
+# Compression ratios have no form in SQL. Every stage is tested against a brute-force version.
 ORACLE_SQL = None
 
 
