@@ -55,9 +55,9 @@ def block_of(texts: list[bytes], rows: pa.RecordBatch | None = None) -> Block:
 def blocks(
     batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BLOCK_BYTES
 ) -> Iterator[Block]:
-    """Cuts batches into blocks of about ``limit`` bytes of text. NULL counts as empty."""
+    """Cuts batches into blocks of about ``limit`` bytes of text, or bytes. NULL counts as empty."""
     for batch in batches:
-        texts = pc.fill_null(batch.column(column), "").cast(pa.large_string())
+        texts = pc.fill_null(batch.column(column).cast(pa.large_binary()), b"")
         sizes = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy())])
         low = 0
         while low < batch.num_rows:
