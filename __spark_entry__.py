@@ -47,12 +47,17 @@ from footfall.operators.orders import (  # noqa: E402
     order_amounts,
     status_transitions,
 )
-from footfall.plans.daily import EVENT_LAYOUT, ORDER_KEYS, ORDER_LAYOUT  # noqa: E402
-from footfall.sources.csv import read_csv, write_table  # noqa: E402
+from footfall.plans.daily import EVENT_LAYOUT, ORDER_KEYS, ORDER_LAYOUT, STEPS  # noqa: E402
+from footfall.sources.csv import ingest, write_table  # noqa: E402
 from footfall.sources.registry import stg_users as stg_users_model  # noqa: E402
+from footfall.storage import files  # noqa: E402
 from footfall.storage.files import shared_folder  # noqa: E402
 from footfall.storage.history import read_history, update_snapshot  # noqa: E402
-from footfall.storage.tables import incremental_replace, read_partitioned  # noqa: E402
+from footfall.storage.tables import (  # noqa: E402
+    create_if_absent,
+    incremental_replace,
+    read_partitioned,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,14 +102,22 @@ def _daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- loads -----------------------------------------------------------------------------
 
 
+def _load(name: str, rows: DataFrame, target: str, mode: str = "append") -> None:
+    """Writes rows as CSV and loads that."""
+    spark = rows.sparkSession
+    path = shared_folder(spark)
+    sample_data.write_csv(rows, path)
+    ingest(spark, name, path, target, LOAD_TS, mode)
+
+
 def _register_ingest(name: str, effective: str) -> None:
-    def ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-        path = shared_folder(spark)
-        sample_data.write_csv(sample_data.read(spark, sf_dir, sample_data.RAW[name]), path)
-        return read_csv(spark, name, path, LOAD_TS)
+    def load(spark: SparkSession, sf_dir: str) -> DataFrame:
+        target = shared_folder(spark)
+        _load(name, sample_data.read(spark, sf_dir, sample_data.RAW[name]), target)
+        return Sources(spark, {name: target}).logical(name)
 
-    ingest.__name__ = f"ingest_{name}"
-    query(oracle.raw_table(name, LOAD_TS, effective))(ingest)
+    load.__name__ = f"ingest_{name}"
+    query(oracle.raw_table(name, LOAD_TS, effective))(load)
 
 
 for _name, _effective in {
@@ -125,6 +138,16 @@ def stg_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stg_users_model(Sources(spark, {"users": users}))
 
 
+@query(sample_data.check_sql(sample_data.DISTRIBUTION_CENTERS))
+def create_if_absent_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first write stays; a second one, of other rows, does nothing."""
+    path = shared_folder(spark)
+    centers = sample_data.read(spark, sf_dir, sample_data.DISTRIBUTION_CENTERS)
+    create_if_absent(centers, path)
+    create_if_absent(centers.withColumn("id", F.col("id") + 1), path)
+    return spark.read.schema(centers.schema).parquet(path)
+
+
 @query(oracle.raw_table("events", LOAD_TS, "created_at"))
 def partitioned_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark)
@@ -473,9 +496,9 @@ def behavior_features_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 _DAYS = (date(2024, 1, 24), date(2024, 1, 25), date(2024, 1, 26))
 
 
-def _daily_run_sql() -> str:
+def _daily_run_sql(days: tuple[date, ...] = _DAYS) -> str:
     """The first run takes all orders and knows no state before; later runs take a day each."""
-    runs = [RunParams.for_day(day) for day in _DAYS]
+    runs = [RunParams.for_day(day) for day in days]
     parts = {
         "ev": f"SELECT * FROM ({oracle.EV}) e WHERE created_at < {oracle.at(runs[-1].end)}",
         "ed": oracle.daily_events(),
@@ -492,7 +515,7 @@ def _daily_run_sql() -> str:
               WHERE updated_at >= {oracle.at(run.start)} AND updated_at < {oracle.at(run.end)}"""
             daily.append(oracle.daily_orders(f"batch{i}", f"state{i - 1}"))
     parts["od"] = " UNION ALL ".join(f"SELECT * FROM ({sql}) d{i}" for i, sql in enumerate(daily))
-    return oracle.with_parts(oracle.features(_DAYS[-1]), **parts)
+    return oracle.with_parts(oracle.features(days[-1]), **parts)
 
 
 @query(_daily_run_sql())
@@ -514,6 +537,84 @@ def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return targets.read(spark, "behavior_features")
 
 
+def _two_loaded_days(spark: SparkSession, sf_dir: str) -> tuple[Sources, Targets]:
+    """Two days from CSV files on: each day's new events and changed orders are loaded and run."""
+    names = ("events", "orders", "order_items")
+    sources = Sources(spark, {name: shared_folder(spark) for name in names})
+    targets = Targets(shared_folder(spark))
+    first, second = (RunParams.for_day(day) for day in _DAYS[:2])
+    events = sample_data.read(spark, sf_dir, sample_data.FULL_EVENTS)
+    items = sample_data.read(spark, sf_dir, sample_data.FULL_ORDER_ITEMS)
+    orders = sample_data.orders_at(spark, sf_dir, second.end)
+
+    _load("events", events.where(F.col("created_at") < ntz(first.end)), sources.path("events"))
+    _load("orders", sample_data.orders_at(spark, sf_dir, first.end), sources.path("orders"))
+    _load("order_items", items, sources.path("order_items"))
+    run_daily(spark, sources, targets, first)
+    _load("events", batch_filter(events, "created_at", second), sources.path("events"))
+    changed = batch_filter(orders, "updated_at", second)
+    _load("orders", changed, sources.path("orders"), mode="replace")
+    run_daily(spark, sources, targets, second)
+    return sources, targets
+
+
+@query(_daily_run_sql(_DAYS[:2]))
+def loaded_daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files, stored raw tables and two daily runs on them, the second after a keyed load."""
+    return _two_loaded_days(spark, sf_dir)[1].read(spark, "behavior_features")
+
+
+@query(oracle.orders_state(RunParams.for_day(_DAYS[1]).end))
+def orders_loaded_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored orders after the second day's load: each once, in its latest state."""
+    sources = Sources(spark, {"orders": shared_folder(spark)})
+    first, second = (RunParams.for_day(day) for day in _DAYS[:2])
+    _load("orders", sample_data.orders_at(spark, sf_dir, first.end), sources.path("orders"))
+    changed = batch_filter(sample_data.orders_at(spark, sf_dir, second.end), "updated_at", second)
+    _load("orders", changed, sources.path("orders"), mode="replace")
+    return sources.logical("orders").drop("sys_create_date", "sys_effective_date")
+
+
+@query(
+    oracle.with_parts(
+        f"""SELECT *, 'int_daily_user_events' AS built FROM ed
+        WHERE activity_date <= DATE '{_DAYS[0]}'""",
+        ev=oracle.EV,
+        ed=oracle.daily_events(),
+    )
+)
+def daily_run_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run of one step, and the names of the tables it built."""
+    targets, params = Targets(shared_folder(spark)), RunParams.for_day(_DAYS[0])
+    events = sample_data.events(spark, sf_dir).where(F.col("created_at") < ntz(params.end))
+    steps = ["int_daily_user_events"]
+    run_daily(spark, Sources(spark, {"events": events}), targets, params, steps)
+    built = [step for step in STEPS if files.exists(spark, targets.path(step))]
+    return targets.read(spark, steps[0]).withColumn("built", F.lit(", ".join(built)))
+
+
+@query(
+    oracle.history(
+        {
+            run: f"""SELECT * EXCLUDE (created_at),
+              CASE WHEN order_id % 5 <> 0 THEN created_at END AS created_at
+            FROM ({oracle.orders_state(run)}) u"""
+            for run in _RUNS
+        }
+    )
+)
+def orders_snapshot_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recorded runs over orders of which a fifth have no creation date, and so no month."""
+    path = shared_folder(spark)
+    dated = F.when(F.col("order_id") % 5 != 0, F.col("created_at"))
+    for run in _RUNS:
+        state = sample_data.orders_at(spark, sf_dir, run).withColumn("created_at", dated)
+        update_snapshot(
+            spark, state, path, "order_id", CHECK, run_ts=run, month_of="created_at"
+        )
+    return read_history(spark, path, state.schema)
+
+
 # Training-data operators and their pipeline are optional; the library does without them.
 _added: dict[str, Query] = {}
 _added_sql: dict[str, str] = {}

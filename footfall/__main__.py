@@ -29,7 +29,7 @@ def _parser() -> argparse.ArgumentParser:
     load.add_argument("csv")
     load.add_argument("target")
     load.add_argument("--load-ts", type=datetime.fromisoformat, required=True)
-    load.add_argument("--mode", choices=("append", "overwrite", "ignore"), default="append")
+    load.add_argument("--mode", choices=("append", "replace", "overwrite", "ignore"), default="append")
     load.add_argument("--rejects", help="folder for rows that cannot be read")
     load.add_argument("--multiline", action="store_true")
 
@@ -43,6 +43,7 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--as-of", type=datetime.fromisoformat)
     run.add_argument("--steps", nargs="+", choices=STEPS, default=STEPS)
     run.add_argument("--full-refresh", action="store_true")
+    run.add_argument("--drop-anonymous", action="store_true", help="leave user 0's events out")
     return parser
 
 
@@ -80,7 +81,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     present = {name: f"{raw}/{name}" for name in TABLES if files.exists(spark, f"{raw}/{name}")}
     run_daily(
         spark,
-        Sources(spark, present),
+        Sources(spark, present, options.drop_anonymous),
         Targets(options.targets),
         params,
         options.steps,

@@ -1,8 +1,8 @@
-"""Exact money. Prices rest as doubles and are summed as whole ten-thousandths.
+"""Exact money. Prices rest as doubles and are summed as decimals of four places.
 
-A sum of doubles depends on the order of its rows, which a shuffle does not fix; a
-sum of integers does not, and unlike decimals it stays in registers. A sum may
-reach 9.2e14; beyond that the job stops, under Spark's default ANSI arithmetic.
+A sum of doubles depends on the order of its rows, which a shuffle does not fix. A price may
+have 20 digits before the point; a larger one, or one that is no number, stops the job, and so
+does a sum beyond its decimal, with and without ANSI arithmetic.
 """
 
 from __future__ import annotations
@@ -10,15 +10,27 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-UNITS = 10_000
+_EXACT = "decimal(24,4)"
 
 
-def units(price: Column) -> Column:
-    return F.rint(price * UNITS).cast("long")
+def exact(price: Column) -> Column:
+    """The price as a decimal; NULL stays NULL."""
+    value = price.try_cast(_EXACT)
+    message = F.concat(F.lit("not an amount of money: "), price.cast("string"))
+    lost = price.isNotNull() & value.isNull()
+    return F.when(lost, F.raise_error(message).cast(_EXACT)).otherwise(value)
 
 
-def amount(total: Column) -> Column:
-    return total.cast("double") / UNITS
+def total(value: Column) -> Column:
+    """Sum of decimals; NULL if all are."""
+    summed = F.sum(value)
+    lost = summed.isNull() & (F.count(value) > 0)
+    message = F.lit("a sum of money is too large")
+    return F.when(lost, F.raise_error(message).cast("decimal(38,4)")).otherwise(summed)
+
+
+def amount(summed: Column) -> Column:
+    return summed.cast("double")
 
 
 def average(total: Column, count: Column) -> Column:

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions.money import amount, average, units
+from footfall.functions.money import amount, average, exact
 from footfall.functions.status import is_churned
 from footfall.functions.time import days_until
 from footfall.operators.horizons import HORIZONS, horizon_sums, names, suffix
@@ -102,7 +102,7 @@ def user_event_features(daily_events: DataFrame, job_date: date) -> DataFrame:
 
 def user_order_agg(daily_orders: DataFrame, job_date: date) -> DataFrame:
     """Transition counts and amounts per user over each horizon, and the last order."""
-    amounts = {name: units(column) for name, column in _columns(ORDER_AMOUNTS).items()}
+    amounts = {name: exact(column) for name, column in _columns(ORDER_AMOUNTS).items()}
     summed = horizon_sums(
         daily_orders,
         ("user_id",),

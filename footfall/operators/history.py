@@ -80,12 +80,17 @@ def changed_keys(
 ) -> DataFrame:
     """Keys whose version starts now, with column ``also`` of the open and the new row.
 
+    ``had`` tells an open row whose ``also`` is NULL from no open row.
+
     Shuffles the key, the ``check`` columns and ``also``, and nothing else of either side.
     """
     columns = [*check, also]
     compared = _compare(open_versions, source, key, check, columns, columns)
     return compared.where("starts").select(
-        key, F.col(f"old.{also}").alias(f"old_{also}"), F.col(f"new.{also}").alias(f"new_{also}")
+        key,
+        F.col("old").isNotNull().alias("had"),
+        F.col(f"old.{also}").alias(f"old_{also}"),
+        F.col(f"new.{also}").alias(f"new_{also}"),
     )
 
 
@@ -96,7 +101,8 @@ def merge_versions(
 
     Changed keys get their open version closed and a new one started, new keys
     start one, all others stay, including keys gone from the source. Both sides are
-    read once, so runs can be chained lazily. For a history kept as a table use ``storage.history``, which rewrites only what changes.
+    read once, so runs can be chained lazily. For a history kept as a table use
+    ``storage.history``, which rewrites only what changes.
     """
     columns = history.columns
     compared = _compare(history, source, key, check, columns, source.columns)

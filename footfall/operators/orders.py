@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions.money import amount, units
+from footfall.functions.money import amount, exact, total
 from footfall.functions.status import CANCELLED, COMPLETED, became
 from footfall.functions.time import activity_day
 
@@ -13,16 +13,16 @@ from footfall.functions.time import activity_day
 ORDER_COLUMNS = ("order_id", "user_id", "status", "created_at", "updated_at")
 
 
-def _order_units(order_items: DataFrame) -> DataFrame:
+def _order_values(order_items: DataFrame) -> DataFrame:
     return order_items.groupBy("order_id").agg(
-        F.sum(units(F.col("sale_price"))).alias("order_units")
+        total(exact(F.col("sale_price"))).alias("order_value")
     )
 
 
 def order_amounts(order_items: DataFrame) -> DataFrame:
     """Value of each order: the sum of all its items."""
-    return _order_units(order_items).select(
-        "order_id", amount(F.col("order_units")).alias("order_amount")
+    return _order_values(order_items).select(
+        "order_id", amount(F.col("order_value")).alias("order_amount")
     )
 
 
@@ -60,11 +60,11 @@ def daily_user_orders(
         return F.sum(F.col(flag).cast("long"))
 
     def worth(flag: str):
-        value = F.when(F.col(flag), F.coalesce(F.col("order_units"), F.lit(0)))
-        return amount(F.sum(value.otherwise(0)))
+        value = F.when(F.col(flag), F.coalesce(F.col("order_value"), F.lit(0)))
+        return amount(total(value.otherwise(0)))
 
     return (
-        transitions.join(_order_units(order_items), "order_id", "left")
+        transitions.join(_order_values(order_items), "order_id", "left")
         .groupBy("user_id", activity_day(F.col("updated_at")).alias("activity_date"))
         .agg(
             F.max("created_at").alias("last_order_time"),

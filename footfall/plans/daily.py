@@ -26,8 +26,6 @@ from footfall.storage.tables import (
     recover,
 )
 
-# One million keys of 8 bytes: some tens of megabytes as a hash table.
-BROADCAST_KEYS = 1_000_000
 ORDER_KEYS = ("user_id", "activity_date")
 # Orders change far less often than events happen: their daily rows are kept by month.
 EVENT_LAYOUT = Layout()
@@ -76,17 +74,12 @@ def _batch(rows: DataFrame, moment: str, day: str, params: RunParams) -> DataFra
 
 
 def _rows_of(df: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """``df`` without rows that cannot meet ``batch`` on ``key``, an integer.
+    """``df`` without rows that cannot meet ``batch`` on ``key``.
 
-    The range of keys reaches the scan and skips files. If the batch has few enough
-    keys, they go to every task and the rest of ``df`` is dropped before any shuffle;
-    otherwise the join that follows sorts it out.
+    ``batch`` is a stored table, whose size Spark knows: keys of a small one go to every
+    task, and the rest of ``df`` is dropped before any shuffle.
     """
-    low, high, count = batch.agg(F.min(key), F.max(key), F.count("*")).head()
-    near = df.where(F.col(key).between(F.lit(low), F.lit(high)))
-    if count > BROADCAST_KEYS:
-        return near
-    return near.join(F.broadcast(batch.select(key)), key, "left_semi")
+    return df.join(batch.select(key), key, "left_semi")
 
 
 def orders_snapshot(

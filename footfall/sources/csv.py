@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 
 from footfall.functions.time import ntz
 from footfall.sources.schemas import LOAD_TIME, SPARK_TYPES, TABLES, Table
-from footfall.storage.tables import write_partitioned
+from footfall.storage import files
+from footfall.storage.tables import rebuild_partitioned, replace_keys, write_partitioned
 
 # What a missing value becomes in a column that does not take NULL,
 # the largest unsigned values, and the shapes of ids and addresses.
@@ -27,14 +29,17 @@ MISSING = {
     "datetime": "1970-01-01 00:00:00",
     "datetime?": None,
 }
+_OCTET = r"(25[0-5]|2[0-4]\d|1?\d?\d)"
 LARGEST = {"uint8": 255, "uint32": 4294967295, "uint64": 9223372036854775807}
 SHAPES = {
     "letter": r"^.?$",
     "uuid": r"^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$",
-    "ipv4": r"^((25[0-5]|2[0-4]\d|1?\d?\d)(\.|$)){4}$",
+    "ipv4": rf"^({_OCTET}\.){{3}}{_OCTET}$",
 }
 
 PROBLEMS = "problems"
+TEXT = "rejected"
+LOADED = "load_ts"
 LINE = "line"  # whole text of a line with too few or too many values
 
 
@@ -97,8 +102,11 @@ def _is_given(text: Column) -> Column:
     return text.isNotNull() & (text != "")
 
 
-def _typed(raw: DataFrame, table: Table, load_ts: datetime, stop: bool) -> DataFrame:
-    """Logical columns of ``table``. Unreadable text stops the job or counts as missing."""
+def _typed(
+    raw: DataFrame, table: Table, load_ts: datetime, stop: bool, beside: Sequence[Column] = ()
+) -> DataFrame:
+    """Logical columns of ``table``, and those ``beside`` them. Unreadable text stops the job or
+    counts as missing."""
 
     def value(name: str, kind: str) -> Column:
         text = F.col(f"`{name}`")
@@ -109,7 +117,7 @@ def _typed(raw: DataFrame, table: Table, load_ts: datetime, stop: bool) -> DataF
         return F.coalesce(_parse(text, kind), missing)
 
     kinds = _kinds(raw, table)
-    typed = raw.select(*[value(name, kind).alias(name) for name, kind in kinds.items()])
+    typed = raw.select(*[value(n, kind).alias(n) for n, kind in kinds.items()], *beside)
     for name, sql in table.derived.items():
         typed = typed.withColumn(name, F.expr(sql))
     for name, rule in table.system.items():
@@ -128,10 +136,10 @@ def read_csv(
     return _typed(raw, table, load_ts, stop=True).select(*table.logical)
 
 
-def read_csv_with_rejects(
-    spark: SparkSession, name: str, path: str, load_ts: datetime, multiline: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    """Sound rows of the table, and the others as text with the names of bad columns."""
+def _checked(
+    spark: SparkSession, name: str, path: str, load_ts: datetime, multiline: bool
+) -> DataFrame:
+    """Logical columns of all rows, the names of bad columns, and a bad row's text."""
     table = TABLES[name]
     raw = _read_text_and_broken_lines(spark, path, multiline)
     bad = [
@@ -139,19 +147,42 @@ def read_csv_with_rejects(
         for c, kind in _kinds(raw, table).items()
     ]
     bad.append(F.when(F.col(LINE).isNotNull(), F.lit(LINE)))
-    checked = raw.withColumn(PROBLEMS, F.filter(F.array(*bad), lambda p: p.isNotNull()))
-    sound = _typed(checked.where(F.size(PROBLEMS) == 0), table, load_ts, stop=False)
-    return sound.select(*table.logical), checked.where(F.size(PROBLEMS) > 0)
+    problems = F.filter(F.array(*bad), lambda p: p.isNotNull())
+    text = F.struct(*[F.col(f"`{c}`") for c in raw.columns], problems.alias(PROBLEMS))
+    text = F.when(F.size(problems) > 0, text).alias(TEXT)
+    return _typed(raw, table, load_ts, stop=False, beside=[text]).select(*table.logical, TEXT)
+
+
+def _parted(checked: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    sound = checked.where(F.col(TEXT).isNull()).select(*TABLES[name].logical)
+    return sound, checked.where(F.col(TEXT).isNotNull()).select(f"{TEXT}.*")
+
+
+def read_csv_with_rejects(
+    spark: SparkSession, name: str, path: str, load_ts: datetime, multiline: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Sound rows of the table, and the others as text with the names of bad columns."""
+    return _parted(_checked(spark, name, path, load_ts, multiline), name)
 
 
 def write_table(df: DataFrame, name: str, target: str, mode: str = "append") -> None:
-    """Writes a raw table in its layout. Appending the same load twice doubles its rows;
-    ``ignore`` writes only where there is no table yet."""
-    table = TABLES[name]
+    """Writes a raw table in its layout.
+
+    ``append`` adds the rows, so the same load twice doubles them; ``replace`` takes out the
+    rows whose key comes again; ``overwrite`` takes out all, once the new ones are written;
+    ``ignore`` writes only where there is no table yet.
+    """
+    table, spark = TABLES[name], df.sparkSession
     laid_out = df.select(
         "*", *[F.expr(sql).alias(column) for column, sql in table.partition_by.items()]
     )
-    write_partitioned(laid_out, target, list(table.partition_by), table.sort_by, mode)
+    layout = (list(table.partition_by), table.sort_by)
+    if mode == "replace":
+        replace_keys(spark, laid_out, target, table.key, *layout)
+    elif mode == "overwrite":
+        rebuild_partitioned(spark, laid_out, target, *layout)
+    else:
+        write_partitioned(laid_out, target, *layout, mode)
 
 
 def ingest(
@@ -167,12 +198,18 @@ def ingest(
     """Loads a CSV into a raw table; returns the number of rows put aside.
 
     Without a ``rejects`` folder an unreadable value stops the load. With one, its
-    row is written there as text and the rest is loaded.
+    row is added there as text, with the moment of the load, and the rest is loaded. The
+    CSV is read once and its rows wait beside the target.
     """
     if rejects is None:
         write_table(read_csv(spark, name, path, load_ts, multiline), name, target, mode)
         return 0
-    sound, rejected = read_csv_with_rejects(spark, name, path, load_ts, multiline)
-    rejected.write.mode("overwrite").parquet(rejects)
+    staged = f"{target.rstrip('/')}.load"
+    _checked(spark, name, path, load_ts, multiline).write.mode("overwrite").parquet(staged)
+    sound, rejected = _parted(spark.read.parquet(staged), name)
+    rejected = rejected.withColumn(LOADED, ntz(load_ts))
+    rejected.write.mode("append").parquet(rejects)
     write_table(sound, name, target, mode)
-    return spark.read.parquet(rejects).count()
+    count = rejected.count()
+    files.delete(spark, staged)
+    return count

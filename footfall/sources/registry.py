@@ -13,15 +13,29 @@ class Sources:
     """Looks raw tables up by name.
 
     A table is given as the folder ``ingest`` wrote, or as any DataFrame with the
-    table's columns.
+    table's columns. Events without a user belong to user 0, who may hold a large share of
+    them; ``drop_anonymous`` leaves them out.
     """
 
-    def __init__(self, spark: SparkSession, tables: Mapping[str, DataFrame | str]) -> None:
+    def __init__(
+        self,
+        spark: SparkSession,
+        tables: Mapping[str, DataFrame | str],
+        drop_anonymous: bool = False,
+    ) -> None:
         unknown = sorted(set(tables) - set(TABLES))
         if unknown:
             raise KeyError(f"not a raw table: {', '.join(unknown)}; known: {', '.join(TABLES)}")
         self._spark = spark
         self._tables = dict(tables)
+        self._drop_anonymous = drop_anonymous
+
+    def path(self, name: str) -> str:
+        """The folder of a table that was given as one."""
+        given = self._tables[name]
+        if not isinstance(given, str):
+            raise TypeError(f"{name} was not given as a folder")
+        return given
 
     def __getitem__(self, name: str) -> DataFrame:
         """The table; an ingested one with its partition columns, so that filters can prune."""
@@ -29,7 +43,9 @@ class Sources:
             raise KeyError(f"no source given for {name}")
         given = self._tables[name]
         if isinstance(given, str):
-            return self._spark.read.schema(TABLES[name].stored_schema).parquet(given)
+            given = self._spark.read.schema(TABLES[name].stored_schema).parquet(given)
+        if name == "events" and self._drop_anonymous:
+            return given.where("user_id <> 0")
         return given
 
     def logical(self, name: str) -> DataFrame:

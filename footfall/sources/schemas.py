@@ -32,7 +32,8 @@ class Table:
 
     ``derived`` gives SQL for columns computed from the others. ``system`` gives the
     columns a load fills in: ``LOAD_TIME``, or the column whose value they take; a
-    table with ``system_in_file`` prefers its file's own values. ``partition_by``
+    table with ``system_in_file`` prefers its file's own values. ``key`` tells its rows
+    apart. ``partition_by``
     gives SQL for the partition columns, which are extra to the logical ones: a
     partition value that is empty text would come back as NULL.
     """
@@ -43,6 +44,7 @@ class Table:
     sort_by: tuple[str, ...]
     derived: Mapping[str, str] = field(default_factory=dict)
     system_in_file: bool = False
+    key: str = "id"
 
     @property
     def logical(self) -> list[str]:
@@ -115,6 +117,7 @@ TABLES: dict[str, Table] = {
         system={"sys_create_date": LOAD_TIME, "sys_effective_date": "updated_at"},
         partition_by={"updated_day": "to_date(updated_at)"},
         sort_by=("created_at", "user_id", "order_id"),
+        key="order_id",
     ),
     "order_items": Table(
         columns={

@@ -30,6 +30,13 @@ def make_dirs(spark: SparkSession, path: str) -> None:
     fs.mkdirs(target)
 
 
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Makes a directory that goes with all in it when the driver ends."""
+    fs, target = _open(spark, path)
+    fs.mkdirs(target)
+    fs.deleteOnExit(target)
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     fs, destination = _open(spark, target)
     fs.mkdirs(destination.getParent())
@@ -60,10 +67,10 @@ def partitions(spark: SparkSession, path: str, depth: int) -> list[str]:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new directory in the folder that the cluster shares between its machines.
+    """The path of a new table in the folder that the cluster shares between its machines.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session, whose
-    machine is the whole cluster, may go without.
+    The cluster names the folder in ``spark.checkpoint.dir``. Only a local session, whose
+    machine is the whole cluster, may go without. The table goes when the driver ends.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -73,4 +80,6 @@ def shared_folder(spark: SparkSession) -> str:
         base = tempfile.mkdtemp(prefix="footfall-")
         atexit.register(shutil.rmtree, base, ignore_errors=True)
         context.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/footfall-{uuid4().hex}"
+    folder = f"{base.rstrip('/')}/footfall-{uuid4().hex}"
+    delete_at_exit(spark, folder)
+    return f"{folder}/table"

@@ -23,7 +23,8 @@ from footfall.storage.tables import read_partitioned, recover, replace_partition
 
 MONTH = "version_month"
 _PARTITIONS = ("valid_to", MONTH)
-_OPEN = "valid_to=__HIVE_DEFAULT_PARTITION__"  # how Spark names a NULL partition
+_NULL = "__HIVE_DEFAULT_PARTITION__"  # how Spark names a NULL partition
+_OPEN = f"valid_to={_NULL}"
 
 
 def history_schema(source: StructType) -> StructType:
@@ -65,8 +66,11 @@ def _ended(folder: str) -> datetime:
 
 def read_any_history(spark: SparkSession, path: str) -> DataFrame:
     """The history of a source whose columns are not known beforehand."""
-    history = spark.read.parquet(path).drop(MONTH)
-    return history.withColumn("valid_to", F.col("valid_to").cast("timestamp_ntz"))
+    # Spark would take the folder names of valid_to for moments in the session's zone.
+    kinds = {"valid_to": TimestampNTZType(), MONTH: StringType()}
+    found = spark.read.parquet(path).schema
+    schema = StructType([StructField(f.name, kinds.get(f.name, f.dataType)) for f in found])
+    return spark.read.schema(schema).parquet(path).drop(MONTH)
 
 
 def update_snapshot(
@@ -81,7 +85,8 @@ def update_snapshot(
     """Records the state of ``source`` at ``run_ts``.
 
     Running again on the same state adds nothing. Runs must move forward in time, and
-    the source must hold a key once.
+    the source must hold a key once. Rows whose ``month_of`` is NULL make up a month of
+    their own.
 
     Finding the changes takes the key and the compared columns of all open versions
     and of the whole source; whole rows are read for the months of the changes only.
@@ -105,10 +110,13 @@ def update_snapshot(
         if latest is not None and latest >= run_ts:
             raise ValueError(f"history already reaches {latest}; cannot record {run_ts}")
         keys = changes.select(key)
-        changed_rows = dated.where(F.col(MONTH).isin(months)).join(keys, key, "left_semi")
+        in_months = F.col(MONTH).isin([m for m in months if m is not None])
+        if None in months:
+            in_months = F.col(MONTH).isNull() | in_months
+        changed_rows = dated.where(in_months).join(keys, key, "left_semi")
         versions = started_versions(changed_rows, key, run_ts).select(*schema.fieldNames())
 
-        open_months = [f"{_OPEN}/{MONTH}={month}" for month in months]
+        open_months = [f"{_OPEN}/{MONTH}={_NULL if m is None else m}" for m in months]
         present = files.partitions(spark, f"{path}/{_OPEN}", 1)
         touched = [name for name in open_months if name.removeprefix(f"{_OPEN}/") in present]
         if touched:
@@ -120,8 +128,8 @@ def update_snapshot(
     files.delete(spark, staged)
 
 
-def _months(changes: DataFrame) -> list[str]:
+def _months(changes: DataFrame) -> list[str | None]:
     """Months in which open versions end or start: as many as the history has, at most."""
-    both = F.array(f"old_{MONTH}", f"new_{MONTH}")
-    found = changes.select(F.explode(both).alias("month")).where("month IS NOT NULL").distinct()
-    return sorted(row.month for row in found.collect())
+    ends = changes.where("had").select(F.col(f"old_{MONTH}").alias("month"))
+    starts = changes.select(F.col(f"new_{MONTH}").alias("month"))
+    return [row.month for row in ends.unionByName(starts).distinct().collect()]

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,6 +89,10 @@ def recover(spark: SparkSession, path: str, depth: int) -> None:
 
 
 def _move_in(spark: SparkSession, path: str, depth: int) -> None:
+    # The first build of a table is one move, however many partitions it has.
+    if not files.exists(spark, path):
+        files.move(spark, _pending(path), path)
+        return
     # A partition is gone from the waiting folder once it is in place, so a second
     # call only repeats what is left.
     files.make_dirs(spark, path)
@@ -163,6 +168,52 @@ def incremental_replace(
     files.delete(spark, staged)
 
 
+def replace_keys(
+    spark: SparkSession,
+    batch: DataFrame,
+    path: str,
+    key: str,
+    partition_by: Sequence[str],
+    sort_by: Sequence[str] = (),
+) -> None:
+    """Replaces the rows whose ``key`` comes again in ``batch``, in whatever partition they lie.
+
+    Of the table only the key and the partitions' names are read to find the partitions to
+    rewrite: those that hold a key of the batch, and those that gain rows.
+    """
+    recover(spark, path, len(partition_by))
+    if not files.exists(spark, path):
+        replace_partitions(spark, batch, path, partition_by, sort_by)
+        return
+    staged = f"{path.rstrip('/')}.batch"
+    files.delete(spark, staged)
+    write_partitioned(batch, staged, partition_by, sort_by)
+    fresh = read_partitioned(spark, staged, batch.schema)
+    stored = read_partitioned(spark, path, batch.schema)
+    # Folder names are read from the files' own paths, as they must be found again.
+    folder = F.regexp_extract(
+        F.input_file_name(), "/([^/]+=[^/]*" + "/[^/]+=[^/]*" * (len(partition_by) - 1) + ")/[^/]*$", 1
+    )
+    known = stored.select(key, folder.alias("folder"))
+    old = known.join(fresh.select(key), key, "left_semi").select("folder").distinct()
+    present = set(files.partitions(spark, path, len(partition_by)))
+    gaining = present.intersection(files.partitions(spark, staged, len(partition_by)))
+    losing = {_same_name(row.folder, present) for row in old.collect()}
+    touched = sorted(losing | gaining)
+    rest = read_partitioned(spark, path, batch.schema, only=touched)
+    replaced = delete_insert(rest, fresh, [key])
+    replace_partitions(spark, replaced, path, partition_by, sort_by, also_empty=touched)
+    files.delete(spark, staged)
+
+
+def _same_name(folder: str, names: set[str]) -> str:
+    """The directory that a file's path names; paths may be given with escapes once more."""
+    plain = folder if folder in names else unquote(folder)
+    if plain not in names:
+        raise RuntimeError(f"no partition {folder}")
+    return plain
+
+
 def _swap_in(spark: SparkSession, path: str) -> None:
     path = path.rstrip("/")
     if files.is_complete(spark, f"{path}.next"):

@@ -58,13 +58,24 @@ def test_running_a_day_again_changes_nothing(spark, targets, step):
     assert content(targets.read(spark, step)) == before
 
 
-def test_keys_beyond_the_broadcast_limit_give_the_same(spark, targets, monkeypatch):
+def test_a_day_without_broadcasts_gives_the_same(spark, targets):
     before = content(targets.read(spark, "int_daily_user_orders"))
-    monkeypatch.setattr(daily, "BROADCAST_KEYS", 0)
-    run(spark, targets, DAYS[-1], steps=["int_daily_user_orders"])
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        run(spark, targets, DAYS[-1], steps=["int_daily_user_orders"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert content(targets.read(spark, "int_daily_user_orders")) == before
 
 
+def test_anonymous_events_can_be_left_out(spark, rows):
+    events = rows("id bigint, user_id bigint", (1, 0), (2, 7))
+    assert Sources(spark, {"events": events})["events"].count() == 2
+    known = Sources(spark, {"events": events}, drop_anonymous=True)
+    assert [r.user_id for r in known["events"].collect()] == [7]
+
+
 def test_no_working_tables_are_left(spark, targets):
     from pathlib import Path
 

@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from footfall.operators.history import as_of, as_of_join, first_versions, merge_versions
-from footfall.storage.history import read_history, update_snapshot
+from footfall.storage.history import read_any_history, read_history, update_snapshot
 
 ORDER = (
     "order_id bigint, status string, created_at timestamp_ntz, updated_at timestamp_ntz, "
@@ -112,6 +112,44 @@ def test_nothing_at_first(spark, rows, tmp_path):
     assert versions(history) == {(1, "Processing", DAY[2], None)}
 
 
+def test_rows_without_a_month(spark, rows, tmp_path):
+    """NULL is a month like any other, for new orders, changed ones and moves from and to it."""
+    path = str(tmp_path / "history")
+    first = [order(1, "P", created=None), order(2, "P"), order(3, "P", created=None)]
+    record(spark, path, rows(ORDER, *first), DAY[0])
+    second = [
+        order(1, "C", created=None),
+        order(2, "C", created=None),
+        order(3, "C"),
+        order(4, "P", created=None),
+    ]
+    record(spark, path, rows(ORDER, *second), DAY[1])
+    record(spark, path, rows(ORDER, *second), DAY[2])
+    assert versions(read_history(spark, path, rows(ORDER).schema)) == {
+        (1, "P", DAY[0], DAY[1]),
+        (2, "P", DAY[0], DAY[1]),
+        (3, "P", DAY[0], DAY[1]),
+        (1, "C", DAY[1], None),
+        (2, "C", DAY[1], None),
+        (3, "C", DAY[1], None),
+        (4, "P", DAY[1], None),
+    }
+
+
+def test_a_session_zone_does_not_move_the_end_of_a_version(spark, rows, tmp_path):
+    path, run = str(tmp_path / "history"), datetime(2024, 3, 31)  # no midnight in Beirut
+    record(spark, path, rows(ORDER, order(1, "P")), DAY[0])
+    record(spark, path, rows(ORDER, order(1, "C")), run)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Beirut")
+    try:
+        known = versions(read_history(spark, path, rows(ORDER).schema))
+        assert known == versions(read_any_history(spark, path))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert (1, "P", DAY[0], run) in known
+
+
 def test_runs_must_move_forward(spark, states, tmp_path):
     path = str(tmp_path / "history")
     record(spark, path, states[0], DAY[2])

@@ -77,8 +77,29 @@ def test_an_order_whose_items_span_two_users_counts_once(rows):
     assert (row.completed_order_count, row.total_completed_order_amount) == (1, 5.0)
 
 
-def test_a_sum_beyond_the_range_stops_instead_of_wrapping(spark, rows):
-    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
-    items = rows(ITEM, (1, 9e14), (1, 9e14))
-    with pytest.raises(PySparkException, match="OVERFLOW"):
-        order_amounts(items).collect()
+@pytest.fixture(params=["true", "false"])
+def ansi(spark, request):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_large_sums_are_exact(spark, rows, ansi):
+    (row,) = order_amounts(rows(ITEM, (1, 5e14), (1, 6e14), (1, 0.25))).collect()
+    assert row.order_amount == 1.1e15 + 0.25
+    items = rows(ITEM, (1, 9e19), (1, 9e19))
+    assert order_amounts(items).head().order_amount == 1.8e20
+    completed = rows(ORDER, order(1, "Completed"))
+    day = daily_user_orders(completed, rows(STATE), items).head()
+    assert day.total_completed_order_amount == 1.8e20
+
+
+@pytest.mark.parametrize("price", [1e21, float("nan"), float("inf")])
+def test_prices_beyond_the_range_stop_the_job(spark, rows, ansi, price):
+    with pytest.raises(PySparkException, match="not an amount of money"):
+        order_amounts(rows(ITEM, (1, price))).collect()
+
+
+def test_orders_without_prices_have_no_amount(rows):
+    assert order_amounts(rows(ITEM, (1, None))).head().order_amount is None
