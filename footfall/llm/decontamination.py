@@ -46,7 +46,7 @@ def _symbols(hashes: np.ndarray, rows: np.ndarray, n_rows: int) -> tuple[np.ndar
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     """Starts of all suffixes, ordered by their first ``depth`` symbols at least.
 
-    Symbols are below 2**31. Each round doubles the ordered length; only suffixes still
+    Symbols are below 2**31; 0 ends a row, and what comes after it does not matter. Each round doubles the ordered length; only suffixes still
     tied are ordered again.
     """
     n = len(text)
@@ -57,7 +57,7 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     key = np.zeros(n, np.int64)
     for k in range(length):
         key <<= bits
-        key[: n - k] |= text[k:]
+        key[: max(0, n - k)] |= text[k:]
     order = np.argsort(key)
     rank = np.empty(n, np.int64)
     first = np.ones(n, bool)

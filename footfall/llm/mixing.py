@@ -87,7 +87,8 @@ def mix(
         (F.col("target") - F.floor(rate) * F.col("source_size")).alias("_lacking"),
     )
 
-    place = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce("doc_id", F.lit("-")), "size"))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))
+    place = F.md5(F.concat_ws(":", F.lit(str(seed)), name, "size"))
     placed = df.withColumns({"_key": _key(F.col("source")), "_place": place})
     placed = placed.withColumn("_bucket", F.substring("_place", 1, BUCKET_DIGITS))
     filled = placed.groupBy("_key", "_bucket").agg(F.sum("size").alias("_filled"))

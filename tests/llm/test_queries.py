@@ -1,0 +1,240 @@
+"""The registered queries: against SQL, brute force, or held-out accuracy."""
+
+from __future__ import annotations
+
+import math
+import re
+import zlib
+from collections import Counter
+
+import pytest
+from compare import connect, difference
+
+import corpus_pipeline
+from footfall.llm.queries import QUERIES
+from footfall.llm.sql import ORACLE
+
+SF_DIR = "/root/testdata/sf0.001"
+LARGER = "/root/testdata/sf0.01"
+WORD = re.compile("[^\x20\x09-\x0d]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+@pytest.fixture(scope="module")
+def connection():
+    with connect(SF_DIR) as opened:
+        yield opened
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    documents = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    return {r.doc_id: r.text or "" for r in documents.select("doc_id", "text").collect()}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_against_sql(spark, connection, name):
+    assert difference(spark, connection, QUERIES[name], ORACLE[name], SF_DIR) is None
+
+
+def _counts(text):
+    words = WORD.findall(text)
+    triples = Counter(zip(words, words[1:], words[2:], strict=False))
+    repeated = set()
+    for i in range(len(words) - 2):
+        if triples[tuple(words[i : i + 3])] > 1:
+            repeated |= {i, i + 1, i + 2}
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    n, r = len(words), len(repeated)
+    return (
+        n,
+        sum(map(len, words)),
+        len(re.findall(r"[#*$%&|<>]", text)),
+        len(lines) - len(set(lines)),
+        r,
+        n < 50 or 100 * r > 50 * n,
+    )
+
+
+def test_quality_rules(spark, texts):
+    rows = QUERIES["op1_quality_rules"](spark, SF_DIR).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        assert tuple(row)[1:7] == _counts(texts[row.doc_id])
+        assert not (row.kept and row.base_failed)
+        if texts[row.doc_id] and not row.base_failed:
+            assert row.kept or row.ratio < 0.3 or row.ratio > 0.7 or row.n_bad_chunks
+
+
+def test_license_scan(spark, texts):
+    rows = QUERIES["op4_license_scan"](spark, SF_DIR).collect()
+    found = {r.doc_id: {x.template for x in r.licenses if x.coverage == 1} for r in rows}
+    notices = {
+        "MIT notice": "Released under the MIT License.",
+        "CC-BY-NC-4.0 notice": "Licensed under CC BY-NC 4.0.",
+        "Apache-2.0 notice": "Licensed under the Apache License, Version 2.0.",
+        "GPL-3.0 notice": "licensed under the GNU General Public License, version 3.",
+    }
+    assert any(found.values())
+    for name, notice in notices.items():
+        assert {d for d, x in found.items() if name in x} == {
+            d for d, text in texts.items() if notice in text
+        }
+
+
+def test_language_model(spark, texts):
+    rows = QUERIES["op5_language_model"](spark, SF_DIR).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    tokens = {d: [*WORD.findall(t.translate(LOWER)), ""] for d, t in texts.items()}
+    counts = Counter()
+    for d, own in tokens.items():
+        if zlib.crc32(str(d).encode()) % 7 != 2:
+            counts.update(own)
+    total = sum(counts.values())
+    for r in rows:
+        own = tokens[r.doc_id]
+        base = sum(math.log10((counts[t] + 1) / (total + len(counts) + 1)) for t in own)
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 7 == 2)
+        assert (r.n_tokens, r.train_tokens) == (len(own), total)
+        assert r.n_known == sum(t in counts for t in own)
+        assert math.isclose(r.base_score, base, rel_tol=1e-9)
+        assert r.score < 0
+
+
+def test_language_model_learns(spark):
+    held = [r for r in QUERIES["op5_language_model"](spark, LARGER).collect() if r.held_out]
+    assert sum(r.score for r in held) > 0.99 * sum(r.base_score for r in held)
+    assert sum(r.score > r.base_score for r in held) > 0.9 * len(held)
+
+
+def test_classifier_on_held_out_labels(spark):
+    scored = QUERIES["op6_compression_classifier"](spark, LARGER)
+    labels = spark.read.parquet(f"{LARGER}/labels.parquet")
+    rows = scored.where("held_out").join(labels, "doc_id").collect()
+    good = [r.score for r in rows if r.quality == 1]
+    bad = [r.score for r in rows if r.quality == 0]
+    above = sum((g > b) + (g == b) / 2 for g in good for b in bad)
+    assert above / (len(good) * len(bad)) > 0.9
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in rows)
+
+
+def test_mixing_comes_near_its_targets(spark):
+    rows = QUERIES["op10_mixing"](spark, LARGER).collect()
+    assert all(0 <= r.taken <= 2 * r.size for r in rows)
+    sources = {r.doc_id: r.source for r in spark.read.parquet(f"{LARGER}/documents.parquet").collect()}
+    taken, target, largest = Counter(), {}, Counter()
+    for r in rows:
+        source = sources[r.doc_id]
+        taken[source] += r.taken
+        target[source] = r.target
+        largest[source] = max(largest[source], r.size)
+    for source, goal in target.items():
+        assert abs(taken[source] - goal) <= largest[source]
+    total = sum(r.size for r in rows)
+    assert math.isclose(sum(target.values()), 1.5 * total)
+    again = QUERIES["op10_mixing"](spark, LARGER).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, rows))
+
+
+# --- the pipeline ----------------------------------------------------------------------
+
+
+def _shingles(text, size=5):
+    words = WORD.findall(text.translate(LOWER))
+    if len(words) < size:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
+
+
+def _groups(texts):
+    """Least id of each text's component, by comparing all pairs that share a shingle."""
+    sets = {d: _shingles(t) for d, t in texts.items()}
+    owners, label = {}, {d: d for d in texts}
+    for d, own in sets.items():
+        for s in own:
+            owners.setdefault(s, []).append(d)
+
+    def root(d):
+        while label[d] != d:
+            d = label[d]
+        return d
+
+    for a, own in sets.items():
+        for b in {d for s in own for d in owners[s] if d > a}:
+            both = len(own & sets[b])
+            if 100 * both >= 80 * (len(own) + len(sets[b]) - both):
+                x, y = sorted((root(a), root(b)))
+                label[y] = x
+    return {d: root(d) for d in texts}
+
+
+def _without_repeats(texts, length=200):
+    raw = {d: t.encode() for d, t in texts.items()}
+    seen = Counter(b[i : i + length] for b in raw.values() for i in range(len(b) - length + 1))
+    out = {}
+    for d, b in raw.items():
+        gone = bytearray(len(b))
+        for i in range(len(b) - length + 1):
+            if seen[b[i : i + length]] > 1:
+                gone[i : i + length] = b"\1" * length
+        left = bytes(c for c, g in zip(b, gone, strict=True) if not g).decode(errors="ignore")
+        if left or not b:
+            out[d] = left
+    return out
+
+
+def _contaminated(text, passages):
+    words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", text.translate(LOWER))
+    joined = " " + " ".join(words) + " "
+    return any(f" {p} " in joined for p in passages)
+
+
+def test_pipeline_against_brute_force(spark, texts):
+    """Every stage on what the one before kept, decided again in plain Python."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    columns = docs.schema.simpleString()
+    kept = dict(texts)
+    names = []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF_DIR)
+        assert docs.schema.simpleString() == columns
+        rows = docs.collect()
+        got = {r.doc_id: r.text for r in rows}
+        assert len(got) == len(rows)
+        names.append(name)
+        if name == "quality rules":
+            ruled = QUERIES["op1_quality_rules"](spark, SF_DIR).where("kept").collect()
+            want = {r.doc_id: kept[r.doc_id] for r in ruled}
+        elif name == "near-duplicates":
+            group = _groups(kept)
+            want = {d: t for d, t in kept.items() if group[d] == d}
+        elif name == "repeated strings":
+            want = _without_repeats(kept)
+            assert all(r.n_chars == len(r.text) for r in rows)
+        else:
+            items = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()
+            passages = set()
+            for item in items:
+                words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", item.text.translate(LOWER))
+                passages |= {" ".join(words[i : i + 10]) for i in range(max(1, len(words) - 9))}
+            want = {d: t for d, t in kept.items() if not _contaminated(t, passages - {""})}
+        assert got == want, name
+        assert len(want) < len(kept) or want != kept, name
+        kept = want
+        docs = spark.createDataFrame(rows, docs.schema)
+    assert names == [
+        "quality rules",
+        "near-duplicates",
+        "repeated strings",
+        "benchmark decontamination",
+    ]
+    name, stage = corpus_pipeline.STAGES[-1]
+    taken = Counter(r.doc_id for r in stage(spark, docs, SF_DIR).collect())
+    assert set(taken) <= set(kept) and max(taken.values()) <= 2
+    words = {d: len(WORD.findall(t)) for d, t in kept.items()}
+    total = sum(words[d] * n for d, n in taken.items())
+    assert abs(total / sum(words.values()) - 1.5) < 0.25
+
+
+def test_pipeline_runs(spark):
+    assert corpus_pipeline.run(spark, SF_DIR).count() > 0
