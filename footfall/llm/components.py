@@ -8,22 +8,29 @@ from pyspark.sql import functions as F
 from footfall.llm.tables import kept
 
 
-def _both_ways(edges: DataFrame) -> DataFrame:
-    return edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+def _large_star(stars: DataFrame) -> DataFrame:
+    """Moves the larger neighbours of each node to the least of all its neighbours and itself.
+
+    ``a`` is the larger end of an edge and ``b`` the smaller. A node may have a large share
+    of all edges where it is the smaller end: minima combine before their shuffle, and the
+    join is one that adaptive execution can split.
+    """
+    ends = stars.select(F.col("a").alias("node"), F.col("b").alias("least")).unionByName(
+        stars.select(F.col("b").alias("node"), F.col("b").alias("least"))
+    )
+    least = ends.groupBy("node").agg(F.min("least").alias("least"))
+    moved = stars.withColumnRenamed("b", "node").join(least, "node")
+    return moved.select("a", F.col("least").alias("b"))
 
 
-def _star(links: DataFrame, larger: bool) -> DataFrame:
-    """Moves neighbours ``b`` of each ``a`` to the least of them all."""
-    least = links.groupBy("a").agg(F.min("b").alias("least"))
-    least = least.withColumn("least", F.least("a", "least"))
-    moved = links.join(least, "a")
-    if larger:
-        moved = moved.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), "least")
-    else:
-        ends = moved.select("a", "least")
-        moved = ends.unionByName(moved.select(F.col("b").alias("a"), "least"))
-    moved = moved.where(F.col("a") > F.col("least"))
-    return moved.select("a", F.col("least").alias("b")).distinct()
+def _small_star(stars: DataFrame) -> DataFrame:
+    """Moves the smaller neighbours of each node, and itself, to the least of them."""
+    edges = stars.repartition("a")
+    least = edges.groupBy("a").agg(F.min("b").alias("least"))
+    moved = edges.join(least, "a")
+    ends = F.explode(F.array("a", "b"))
+    moved = moved.select(ends.alias("a"), F.col("least").alias("b"))
+    return moved.where("a <> b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -40,8 +47,7 @@ def components(edges: DataFrame) -> DataFrame:
     )
     state = None
     while True:
-        stars = _star(_both_ways(stars), larger=True)
-        stars = kept(_star(stars, larger=False))
+        stars = kept(_small_star(_large_star(stars)))
         check = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
         before, state = state, tuple(stars.agg(F.count("*"), check).head())
         if state == before:

@@ -183,111 +183,146 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _links(texts: pa.Table, size: int, percent: int) -> pa.Table:
-    """Links between a few texts that join what ``part`` does not say is joined already."""
+    """The parts of a few texts that links join: each with the least that it is joined to.
+
+    Texts of one ``part`` are joined already and are not compared.
+    """
     unpack = zstandard.ZstdDecompressor()
     block = block_of([unpack.decompress(x) for x in texts.column("packed").to_pylist()])
-    keys, parts = texts.column("key").to_pylist(), texts.column("part").to_pylist()
+    parts = texts.column("part").to_pylist()
     found, rows = shingles(block, size)
     vocabulary, ids = np.unique(found, return_inverse=True)
     pairs = np.unique(rows.astype(np.int64) * len(vocabulary) + ids)
     rows, ids = np.divmod(pairs, max(1, len(vocabulary)))
-    offsets = np.searchsorted(rows, np.arange(len(keys) + 1))
+    offsets = np.searchsorted(rows, np.arange(len(parts) + 1))
     sizes = np.diff(offsets)
-    parent = {p: p for p in parts}
-
-    def root(p):
-        while parent[p] != p:
-            parent[p] = parent[parent[p]]
-            p = parent[p]
-        return p
-
-    a, b = [], []
+    # Parts by number, in their order: a root is the least of its tree.
+    names = sorted(set(parts))
+    number = {part: i for i, part in enumerate(names)}
+    root = np.array([number[part] for part in parts], np.int64)  # of each text
     marked = np.zeros(len(vocabulary) + 1, np.int64)
-    for i in range(len(keys) - 1):
-        roots = np.array([root(p) != root(parts[i]) for p in parts[i + 1 :]])
-        near = (100 * np.minimum(sizes[i + 1 :], sizes[i])
-                >= percent * np.maximum(sizes[i + 1 :], sizes[i]))
-        if not (roots & near).any():
+    for i in range(len(parts) - 1):
+        rest = slice(i + 1, None)
+        small, large = np.minimum(sizes[rest], sizes[i]), np.maximum(sizes[rest], sizes[i])
+        apart = (root[rest] != root[i]) & (100 * small >= percent * large)
+        if not apart.any():
             continue
         own = ids[offsets[i] : offsets[i + 1]]
         marked[own] = 1
         total = np.concatenate([[0], np.cumsum(marked[ids[offsets[i + 1] :]])])
         common = np.diff(total[offsets[i + 1 :] - offsets[i + 1]])
         marked[own] = 0
-        union = sizes[i] + sizes[i + 1 :] - common
-        for j in np.flatnonzero(roots & (100 * common >= percent * union)) + i + 1:
-            x, y = root(parts[i]), root(parts[j])
-            if x != y:
-                parent[x] = y
-                a.append(keys[i])
-                b.append(keys[j])
-    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+        union = sizes[i] + sizes[rest] - common
+        near = apart & (100 * common >= percent * union)
+        if near.any():
+            joined = np.append(root[rest][near], root[i])
+            root[np.isin(root, joined)] = joined.min()
+    moved = {part: names[r] for part, r in zip(parts, root.tolist(), strict=True)}
+    moved = {part: r for part, r in moved.items() if part != r}
+    return pa.table(
+        {"a": pa.array(moved, pa.binary()), "b": pa.array(moved.values(), pa.binary())}
+    )
 
 
 def _verified(df: DataFrame, family: DataFrame, size: int, percent: int) -> DataFrame:
-    """Edges that connect all texts of a family whose full sets link them.
+    """``key`` and ``label`` of texts whose full sets link them with others of their family.
 
-    A family is compared in blocks of bounded size. Each block of a large one holds some
-    texts of all, so what lies in the middle is joined at once; the texts that then stay
-    outside their family's largest part are compared with all others of the family.
+    A family is compared in blocks of bounded size, most in one, which then knows its
+    components. Each block of a larger family holds some texts of all its blocks, so what
+    lies in the middle is joined at once; the texts that then stay outside their family's
+    largest part are compared with all others of it.
     """
 
     def link(texts: pa.Table) -> pa.Table:
         return _links(texts, size, percent)
 
-    packed = _packed(df).join(family, "key").dropDuplicates(["key"])
+    # Texts go by key whatever the sizes are, to meet their family and each other.
+    packed = _packed(df).join(family.hint("merge"), "key").dropDuplicates(["key"])
     packed = kept(packed.select("key", "label", "packed", "n_bytes"))
-    sums = packed.groupBy("label").agg(
-        F.count("*").alias("n"), F.sum("n_bytes").alias("bytes")
-    )
+    sums = packed.groupBy("label").agg(F.count("*").alias("n"), F.sum("n_bytes").alias("bytes"))
     n_blocks = F.greatest(
         F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(F.col("bytes") / BLOCK_TEXT_BYTES)
-    ).cast("int")
-    sums = sums.select("label", n_blocks.alias("n_blocks"), F.ceil(F.col("n") / PIVOTS).alias("rare"))
-    rows = packed.join(sums.where("rare >= 1"), "label")
+    )
+    rare = F.ceil(F.col("n") / PIVOTS)
+    sums = sums.select("label", n_blocks.cast("int").alias("n_blocks"), rare.alias("rare"))
+    rows = packed.join(sums, "label").withColumn("part", F.col("key"))
     own = F.pmod(F.xxhash64(F.lit(1), "key"), F.col("n_blocks")).cast("int")
     pivot = (F.col("n_blocks") > 1) & (F.pmod(F.xxhash64(F.lit(2), "key"), F.col("rare")) == 0)
     every = F.when(pivot, F.sequence(F.lit(0), F.col("n_blocks") - 1)).otherwise(F.array(own))
-    first = rows.select("label", "key", "packed", F.col("key").alias("part"), F.explode(every).alias("i"))
-    edges = kept(first.groupBy("label", "i").applyInArrow(link, "a binary, b binary"))
-
+    first = rows.select(
+        "label", "n_blocks", "packed", "part", F.explode(every).alias("block")
+    )
+    edges = first.groupBy("label", "n_blocks", "block").applyInArrow(
+        lambda key, texts: _flagged(link(texts), key[1].as_py() == 1),
+        "a binary, b binary, whole boolean",
+    )
+    edges = kept(edges)
+    labels = edges.where("whole").select(F.col("a").alias("key"), F.col("b").alias("label"))
     large = rows.where("n_blocks > 1")
     if large.isEmpty():
-        return edges
-    parts = components(edges).select(F.col("node").alias("key"), F.col("label").alias("part"))
-    large = large.join(parts, "key", "left").withColumn("part", F.coalesce("part", "key"))
+        return labels
+
+    parts = kept(components(edges.where(~F.col("whole"))))
+    parts = parts.select(F.col("node").alias("key"), F.col("label").alias("part"))
+    large = large.drop("part").join(parts, "key", "left")
+    large = large.withColumn("part", F.coalesce("part", "key"))
     counts = large.groupBy("label", "part").agg(F.count("*").alias("n"))
+    largest = F.max_by("part", F.struct("n", "part")).alias("main")
     most = counts.groupBy("label").agg(
-        F.max_by("part", F.struct("n", "part")).alias("main"), F.sum("n").alias("all")
+        largest, (F.sum("n") - F.max("n")).alias("outside")
     )
-    most = most.join(counts.withColumnsRenamed({"part": "main", "n": "n_main"}), ["label", "main"])
-    outside = F.ceil((F.col("all") - F.col("n_main")) * 2 / BLOCK_TEXTS).cast("int")
-    large = large.join(most.select("label", "main", outside.alias("n_out")), "label")
-    large = large.where("n_out > 0")
+    large = large.join(most.where("outside > 0"), "label")
+    n_out = F.ceil(F.col("outside") * 2 / BLOCK_TEXTS).cast("int")
+    large = large.withColumn("n_out", n_out)
+    # A grid of blocks: outsiders by all texts.
     out_block = F.pmod(F.xxhash64(F.lit(3), "key"), F.col("n_out")).cast("int")
-    cells = F.transform(F.sequence(F.lit(0), F.col("n_out") - 1), lambda i: F.struct(i.alias("i"), own.alias("j")))
-    across = F.transform(
-        F.sequence(F.lit(0), F.col("n_blocks") - 1), lambda j: F.struct(out_block.alias("i"), j.alias("j"))
+    column = F.transform(
+        F.sequence(F.lit(0), F.col("n_out") - 1),
+        lambda i: F.struct(i.alias("i"), own.alias("j")),
     )
-    cells = F.when(F.col("part") == F.col("main"), cells).otherwise(
-        F.array_distinct(F.concat(cells, across))
+    line = F.transform(
+        F.sequence(F.lit(0), F.col("n_blocks") - 1),
+        lambda j: F.struct(out_block.alias("i"), j.alias("j")),
     )
-    rest = large.select("label", "key", "packed", "part", F.explode(cells).alias("cell"))
-    rest = rest.select("label", "key", "packed", "part", "cell.i", "cell.j")
-    more = rest.groupBy("label", "i", "j").applyInArrow(link, "a binary, b binary")
-    return edges.unionByName(more)
+    cells = F.when(F.col("part") == F.col("main"), column).otherwise(
+        F.array_distinct(F.concat(column, line))
+    )
+    grid = large.select("label", "packed", "part", F.explode(cells).alias("cell"))
+    grid = grid.select("label", "packed", "part", "cell.i", "cell.j")
+    more = kept(grid.groupBy("label", "i", "j").applyInArrow(link, "a binary, b binary"))
+    if not more.isEmpty():
+        joined = components(more).withColumnsRenamed({"node": "part", "label": "joined"})
+        parts = parts.join(joined, "part", "left").select(
+            "key", F.coalesce("joined", "part").alias("part")
+        )
+        # Parts of one text stand in no edge of the first round.
+        new = joined.join(parts, joined["part"] == parts["key"], "left_anti")
+        parts = parts.unionByName(new.select(F.col("part").alias("key"), F.col("joined").alias("part")))
+    return labels.unionByName(parts.withColumnRenamed("part", "label"))
+
+
+def _flagged(edges: pa.Table, whole: bool) -> pa.Table:
+    return edges.append_column("whole", pa.array([whole] * len(edges), pa.bool_()))
 
 
 def _packed(df: DataFrame) -> DataFrame:
-    """Texts compressed for their way through shuffles."""
+    """Texts compressed for their way through shuffles; a task sends a text once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressor = zstandard.ZstdCompressor(level=3)
+        seen: set[bytes] = set()
         for block in blocks(batches):
-            n = len(block.offsets) - 1
-            packed = pa.array([compressor.compress(block.text(i)) for i in range(n)], pa.binary())
+            new = []
+            for i, key in enumerate(block.rows.column("key").to_pylist()):
+                if key not in seen:
+                    seen.add(key)
+                    new.append(i)
+            packed = pa.array([compressor.compress(block.text(i)) for i in new], pa.binary())
             yield replace_columns(
-                block.rows, ["key"], packed=packed, n_bytes=np.diff(block.offsets).astype(np.int64)
+                block.rows.take(pa.array(new, pa.int64())),
+                ["key"],
+                packed=packed,
+                n_bytes=np.diff(block.offsets)[new].astype(np.int64),
             )
 
     texts = narrowed(df, text="string").select(_key(F.col("text")).alias("key"), "text")
@@ -297,10 +332,8 @@ def _packed(df: DataFrame) -> DataFrame:
 def _decided(df: DataFrame, size: int, percent: int) -> DataFrame:
     sketched = kept(_sketched(df, size))
     family = kept(components(_families(sketched))).withColumnRenamed("node", "key")
-    labels = components(_verified(df, family, size, percent))
-    parts = sketched.select("doc_id", "key", "n_shingles").join(
-        labels.withColumnRenamed("node", "key"), "key", "left"
-    )
+    labels = _verified(df, family, size, percent)
+    parts = sketched.select("doc_id", "key", "n_shingles").join(labels, "key", "left")
     parts = parts.withColumn("part", F.coalesce("label", "key")).drop("label")
     some = parts.where("n_shingles > 0")
     least = some.groupBy("part").agg(F.min("doc_id").alias("component_id"))
