@@ -38,7 +38,7 @@ ROWS = 4096  # hashed rows of weights per feature of the class
 MEMBER_ROWS = 8192
 CLASS_FEATURES, MEMBER_FEATURES = 3, 2
 ROUNDS = 4
-BATCH = 1 << 14
+BATCH = 1 << 15
 STEP = 0.1
 PART = 1 << 14  # weights that are summed up together
 _END_HASH = np.uint64(0x5851F42D4C957F2D)
@@ -107,7 +107,7 @@ class _Shard:
             "learn": pa.array([self.learn], pa.list_(pa.bool_())),
             "offsets": pa.array([offsets], pa.list_(pa.int32())),
             "ids": pa.array([pack(new[ids].tobytes())], pa.binary()),
-            "hashes": pa.array([hashes[order].tobytes()], pa.binary()),
+            "hashes": pa.array([_brief(hashes)[order].tobytes()], pa.binary()),
             "endings": pa.array([np.concatenate(self.endings)[first][order]], pa.list_(pa.int8())),
             "words": pa.array([[self.words[i] for i in first[order]]], pa.list_(pa.binary())),
             "counts": pa.array([counts[order]], pa.list_(pa.int32())),
@@ -115,6 +115,11 @@ class _Shard:
         return pa.RecordBatch.from_pydict(values)
 
 
+def _brief(hashes: np.ndarray) -> np.ndarray:
+    """Half of a word's hash: enough to pick weights, and to know one of a few listed words."""
+    return (hashes >> np.uint64(32)).astype(np.uint32)
+
+
 def shards(df: DataFrame) -> DataFrame:
     """Texts with ``learn`` as numbered tokens, a row per ``SHARD_BYTES`` or longer text."""
 
@@ -140,7 +145,7 @@ def _tokens(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, ...]:
     return (
         np.frombuffer(raw, np.int32),
         batch.column("offsets")[i].values.to_numpy(),
-        np.frombuffer(batch.column("hashes")[i].as_py(), np.uint64),
+        np.frombuffer(batch.column("hashes")[i].as_py(), np.uint32).astype(np.uint64),
         batch.column("endings")[i].values.to_numpy(),
     )
 
@@ -163,20 +168,39 @@ class Model:
 
 
 def _vocabulary(table: DataFrame) -> DataFrame:
-    """``shard``, ``word``, ``at``, ``n`` (of training), ``ending`` of each shard's words."""
+    """``shard``, ``word``, ``place`` and ``n`` (of training) of each shard's words.
+
+    ``place`` is the word's number in the shard and its ending.
+    """
     listed = F.posexplode(F.arrays_zip("words", "counts", "endings"))
     return table.select("shard", listed.alias("at", "x")).select(
         "shard",
-        "at",
+        (F.col("at").cast("long") * ENDINGS + F.col("x.endings")).alias("place"),
         F.col("x.words").alias("word"),
         F.col("x.counts").cast("long").alias("n"),
-        F.col("x.endings").cast("int").alias("ending"),
     )
 
 
-def untrained(table: DataFrame, totals: DataFrame) -> Model:
+def totals(table: DataFrame) -> DataFrame:
+    """``shard``, ``place``, ``n``, ``total``, ``word`` where they tell something.
+
+    ``total`` counts a word over all shards. A row stands for each word of a shard that
+    does not know it, having ``n`` of it alone; and one for each word at all, with the
+    ``word``. A word has a row per shard, which meet where its sum is.
+    """
+    rows = _vocabulary(table).repartition("word")
+    own = F.struct("shard", "place")
+    sums = rows.groupBy("word").agg(F.sum("n").alias("total"), F.min(own).alias("first"))
+    once = F.when(own == F.col("first"), F.col("word"))
+    found = rows.join(sums, "word").select("shard", "place", "n", "total", once.alias("word"))
+    return found.where("total <> n OR word IS NOT NULL")
+
+
+def untrained(table: DataFrame, found: DataFrame) -> Model:
     """The model with zero weights: only sums and a list of fixed length reach the driver."""
-    known = totals.where("n > 0")
+    ending = (F.col("place") % ENDINGS).cast("int").alias("ending")
+    known = found.where("word IS NOT NULL AND total > 0")
+    known = known.select("word", F.col("total").alias("n"), ending)
     n_tokens, n_distinct = known.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).head()
     end = known.where(F.col("word") == END.encode()).collect()
     top = known.where(F.col("word") != END.encode()).orderBy(F.desc("n"), "word")
@@ -197,16 +221,15 @@ def untrained(table: DataFrame, totals: DataFrame) -> Model:
     by_ending = np.array([per_ending.get(e, (0, 0)) for e in range(ENDINGS)], float)
     in_class = np.concatenate([counts.reshape(LISTED, MEMBERS).sum(axis=1), by_ending[:, 0]])
     order = np.argsort(hashes)
-    with np.errstate(divide="ignore"):
-        member_bias = np.log(counts.reshape(LISTED, MEMBERS) + 1e-6)
+    member_bias = np.log(counts.reshape(LISTED, MEMBERS) + 1e-6)
     size = CLASS_FEATURES * ROWS * CLASSES + MEMBER_FEATURES * MEMBER_ROWS * MEMBERS
     return Model(
         n_tokens,
         n_distinct,
         hashes[order],
         order.astype(np.int64),
-        np.log(in_class + 1.0).astype(np.float32),
-        member_bias.astype(np.float32),
+        _normal(np.log(in_class + 1.0)[None])[0],
+        _normal(member_bias),
         np.log10(by_ending.sum(axis=1) + 1),
         np.zeros(size, np.float32),
     )
@@ -214,9 +237,14 @@ def untrained(table: DataFrame, totals: DataFrame) -> Model:
 
 def _hash(word: bytes) -> int:
     if word == END.encode():
-        return int(_END_HASH)
+        return int(_brief(np.array([_END_HASH]))[0])
     block = block_of([word])
-    return int(word_hashes(block, find_words(block, SPACED))[0])
+    return int(_brief(word_hashes(block, find_words(block, SPACED)))[0])
+
+
+def _normal(logs: np.ndarray) -> np.ndarray:
+    """Logarithms of odds as those of chances, row by row."""
+    return (logs - np.log(np.exp(logs).sum(axis=1, keepdims=True))).astype(np.float32)
 
 
 # --- the softmaxes ---------------------------------------------------------------------
@@ -282,31 +310,38 @@ def _added(tables: np.ndarray, rows: list[np.ndarray], bias: np.ndarray) -> np.n
     for table, row in zip(tables[1:], rows[1:], strict=True):
         out += np.take(table, row, axis=0)
     out += bias
-    out -= out.max(axis=1, keepdims=True)
-    return out
+    # Biases are logarithms of chances, so only runaway weights come near this.
+    return np.minimum(out, 80, out=out)
+
+
+# Sums along short rows go by matrix products, which are far faster than reductions.
+_ONES = np.ones(CLASSES, np.float32)
+_UP_TO = np.triu(np.ones((CLASSES, CLASSES), np.float32))
 
 
 def _log_chance(scores: np.ndarray, target: np.ndarray) -> np.ndarray:
     picked = scores[np.arange(len(target)), target].astype(np.float64)
-    return picked - np.log(np.exp(scores).sum(axis=1, dtype=np.float64))
+    return picked - np.log((np.exp(scores) @ _ONES).astype(np.float64))
 
 
 def _descend(tables, squares, rows, scores, target, random) -> None:
     """One step of gradient descent; a drawn outcome stands for the expected one."""
-    odds = np.cumsum(np.exp(scores), axis=1)
-    drawn = (odds < random.random(len(target), dtype=np.float32)[:, None] * odds[:, -1:]).sum(axis=1)
+    odds = np.exp(scores, out=scores) @ _UP_TO
+    limit = random.random(len(target), dtype=np.float32) * odds[:, -1]
     width = scores.shape[1]
+    drawn = ((odds < limit[:, None]).astype(np.float32) @ _ONES).astype(np.int64)
     drawn = np.minimum(drawn, width - 1)
     scale = 1.0 / math.sqrt(len(target))
     for table, square, row in zip(tables, squares, rows, strict=True):
         flat = row * width
         size = table.size
-        gradient = np.bincount(flat + drawn, minlength=size) - np.bincount(
-            flat + target, minlength=size
-        )
-        gradient = (gradient * scale).astype(np.float32).reshape(table.shape)
-        square += gradient * gradient
-        table -= STEP * gradient / np.sqrt(square + 1e-6)
+        gradient = np.bincount(flat + drawn, minlength=size)
+        gradient -= np.bincount(flat + target, minlength=size)
+        at = np.flatnonzero(gradient)
+        change = gradient[at] * np.float32(scale)
+        flat_square = square.reshape(-1)
+        flat_square[at] += change * change
+        table.reshape(-1)[at] -= STEP * change / np.sqrt(flat_square[at] + 1e-6)
 
 
 # --- training --------------------------------------------------------------------------
@@ -424,7 +459,7 @@ def _score_shard(net: _Net, batch: pa.RecordBatch, i: int) -> dict[str, np.ndarr
     }
 
 
-def score(table: DataFrame, totals: DataFrame, model: Model) -> DataFrame:
+def score(table: DataFrame, found: DataFrame, model: Model) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -432,19 +467,18 @@ def score(table: DataFrame, totals: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 doc_ids = batch.column("doc_ids")[i].values
-                found = _score_shard(net, batch, i)
+                scored = _score_shard(net, batch, i)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": doc_ids,
-                        **{k: pa.array(v) for k, v in found.items()},
+                        **{k: pa.array(v) for k, v in scored.items()},
                         "train_tokens": pa.array([model.n_tokens] * len(doc_ids), pa.int64()),
                     }
                 )
 
-    # A word of one shard has its count there; only the others' counts go back.
-    wanted = _vocabulary(table).select("shard", "at", "word")
-    back = wanted.join(totals.where("shards > 1").select("word", "n"), "word")
-    back = back.groupBy("shard").agg(F.collect_list(F.struct("at", "n")).alias("shared"))
+    at = F.floor(F.col("place") / ENDINGS).cast("int").alias("at")
+    back = found.where("total <> n").groupBy("shard")
+    back = back.agg(F.collect_list(F.struct(at, F.col("total").alias("n"))).alias("shared"))
     columns = ["shard", "doc_ids", "offsets", "ids", "hashes", "endings", "counts"]
     rows = table.select(*columns).join(back, "shard", "left").drop("shard")
     return rows.mapInArrow(
@@ -454,14 +488,6 @@ def score(table: DataFrame, totals: DataFrame, model: Model) -> DataFrame:
     )
 
 
-def totals(table: DataFrame) -> DataFrame:
-    """``word``, ``n``, ``shards``, ``ending`` of all words; ``n`` counts training text only."""
-    found = _vocabulary(table).groupBy("word")
-    return found.agg(
-        F.sum("n").alias("n"), F.count("*").alias("shards"), F.max("ending").alias("ending")
-    )
-
-
 def score_texts(df: DataFrame, rounds: int = ROUNDS, seed: int = 5) -> DataFrame:
     """Scores all rows of ``df`` (``doc_id``, ``text``, ``learn``), learning from some.
 
