@@ -4,7 +4,8 @@ Every window of ``length`` bytes has an anchor, the piece of it whose hash is le
 windows have equal anchors wherever they stand. Consecutive windows with one anchor make up
 a stretch of text. Stretches meet by anchor; those with the same bytes are equal as a whole,
 and the different ones of an anchor are cut into suffixes and sorted, which shows every
-window that they have in common.
+window that they have in common. If an anchor has too many for one task, they are cut into
+parts of a few windows, which meet by the bytes that all windows of a part hold.
 """
 
 from __future__ import annotations
@@ -27,29 +28,24 @@ from footfall.llm.words import (
     powers,
     prefix_hashes,
     replace_columns,
-    slice_hashes,
 )
 
 LENGTH = 200
 PIECE = 48  # bytes of an anchor
 SEGMENT = 4 << 20  # of a very long text that is cut into stretches at once
-CROWD = 512  # stretches of an anchor that are sorted together; more are counted by window
-SORT_BYTES = 2 << 20  # of stretches that a sort takes at once
+CROWD = 1 << 20  # bytes of an anchor's stretches that are sorted together; more are cut into parts
+PARTS = (40, 8, 1)  # windows in a part of a crowded stretch, then of a part still crowded
+SORT_BYTES = 1 << 18  # of stretches that a sort takes at once
 _PLACE = np.uint64((1 << 24) - 1)
 
 
-def stretches(data: np.ndarray, offsets: np.ndarray, length: int):
-    """(start, end, anchor, whether the anchor occurs twice in it) of all stretches.
-
-    Stretches do not cross ``offsets``. Their windows are all windows of the data, each in
-    one stretch.
-    """
+def _places(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the anchor of each window of the data begins, and the anchors' hashes."""
     piece = min(PIECE, length)
     width = length - piece + 1  # pieces in a window
     n = len(data) - piece + 1
     if n < width:
-        none = np.zeros(0, np.int64)
-        return none, none, none.astype(np.uint64), none.astype(bool)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     prefix = prefix_hashes(data)
     power = powers(len(prefix))[1]
     hashes = mix((prefix[piece:] - prefix[:-piece]) * power[:n])
@@ -64,9 +60,21 @@ def stretches(data: np.ndarray, offsets: np.ndarray, length: int):
     n_windows = n - width + 1
     least = np.minimum(back[:n_windows], ahead[width - 1 : width - 1 + n_windows])
     place = (least & _PLACE).astype(np.int64)
-    anchor = hashes[place]
+    return place, hashes[place]
+
+
+def stretches(data: np.ndarray, offsets: np.ndarray, length: int):
+    """(start, end, anchor, whether the anchor occurs twice in it) of all stretches.
+
+    Stretches do not cross ``offsets``. Their windows are all windows of the data, each in
+    one stretch.
+    """
+    place, anchor = _places(data, length)
+    n_windows = len(place)
+    if not n_windows:
+        none = np.zeros(0, np.int64)
+        return none, none, none.astype(np.uint64), none.astype(bool)
     # Windows inside one text.
-    starts = np.arange(n_windows)
     inside = np.zeros(n_windows, bool)
     for a, b in zip(offsets[:-1], offsets[1:] - length + 1, strict=True):
         inside[a : max(a, b)] = True
@@ -79,7 +87,7 @@ def stretches(data: np.ndarray, offsets: np.ndarray, length: int):
         return none, none, none.astype(np.uint64), none.astype(bool)
     groups = np.cumsum(new)[inside]
     counts = np.bincount(groups - groups[0])
-    ends = starts[heads] + counts[counts > 0] - 1 + length
+    ends = heads + counts[counts > 0] - 1 + length
     twice = place[heads] != place[ends - length]
     return heads, ends, anchor[heads], twice
 
@@ -153,30 +161,47 @@ def _shared_stretches(texts: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            rows = zip(*[batch.column(c).to_pylist() for c in ("key", "packed", "starts")], strict=True)
-            for key, packed, wanted in rows:
+            columns = [batch.column(c).to_pylist() for c in ("key", "packed", "starts")]
+            for key, packed, wanted in zip(*columns, strict=True):
                 text = unpack.decompress(packed)
                 start, end, anchor, twice = _cut(text, length)
                 wanted = np.array(wanted)
                 take = np.isin(start, np.where(wanted < 0, -1 - wanted, wanted))
                 start, end, anchor, twice = start[take], end[take], anchor[take], twice[take]
-                pieces = [text[a:b] for a, b in zip(start, end, strict=True)]
-                digests = [hashlib.blake2b(x, digest_size=16).digest() for x in pieces]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "anchor": pa.array(anchor.view(np.int64)),
-                        "key": pa.array([key] * len(pieces), pa.binary()),
-                        "start": pa.array(start, pa.int64()),
-                        "twice": pa.array(twice),
-                        "digest": pa.array(digests, pa.binary()),
-                        "piece": pa.array(pieces, pa.binary()),
-                    }
-                )
-
-    return texts.mapInArrow(
-        run,
-        "anchor long, key binary, start long, twice boolean, digest binary, piece binary",
-    )
+                rows = []
+                for name, a, b, own in zip(
+                    *[x.tolist() for x in (anchor.view(np.int64), start, end, twice)], strict=True
+                ):
+                    if own:
+                        rows += _periods(name, a, text[a:b], length)
+                    else:
+                        rows.append((name, a, False, text[a:b], None))
+                yield _stretch_rows(key, rows)
+
+    return texts.mapInArrow(run, STRETCH)
+
+
+def _periods(name: int, start: int, piece: bytes, length: int) -> Iterator[tuple]:
+    """A stretch that holds its anchor twice, without windows that come again a period later.
+
+    They are told as spans, byte by byte equal; the last of equal ones stands for them.
+    """
+    data = np.frombuffer(piece, np.uint8)
+    place, _ = _places(data, length)
+    n_windows = len(place)
+    gaps = np.diff(place)
+    period = int(np.bincount(gaps[gaps > 0]).argmax()) if gaps.any() else 0
+    live = np.ones(n_windows, bool)
+    if 0 < period < n_windows:
+        wrong = np.concatenate([[0], np.cumsum(data[:-period] != data[period:])])
+        again = np.flatnonzero(wrong[length:] == wrong[:-length])  # windows that come again
+        live[again] = False
+        found = np.zeros(n_windows, bool)
+        found[again] = found[again + period] = True
+        for a, b in _spans(found, start, length):
+            yield name, a, False, None, b
+    for a, b in _spans(live, 0, length):
+        yield name, start + a, True, piece[a:b], None
 
 
 def _common_windows(pieces: list[bytes], groups: np.ndarray, length: int) -> list[np.ndarray]:
@@ -191,21 +216,7 @@ def _common_windows(pieces: list[bytes], groups: np.ndarray, length: int) -> lis
     suffixes = Suffixes(data, length)
     found = np.zeros(len(starts), bool)
 
-    # A piece that holds its anchor twice repeats itself at some period. Windows equal to
-    # the one a period later stand for it no more: the later one does.
-    live = np.ones(len(starts), bool)
-    for i in np.flatnonzero(n_windows > length):
-        own = np.arange(first[i], first[i + 1])
-        head = pieces[i][:PIECE]
-        period = pieces[i].find(head, 1)
-        if 0 < period < len(own):
-            a, b = own[:-period], own[period:]
-            same = suffixes.common(starts[a], starts[b]) >= length
-            same[same] = verified(data, starts[a[same]], starts[b[same]], length)
-            found[a[same]] = found[b[same]] = True
-            live[a[same]] = False
-    left = np.flatnonzero(live)
-    order = left[suffixes.sorted(starts[left], groups[owner[left]])]
+    order = suffixes.sorted(starts, groups[owner])
     near, far = order[:-1], order[1:]
     same = groups[owner[near]] == groups[owner[far]]
     near, far = near[same], far[same]
@@ -267,40 +278,90 @@ def _sorted_spans(mixed: DataFrame, length: int) -> DataFrame:
     return sorted_.mapInArrow(run, SPANS)
 
 
-def _counted_spans(crowded: DataFrame, length: int) -> DataFrame:
-    """Spans of stretches whose anchor is in too many, by counting windows.
+def _parts(crowded: DataFrame, length: int, size: int) -> DataFrame:
+    """Stretches cut into parts of at most ``size`` windows that may equal each other's.
 
-    Two 64-bit hashes of different kinds and the anchor name a window, so that its count
-    combines before it is shuffled.
+    Equal windows have their anchor at the same distance, so windows are put together by
+    distance, ``size`` of them in a row. All windows of a part hold the same middle; parts
+    meet by it, which stands in for the anchor.
     """
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "piece"):
-            data = block.data
-            prefix = prefix_hashes(data)
-            sizes = np.diff(block.offsets) - length + 1
-            rows = np.repeat(np.arange(len(sizes)), sizes)
-            first = np.concatenate([[0], np.cumsum(sizes)])
-            starts = np.arange(first[-1]) - first[:-1][rows] + block.offsets[:-1][rows]
-            other = prefix_hashes(mix(data.astype(np.uint64) + np.uint64(7)))
-            yield replace_columns(
-                block.rows.take(pa.array(rows)),
-                ["anchor", "key"],
-                first=pa.array(
-                    block.rows.column("start").to_numpy()[rows] + starts - block.offsets[:-1][rows]
-                ),
-                name=pa.array(slice_hashes(prefix, starts, starts + length).view(np.int64)),
-                name2=pa.array(slice_hashes(other, starts, starts + length).view(np.int64)),
-            )
+    def cut(piece: bytes) -> Iterator[tuple[int, int, int]]:
+        place, _ = _places(np.frombuffer(piece, np.uint8), length)
+        group = (place - np.arange(len(place))) // size
+        new = np.ones(len(place), bool)
+        new[1:] = (place[1:] != place[:-1]) | (group[1:] != group[:-1])
+        heads = np.flatnonzero(new)
+        for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(place)], strict=True):
+            far = int(group[a]) * size  # least distance of the anchor, to be in this part
+            middle = piece[place[a] - far : place[a] - far - size + 1 + length]
+            name = hashlib.blake2b(b"%d:" % group[a] + middle, digest_size=8).digest()
+            yield int.from_bytes(name, "little", signed=True), a, b - 1 + length
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("key", "start", "piece")]
+            for key, start, piece in zip(*columns, strict=True):
+                rows = [(name, start + a, False, piece[a:b], None) for name, a, b in cut(piece)]
+                yield _stretch_rows(key, rows)
 
-    rows = crowded.select("anchor", "key", "start", "piece").mapInArrow(
-        windows, "anchor long, key binary, first long, name long, name2 long"
+    return crowded.select("key", "start", "piece").mapInArrow(run, STRETCH)
+
+
+# A stretch, or a span if it has an end and no bytes.
+STRETCH = (
+    "anchor long, key binary, start long, twice boolean, digest binary, piece binary, end long"
+)
+
+
+def _stretch_rows(key: bytes, rows: list[tuple]) -> pa.RecordBatch:
+    anchors, starts, twice, pieces, ends = zip(*rows, strict=True) if rows else ((),) * 5
+    digests = [x and hashlib.blake2b(x, digest_size=16).digest() for x in pieces]
+    return pa.RecordBatch.from_pydict(
+        {
+            "anchor": pa.array(anchors, pa.int64()),
+            "key": pa.array([key] * len(rows), pa.binary()),
+            "start": pa.array(starts, pa.int64()),
+            "twice": pa.array(twice, pa.bool_()),
+            "digest": pa.array(digests, pa.binary()),
+            "piece": pa.array(pieces, pa.binary()),
+            "end": pa.array(ends, pa.int64()),
+        }
+    )
+
+
+def _matched(found: DataFrame, length: int, parts: tuple[int, ...] = PARTS) -> DataFrame:
+    """Spans of all windows that two of the stretches, or two places of one, have in common."""
+    own = found.where("piece IS NULL").select("key", F.col("start").alias("first"), "end")
+    found = found.where("piece IS NOT NULL")
+    same = ["anchor", "digest"]
+    place = F.xxhash64("key", "start")
+    pieces = found.groupBy(*same).agg(
+        F.min(place).alias("low"), F.max(place).alias("high"), F.max(F.length("piece")).alias("size")
+    )
+    per_anchor = pieces.groupBy("anchor").agg(
+        F.count("*").alias("n"), F.sum("size").alias("bytes")
+    )
+    state = found.select("anchor", "key", "start", "digest", F.length("piece").alias("size"))
+    repeats = pieces.where("low <> high").select(*same)
+    equal = state.join(repeats, same).select(
+        "key", F.col("start").alias("first"), (F.col("start") + F.col("size")).alias("end")
+    )
+    # One of each different stretch, where an anchor has several or repeats in one.
+    one = found.withColumn("place", place).join(
+        pieces.select("anchor", "digest", F.col("low").alias("place")), [*same, "place"]
     )
-    names = ["anchor", "name", "name2"]
-    place = F.xxhash64("key", "first")
-    twice = rows.groupBy(*names).agg(F.min(place).alias("low"), F.max(place).alias("high"))
-    twice = twice.where("low <> high").select(*names)
-    return rows.join(twice, names).select("key", "first", (F.col("first") + length).alias("end"))
+    one = one.join(per_anchor, "anchor").where("n > 1 OR twice")
+    one = kept(one.select("anchor", "key", "start", "piece", "bytes"))
+    # Parts of one window hold nothing but their middle: no two of them differ.
+    small = F.col("bytes") <= CROWD if parts else F.lit(True)
+    spans = own.unionByName(equal).unionByName(_sorted_spans(one.where(small), length))
+    crowded = one.where(~small)
+    if crowded.isEmpty():
+        return spans
+    spread = crowded.repartition("key", "start")  # crowds lie in few of the table's files
+    finer = kept(_parts(spread, length, parts[0]))
+    return spans.unionByName(_matched(finer, length, parts[1:]))
 
 
 def repeated_spans(df: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
@@ -310,7 +371,7 @@ def repeated_spans(df: DataFrame, length: int = LENGTH) -> tuple[DataFrame, Data
     texts = df.select(
         _key(F.col("text")).alias("key"), F.xxhash64("text").alias("brief"), "text"
     ).where(F.octet_length("text") >= length)
-    anchors = _anchors(texts, length).repartition("anchor")
+    anchors = kept(_anchors(texts, length)).repartition("anchor")
     place = F.xxhash64("brief", "start")
     shared = anchors.groupBy("anchor").agg(
         F.min(place).alias("low"), F.max(place).alias("high"), F.min("start").alias("start")
@@ -321,26 +382,7 @@ def repeated_spans(df: DataFrame, length: int = LENGTH) -> tuple[DataFrame, Data
     some = _packed(texts, length).join(wanted, "brief").dropDuplicates(["key"])
     some = kept(some.select("key", "packed", "starts"))
 
-    found = kept(_shared_stretches(some, length))
-    same = ["anchor", "digest"]
-    place = F.xxhash64("key", "start")
-    pieces = found.groupBy(*same).agg(F.min(place).alias("low"), F.max(place).alias("high"))
-    per_anchor = pieces.groupBy("anchor").agg(F.count("*").alias("n"))
-    state = found.select("anchor", "key", "start", "digest", F.length("piece").alias("size"))
-    repeats = pieces.where("low <> high").select(*same)
-    equal = state.join(repeats, same).select(
-        "key", F.col("start").alias("first"), (F.col("start") + F.col("size")).alias("end")
-    )
-    # One of each different stretch, where an anchor has several or repeats in one.
-    one = found.withColumn("place", place).join(
-        pieces.select("anchor", "digest", F.col("low").alias("place")), [*same, "place"]
-    )
-    one = one.join(per_anchor, "anchor").where("n > 1 OR twice")
-    one = kept(one.select("anchor", "key", "start", "piece", "n"))
-    sorted_ = _sorted_spans(one.where(F.col("n") <= CROWD), length)
-    counted = _counted_spans(one.where(F.col("n") > CROWD), length)
-    spans = equal.unionByName(sorted_).unionByName(counted)
-    return spans, some
+    return _matched(kept(_shared_stretches(some, length)), length), some
 
 
 def _removed(spans: DataFrame, texts: DataFrame) -> DataFrame:
@@ -372,7 +414,8 @@ def _removed(spans: DataFrame, texts: DataFrame) -> DataFrame:
             ("remaining", pa.binary()),
         ]
     )
-    each = spans.distinct().groupBy("key").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
+    both = F.collect_list(F.struct("first", "end")).alias("spans")
+    each = spans.distinct().groupBy("key").agg(both)
     return texts.select("key", "packed").join(each, "key").mapInArrow(
         run, "key binary, n_removed long, n_spans long, remaining binary"
     )
@@ -444,7 +487,7 @@ def without_repeats(df: DataFrame, length: int = LENGTH) -> DataFrame:
         "remaining",
     )
     broken = judged.where("_valid IS NULL").mapInArrow(
-        _mended, "_judged binary, _valid string, remaining binary"
+        _mended, "_judged binary, remaining binary, _valid string"
     )
     judged = judged.where("_valid IS NOT NULL").unionByName(broken)
     rows = df.withColumn("_key", _key(F.coalesce("text", F.lit(""))))
@@ -459,5 +502,5 @@ def _mended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [x.decode(errors="ignore") for x in batch.column("remaining").to_pylist()]
         yield replace_columns(
-            batch, ["_judged"], _valid=pa.array(texts, pa.string()), remaining=batch.column("remaining")
+            batch, ["_judged", "remaining"], _valid=pa.array(texts, pa.string())
         )

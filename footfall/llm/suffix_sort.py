@@ -23,15 +23,23 @@ class Suffixes:
 
     def common(self, p: np.ndarray, q: np.ndarray) -> np.ndarray:
         """Length of the common prefix of suffixes p and q, by bisection over prefix hashes."""
-        length = np.zeros(len(p), np.int64)
+        found = np.full(len(p), self.depth)
         hp, hq, wp, wq = self.prefix[p], self.prefix[q], self.powers[p], self.powers[q]
+        # Most suffixes compared are equal to the full depth.
+        whole = (self.prefix[p + self.depth] - hp) * wq == (self.prefix[q + self.depth] - hq) * wp
+        rest = np.flatnonzero(~whole)
+        if not len(rest):
+            return found
+        p, q, hp, hq, wp, wq = (x[rest] for x in (p, q, hp, hq, wp, wq))
+        length = np.zeros(len(rest), np.int64)
         step = 1 << (self.depth.bit_length() - 1)
         while step:
             longer = np.minimum(length + step, self.depth)
             same = (self.prefix[p + longer] - hp) * wq == (self.prefix[q + longer] - hq) * wp
             length = np.where(same, longer, length)
             step >>= 1
-        return length
+        found[rest] = length
+        return found
 
     def less(self, p: np.ndarray, q: np.ndarray) -> np.ndarray:
         """Whether suffix p comes before q; equal ones go by place."""
@@ -86,9 +94,7 @@ class Suffixes:
             pair = base[at] + (run // 2) * 2 * width
             own = (at - base[at]) % width
             target = pair + own + (low - other)
-            merged = order.copy()
-            merged[target] = order[at]
-            order = merged
+            order[target] = order[at]  # the same places, filled anew
             width *= 2
         return order
 

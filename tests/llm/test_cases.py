@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -129,6 +131,69 @@ def test_a_cut_character_goes_as_a_whole(spark):
     assert got == {1: "1", 2: "2"}
 
 
+def _passages():
+    """Passages of about 200 bytes and copies of others, in different surroundings."""
+    random.seed(9)
+
+    def words(n):
+        stems = ["the", "of", "élan", "q", "ipsum"]
+        return " ".join(f"{random.choice(stems)}{random.randrange(50)}" for _ in range(n))
+
+    base = [words(120) for _ in range(3)]
+    texts = [base[0], base[0], "ab " * 300, "ab " * 500 + "x", "a" * 900]
+    for _ in range(40):
+        cut = random.choice([185, 195, 199, 200, 205, 230])
+        texts.append(words(20) + base[2][:cut] + words(20))
+    for _ in range(15):
+        a = random.randrange(200)
+        texts.append(words(5) + base[1][a : a + random.randrange(150, 500)] + words(9))
+    return texts + [words(30) + "a" * 250, words(30) + "a" * 150, f"line {words(8)}\n" * 30]
+
+
+@pytest.mark.parametrize("crowd", [1 << 20, 1])
+def test_crowded_anchors_give_the_same(spark, monkeypatch, crowd):
+    monkeypatch.setattr(substring_dedup, "CROWD", crowd)
+    texts = _passages()
+    raw = [t.encode() for t in texts]
+    seen = Counter(b[i : i + 200] for b in raw for i in range(len(b) - 199))
+    want = []
+    for i, b in enumerate(raw):
+        gone = bytearray(len(b))
+        for k in range(len(b) - 199):
+            if seen[b[k : k + 200]] > 1:
+                gone[k : k + 200] = b"\1" * 200
+        runs = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
+        left = bytes(c for c, g in zip(b, gone, strict=True) if not g)
+        want.append((i, len(b), sum(gone), runs, hashlib.sha256(left).hexdigest()))
+    df = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    got = substring_dedup.repeated_strings(df).collect()
+    assert sorted(map(tuple, got)) == want
+
+
+@pytest.mark.parametrize("block", [512, 5])
+def test_large_families_give_the_same(spark, monkeypatch, block):
+    monkeypatch.setattr(near_dedup, "BLOCK_TEXTS", block)
+    monkeypatch.setattr(near_dedup, "PIVOTS", 2)
+    random.seed(6)
+    texts = []
+    for family in range(3):
+        base = [f"w{family}x{i}" for i in range(70)]
+        for _ in range(20):
+            odds = random.choice([0.01, 0.04, 0.08, 0.3])
+            texts.append(" ".join(w if random.random() > odds else "y" for w in base))
+    sets = [set(zip(t.split(), t.split()[1:], strict=False)) for t in texts]
+    label = list(range(len(texts)))
+    for _ in texts:
+        for i, a in enumerate(sets):
+            for j in range(i):
+                if 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
+                    label[i] = label[j] = min(label[i], label[j])
+    assert 3 < len(set(label)) < len(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    got = near_dedup.near_duplicates(df, size=2).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(label))
+
+
 @pytest.fixture(scope="module")
 def tests(spark):
     passage = " ".join(PLAIN.split()[20:40]).upper()
