@@ -1 +1 @@
-"""Operators for preparing language-model training data. Nothing else in the library imports them."""
+"""Operators for preparing language-model training data; nothing else here imports them."""

@@ -163,7 +163,8 @@ def parse(encoding, reserved: int, ids: np.ndarray, mask: np.ndarray):
     middles = np.flatnonzero(ids == reserved + 1)
     controls = sum(map(len, CONTROLS))
     for a, b, c in zip(starts, middles, ends, strict=True):
-        role, text = encoding.decode(ids[a + 1 : b].tolist()), encoding.decode(ids[b + 1 : c].tolist())
+        role = encoding.decode(ids[a + 1 : b].tolist())
+        text = encoding.decode(ids[b + 1 : c].tolist())
         learned = [
             unescape(encoding.decode(ids[a:c][run].tolist())) for run in _runs(mask[a : c + 1])
         ]

@@ -14,8 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from footfall.llm.tables import narrowed
+from footfall.llm.tables import narrowed, need
 from footfall.llm.words import (
     ALPHANUMERIC,
     Block,
@@ -29,7 +30,7 @@ from footfall.llm.words import (
 
 WINDOW = 10
 TEST_BYTES = 8 << 20  # of test text that is searched for at once
-SHARD_BYTES = (4 << 20) - 64
+SHARD_BYTES = (2 << 20) - 64
 
 Test = list[tuple[str, bytes]]
 
@@ -46,8 +47,8 @@ def _symbols(hashes: np.ndarray, rows: np.ndarray, n_rows: int) -> tuple[np.ndar
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     """Starts of all suffixes, ordered by their first ``depth`` symbols at least.
 
-    Symbols are below 2**31; 0 ends a row, and what comes after it does not matter. Each round doubles the ordered length; only suffixes still
-    tied are ordered again.
+    Symbols are below 2**31; 0 ends a row, and what comes after it does not matter. Each
+    round doubles the ordered length; only suffixes still tied are ordered again.
     """
     n = len(text)
     if not n:
@@ -170,10 +171,10 @@ def _matches(block: Block, words: Words, tests: _Tests, window: int):
                 yield int(first), int(start), length, common
 
 
-def _scan(df: DataFrame, items: Test, window: int) -> DataFrame:
+def _scan(df: DataFrame, items: Test, window: int, text: str = "text") -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tests = _Tests(items, window)
-        for block in blocks(batches, limit=SHARD_BYTES):
+        for block in blocks(batches, text, SHARD_BYTES):
             block = block.lower()
             words = find_words(block, ALPHANUMERIC)
             n = len(block.offsets) - 1
@@ -198,7 +199,7 @@ def _scan(df: DataFrame, items: Test, window: int) -> DataFrame:
             pairs = pa.struct([("first", pa.int64()), ("end", pa.int64())])
             yield replace_columns(
                 block.rows,
-                [name for name in block.rows.schema.names if name != "text"],
+                [name for name in block.rows.schema.names if name != text],
                 n_words=np.diff(words.offsets).astype(np.int64),
                 longest_match=longest,
                 items=pa.array([sorted(x) for x in found], pa.list_(pa.string())),
@@ -207,17 +208,14 @@ def _scan(df: DataFrame, items: Test, window: int) -> DataFrame:
                 ),
             )
 
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != "text"]
-    return df.mapInArrow(
-        scan,
-        ", ".join(
-            [
-                *kept,
-                "n_words long, longest_match long, items array<string>",
-                "spans array<struct<first: long, end: long>>",
-            ]
-        ),
-    )
+    others = [f for f in df.schema if f.name != text]
+    return df.mapInArrow(scan, StructType([*others, *StructType.fromDDL(FOUND)]))
+
+
+FOUND = (
+    "n_words long, longest_match long, items array<string>, "
+    "spans array<struct<first: long, end: long>>"
+)
 
 
 def _test_blocks(tests: DataFrame, limit: int) -> list[Test]:
@@ -291,8 +289,8 @@ def _merged(docs: DataFrame, packed: list[Test], window: int) -> DataFrame:
 def decontaminate(df: DataFrame, tests: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``df``, with all columns, that hold no test passage."""
     packed = _test_blocks(narrowed(tests, item_id="string", text="string"), TEST_BYTES)
-    rows = df.select(F.struct("*").alias("_row"), "text")
+    need(df, "text")
+    rows = df.select(F.struct("*").alias("_row"))
     for block in packed:
-        rows = _scan(rows, block, window).where(F.size("spans") == 0)
-        rows = rows.select("_row", F.col("_row.text").alias("text"))
+        rows = _scan(rows, block, window, "_row.text").where(F.size("spans") == 0).select("_row")
     return rows.select("_row.*")

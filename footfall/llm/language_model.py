@@ -77,9 +77,9 @@ class _Shard:
         ending = (mix(last * np.uint64(257) + before) % np.uint64(ENDINGS)).astype(np.uint8)
         # The end of a text is a token; it has the first number of its block.
         n = len(counts)
-        tokens = np.zeros(len(ids) + n, np.int64)
+        tokens = np.zeros(len(ids) + n, np.int32)
         tokens[np.arange(len(ids)) + found.rows] = ids + 1
-        self.ids.append(tokens + self.n_words)
+        self.ids.append(tokens + np.int32(self.n_words))
         self.hashes.append(np.concatenate([[_END_HASH], hashes]))
         self.endings.append(np.concatenate([[0], ending]).astype(np.int8))
         self.n_words += len(hashes) + 1
@@ -92,7 +92,7 @@ class _Shard:
         hashes, first, number = np.unique(
             np.concatenate(self.hashes), return_index=True, return_inverse=True
         )
-        ids = number[np.concatenate(self.ids)]
+        ids = number.astype(np.int32)[np.concatenate(self.ids)]
         offsets = np.concatenate([[0], np.cumsum(np.concatenate(self.sizes))])
         learned = np.repeat(np.array(self.learn, bool), np.diff(offsets))
         counts = np.bincount(ids[learned], minlength=len(hashes))
@@ -204,7 +204,8 @@ def untrained(table: DataFrame, found: DataFrame) -> Model:
     n_tokens, n_distinct = known.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).head()
     end = known.where(F.col("word") == END.encode()).collect()
     top = known.where(F.col("word") != END.encode()).orderBy(F.desc("n"), "word")
-    top = sorted([*end, *top.limit(LISTED * MEMBERS - 1).collect()], key=lambda r: (-r.n, bytes(r.word)))
+    top = [*end, *top.limit(LISTED * MEMBERS - 1).collect()]
+    top.sort(key=lambda r: (-r.n, bytes(r.word)))
     hashes = np.array([_hash(bytes(r.word)) for r in top], np.uint64)
     counts = np.zeros(LISTED * MEMBERS)
     counts[: len(top)] = [r.n for r in top]
@@ -272,14 +273,15 @@ class _Net:
         return group, member
 
     @staticmethod
-    def contexts(ids: np.ndarray, offsets: np.ndarray, hashes: np.ndarray):
-        """Hashes of the last word and the one before it, of every token."""
-        first = np.zeros(len(ids) + 1, bool)
-        first[offsets[:-1]] = True
-        own = hashes[ids]
-        one, two = np.full(len(ids), _START), np.full(len(ids), _START)
-        one[1:] = np.where(first[1:-1], _START, own[:-1])
-        two[1:] = np.where(first[1:-1], _START, one[:-1])
+    def contexts(ids: np.ndarray, first: np.ndarray, hashes: np.ndarray, at: np.ndarray):
+        """Hashes of the word before each of the tokens ``at``, and of the one before that.
+
+        ``first`` marks the first token of each text.
+        """
+        last, before = np.maximum(at - 1, 0), np.maximum(at - 2, 0)
+        begins = first[at]
+        one = np.where(begins, _START, hashes[ids[last]])
+        two = np.where(begins | first[last], _START, hashes[ids[before]])
         return one, two
 
     @staticmethod
@@ -305,6 +307,12 @@ class _Net:
         return _added(self.of_member, rows, self.model.member_bias[group])
 
 
+def _firsts(offsets: np.ndarray) -> np.ndarray:
+    first = np.zeros(offsets[-1], bool)
+    first[offsets[:-1]] = True
+    return first
+
+
 def _added(tables: np.ndarray, rows: list[np.ndarray], bias: np.ndarray) -> np.ndarray:
     out = np.take(tables[0], rows[0], axis=0)
     for table, row in zip(tables[1:], rows[1:], strict=True):
@@ -360,11 +368,11 @@ def _changes(part: DataFrame, model: Model, seed: int) -> DataFrame:
                 ids, offsets, hashes, endings = _tokens(batch, i)
                 learn = batch.column("learn")[i].values.to_numpy(zero_copy_only=False)
                 used = np.flatnonzero(np.repeat(learn, np.diff(offsets)))
-                one, two = net.contexts(ids, offsets, hashes)
+                first = _firsts(offsets)
                 group, member = net.targets(hashes, endings)
                 for at in range(0, len(used), BATCH):
                     own = used[at : at + BATCH]
-                    a, b = one[own], two[own]
+                    a, b = net.contexts(ids, first, hashes, own)
                     target, inner = group[ids[own]], member[ids[own]]
                     rows = net.class_rows(a, b)
                     _descend(net.of_class, squares[0], rows, net.class_scores(rows), target, random)
@@ -432,30 +440,29 @@ def _score_shard(net: _Net, batch: pa.RecordBatch, i: int) -> dict[str, np.ndarr
         fields = shared.values
         counts[fields.field("at").to_numpy()] = fields.field("n").to_numpy()
     group, member = net.targets(hashes, endings)
-    sizes = np.diff(offsets)
-    rows = np.repeat(np.arange(len(sizes)), sizes)
     base = np.log10((counts + 1) / (model.n_tokens + model.n_distinct + 1))
     rest = np.log10(counts + 1) - model.rest[np.maximum(group - LISTED, 0)]
-    one, two = net.contexts(ids, offsets, hashes)
+    first = _firsts(offsets)
     found = np.empty(len(ids))
     for at in range(0, len(ids), BATCH):
-        own = slice(at, at + BATCH)
+        own = np.arange(at, min(at + BATCH, len(ids)))
+        one, two = net.contexts(ids, first, hashes, own)
         target, inner = group[ids[own]], member[ids[own]]
-        chance = _log_chance(net.class_scores(net.class_rows(one[own], two[own])), target)
+        chance = _log_chance(net.class_scores(net.class_rows(one, two)), target)
         chance /= math.log(10)
         has = inner >= 0
         chance[~has] += rest[ids[own][~has]]
         if has.any():
-            picked = net.member_rows(one[own][has], two[own][has], target[has])
+            picked = net.member_rows(one[has], two[has], target[has])
             within = _log_chance(net.member_scores(picked, target[has]), inner[has])
             chance[has] += within / math.log(10)
         found[own] = chance
-    n = len(sizes)
+    starts = offsets[:-1]  # every text has a token
     return {
-        "n_tokens": sizes.astype(np.int64),
-        "n_known": np.bincount(rows, counts[ids] > 0, n).astype(np.int64),
-        "base_score": np.bincount(rows, base[ids], n),
-        "score": np.bincount(rows, found, n),
+        "n_tokens": np.diff(offsets).astype(np.int64),
+        "n_known": np.add.reduceat((counts > 0)[ids], starts, dtype=np.int64),
+        "base_score": np.add.reduceat(base[ids], starts),
+        "score": np.add.reduceat(found, starts),
     }
 
 

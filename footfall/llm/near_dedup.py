@@ -38,10 +38,9 @@ from footfall.llm.words import (
 BANDS = 30
 BAND_BINS = 5
 BINS = BANDS * BAND_BINS
-SKETCH_BYTES = (4 << 20) - 64
 FAMILY_ESTIMATE = 0.5  # of neighbours in a bucket to count as one family
 BLOCK_TEXTS = 512  # of a family that are compared at once
-BLOCK_TEXT_BYTES = 64 << 20
+BLOCK_TEXT_BYTES = 16 << 20
 PIVOTS = 64  # of a large family that take part in each of its blocks
 _UNSET = np.uint64(2**64 - 1)
 
@@ -105,7 +104,7 @@ def _sketched(df: DataFrame, size: int) -> DataFrame:
     """``doc_id``, ``key``, ``n_shingles``, ``bands`` and ``sketch``, a byte for each bin."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, limit=SKETCH_BYTES):
+        for block in blocks(batches):
             n = len(block.offsets) - 1
             found, rows = shingles(block, size)
             keyed = mix(found + rows.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -182,15 +181,20 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _shingles_of(text: bytes, size: int) -> np.ndarray:
+    return np.unique(shingles(block_of([text]), size)[0])
+
+
 def _links(texts: pa.Table, size: int, percent: int) -> pa.Table:
     """The parts of a few texts that links join: each with the least that it is joined to.
 
     Texts of one ``part`` are joined already and are not compared.
     """
     unpack = zstandard.ZstdDecompressor()
-    block = block_of([unpack.decompress(x) for x in texts.column("packed").to_pylist()])
-    parts = texts.column("part").to_pylist()
-    found, rows = shingles(block, size)
+    packed, parts = texts.column("packed").to_pylist(), texts.column("part").to_pylist()
+    each = [_shingles_of(unpack.decompress(x), size) for x in packed]
+    found = np.concatenate([np.zeros(0, np.uint64), *each])
+    rows = np.repeat(np.arange(len(each)), [len(x) for x in each])
     vocabulary, ids = np.unique(found, return_inverse=True)
     pairs = np.unique(rows.astype(np.int64) * len(vocabulary) + ids)
     rows, ids = np.divmod(pairs, max(1, len(vocabulary)))
@@ -297,7 +301,8 @@ def _verified(df: DataFrame, family: DataFrame, size: int, percent: int) -> Data
         )
         # Parts of one text stand in no edge of the first round.
         new = joined.join(parts, joined["part"] == parts["key"], "left_anti")
-        parts = parts.unionByName(new.select(F.col("part").alias("key"), F.col("joined").alias("part")))
+        new = new.select(F.col("part").alias("key"), F.col("joined").alias("part"))
+        parts = parts.unionByName(new)
     return labels.unionByName(parts.withColumnRenamed("part", "label"))
 
 

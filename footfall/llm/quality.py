@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from footfall.llm.tables import narrowed
+from footfall.llm.tables import narrowed, need
 from footfall.llm.words import (
     SPACED,
     Block,
@@ -124,13 +124,13 @@ def counts(block: Block) -> dict[str, np.ndarray]:
     }
 
 
-def _judged(df: DataFrame, bands: Bands) -> DataFrame:
-    """Verdicts on ``text``, beside the other columns of ``df``."""
-    others = [f for f in df.schema if f.name != "text"]
+def _judged(df: DataFrame, bands: Bands, text: str = "text") -> DataFrame:
+    """Verdicts on the texts, beside the other columns of ``df``."""
+    others = [f for f in df.schema if f.name != text]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressor = zstandard.ZstdCompressor(level=bands.level)
-        for block in blocks(batches):
+        for block in blocks(batches, text):
             found = counts(block)
             n = len(block.offsets) - 1
             verdicts = [_judge(block.text(i), bands, compressor) for i in range(n)]
@@ -170,5 +170,6 @@ def quality_rules(df: DataFrame, bands: Bands = Bands()) -> DataFrame:
 
 def keep_sound(df: DataFrame, bands: Bands = Bands()) -> DataFrame:
     """The rows of ``df``, with all columns, that the rules keep."""
-    rows = df.select(F.struct("*").alias("_row"), "text")
-    return _judged(rows, bands).where("kept").select("_row.*")
+    need(df, "text")
+    rows = df.select(F.struct("*").alias("_row"))
+    return _judged(rows, bands, "_row.text").where("kept").select("_row.*")

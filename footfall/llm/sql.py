@@ -30,7 +30,8 @@ FROM f
 
 OP10 = f"""
 WITH d AS (
-  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS bigint) AS size
+  SELECT doc_id, source,
+    CAST(coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS bigint) AS size
   FROM documents
 ),
 s AS (SELECT source, CAST(sum(size) AS bigint) AS source_size FROM d GROUP BY source),
@@ -69,7 +70,8 @@ FROM c
 
 OP3 = f"""
 WITH b AS (
-  SELECT CAST(item_id AS varchar) AS item, regexp_extract_all({_lower("text")}, '{ALPHANUMERIC}') AS words
+  SELECT CAST(item_id AS varchar) AS item,
+    regexp_extract_all({_lower("text")}, '{ALPHANUMERIC}') AS words
   FROM benchmark WHERE text IS NOT NULL
 ),
 wb AS (
@@ -121,7 +123,8 @@ e AS (
   FROM c
 )
 SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), ''
+    ORDER BY turn, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS bigint) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text)
     FILTER (role = 'assistant'), '')) AS loss_sha256,

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = (2 << 20) - 64  # texts handled at once; a longer document is a block of its own
+BLOCK_BYTES = (1 << 19) - 64  # texts handled at once; a longer document is a block of its own
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
@@ -52,12 +52,21 @@ def block_of(texts: list[bytes], rows: pa.RecordBatch | None = None) -> Block:
     return Block(rows, np.frombuffer(b"".join(texts), np.uint8), ends)
 
 
+def _column(batch: pa.RecordBatch, name: str) -> pa.Array:
+    """A column, or with a dot a field of one."""
+    first, *fields = name.split(".")
+    found = batch.column(first)
+    for field in fields:
+        found = pc.struct_field(found, field)
+    return found
+
+
 def blocks(
     batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BLOCK_BYTES
 ) -> Iterator[Block]:
     """Cuts batches into blocks of about ``limit`` bytes of text, or bytes. NULL counts as empty."""
     for batch in batches:
-        texts = pc.fill_null(batch.column(column).cast(pa.large_binary()), b"")
+        texts = pc.fill_null(_column(batch, column).cast(pa.large_binary()), b"")
         sizes = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy())])
         low = 0
         while low < batch.num_rows:
@@ -133,7 +142,9 @@ def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 def prefix_hashes(data: np.ndarray) -> np.ndarray:
     """Hash of every prefix; differences give the hash of any slice (see ``slice_hashes``)."""
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(len(data))[0][: len(data)], out=out[1:])
+    values = data.astype(np.uint64) + np.uint64(1)
+    values *= powers(len(data))[0][: len(data)]
+    np.cumsum(values, out=out[1:])
     return out
 
 
