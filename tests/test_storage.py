@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
 from datetime import date
 
 import pytest
@@ -196,3 +199,38 @@ def test_sorted_inside_a_file(spark, rows, tmp_path):
 def test_days_of_the_calendar(rows):
     row = Layout(monthly=True).add_to(rows(DAY_ROW, FIRST[0])).head()
     assert (row.activity_date, row.activity_date_month) == (date(2024, 1, 1), "202401")
+
+
+def test_a_first_build_is_one_move(spark, rows, tmp_path, monkeypatch):
+    moved = []
+    move = files.move
+    monkeypatch.setattr(files, "move", lambda *a: (moved.append(a[-1]), move(*a)))
+    path = str(tmp_path / "t")
+    incremental_replace(spark, rows(DAY_ROW, *FIRST), path, KEYS, Layout())
+    assert moved == [path]
+    incremental_replace(spark, rows(DAY_ROW, *BATCH), path, KEYS, Layout())
+    assert len(moved) == 1 + 2 and read(spark, path) == sorted(AFTER)
+
+
+def test_working_tables_go_with_the_driver(tmp_path):
+    script = (
+        "from pyspark.sql import SparkSession\n"
+        "from footfall.storage.files import shared_folder\n"
+        "spark = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false')"
+        f".config('spark.checkpoint.dir', 'file://{tmp_path}').getOrCreate()\n"
+        "path = shared_folder(spark)\n"
+        "spark.range(3).write.parquet(path)\n"
+        "print(spark.read.parquet(path).count(), path)\n"
+        "spark.stop()\n"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run(
+        [sys.executable, "-c", script],
+        env={**os.environ, "PYTHONPATH": root},
+        capture_output=True,
+        text=True,
+        timeout=300,
+        check=True,
+    )
+    assert done.stdout.startswith(f"3 file://{tmp_path}/footfall-")
+    assert not list(tmp_path.glob("footfall-*"))
