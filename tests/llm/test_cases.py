@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import random
+import string
 from collections import Counter
 
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from footfall.llm import (
@@ -97,6 +100,56 @@ def test_bands_reject_repetition_and_noise(spark):
     assert verdict[3].n_chunks > 0
 
 
+@pytest.fixture(scope="module")
+def prose(spark):
+    """Good documents of the test corpus."""
+    folder = "/root/testdata/sf0.01"
+    good = spark.read.parquet(f"{folder}/labels.parquet").where("quality = 1").select("doc_id")
+    rows = spark.read.parquet(f"{folder}/documents.parquet").join(good, "doc_id").collect()
+    return [r.text.encode() for r in sorted(rows, key=lambda r: r.doc_id)]
+
+
+@pytest.mark.parametrize("at", range(len(quality.WHOLE)))
+def test_each_limit_rejects_what_it_is_for(prose, at):
+    """Base64, random letters, hex digits and half-repeated prose go, clean prose stays."""
+    drawn = random.Random(at)
+    least = quality.WHOLE[at][0]
+    after = quality.WHOLE[at + 1][0] if at + 1 < len(quality.WHOLE) else 3 * least
+    compressor = zstandard.ZstdCompressor(level=quality.Bands().level)
+
+    def words(letters, size):
+        parts = ("".join(drawn.choices(letters, k=drawn.randint(3, 8))) for _ in range(size // 4))
+        return " ".join(parts).encode()[:size]
+
+    def fits(text):
+        return quality._judge(text, quality.Bands(), compressor)[3]
+
+    for size in (least, (least + after) // 2, after - 1):
+        longer = [t for t in prose if len(t) >= size]
+        for text in longer[:50]:
+            assert fits(text[:size])
+        assert not fits(base64.b64encode(drawn.randbytes(size))[:size])
+        if least >= 2048:
+            assert not fits(words(string.ascii_lowercase, size))
+        if least >= 4096:
+            assert not fits(words("0123456789abcdef", size))
+        if least >= 192:
+            half = [t[: size // 2] for t in prose if 2 * len(t) >= size][:50]
+            assert half and not any(fits(t + t) for t in half)
+
+
+def test_chunks_are_judged_by_their_own_length():
+    """Hex digits in every chunk, of which a late repeat brings the whole text into its limits."""
+    drawn = random.Random(1)
+    noise = " ".join("".join(drawn.choices("0123456789abcdef", k=5)) for _ in range(1667)).encode()
+    text = noise + noise[:5000]
+    compressor = zstandard.ZstdCompressor(level=quality.Bands().level)
+    ratio, chunks, bad, fits = quality._judge(text, quality.Bands(), compressor)
+    low, high = quality.Bands().limits(len(text))
+    assert low <= ratio <= high
+    assert (chunks, bad, fits) == (4, 3, False)
+
+
 def test_near_duplicates_of_odd_rows(odd):
     rows = near_dedup.near_duplicates(odd, size=2).collect()
     part = {r.doc_id: r.component_id for r in rows}
