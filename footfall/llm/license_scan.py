@@ -1,16 +1,26 @@
-"""License scans: winnowed fingerprints pick templates, banded alignment says what matches."""
+"""License scans: fingerprints and names pick templates, banded alignment says what matches.
+
+A template with names (see ``licenses``) is sought where a text has one of them word for
+word, any other one by winnowed fingerprints. What several templates match goes to the best.
+"""
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Mapping
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from footfall.llm.licenses import NAMES, TEMPLATES
 from footfall.llm.tables import narrowed
 from footfall.llm.words import (
     ALPHANUMERIC,
+    Block,
+    Words,
     block_of,
     blocks,
     find_words,
@@ -19,37 +29,12 @@ from footfall.llm.words import (
     word_hashes,
 )
 
-# Notices as licenses word them.
-TEMPLATES = {
-    "MIT notice": "Released under the MIT License.",
-    "Apache-2.0 notice": "Licensed under the Apache License, Version 2.0.",
-    "CC-BY-NC-4.0 notice": "Licensed under CC BY-NC 4.0.",
-    "GPL-3.0 notice": "This work is licensed under the GNU General Public License, version 3.",
-    "MIT permission": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
-        "software and associated documentation files (the \"Software\"), to deal in the Software "
-        "without restriction, including without limitation the rights to use, copy, modify, "
-        "merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
-        "permit persons to whom the Software is furnished to do so, subject to the following "
-        "conditions: The above copyright notice and this permission notice shall be included in "
-        "all copies or substantial portions of the Software."
-    ),
-    "Apache-2.0 header": (
-        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this "
-        "file except in compliance with the License. You may obtain a copy of the License at "
-        "http://www.apache.org/licenses/LICENSE-2.0"
-    ),
-    "GPL-3.0 header": (
-        "This program is free software: you can redistribute it and/or modify it under the "
-        "terms of the GNU General Public License as published by the Free Software Foundation, "
-        "either version 3 of the License, or (at your option) any later version."
-    ),
-}
 TEMPLATE_BYTES = 4 << 20
 GRAM = 3
 WINNOW = 4  # grams of which one is looked up, or as many as the shortest template has
 BAND = 16
 LEAST_COVERAGE = 0.8
+LEAST_DENSITY = 2 / 3  # of the words of a span that must be the template's
 
 
 def winnow(hashes: np.ndarray, offsets: np.ndarray, window: int) -> np.ndarray:
@@ -79,24 +64,32 @@ def align(text: np.ndarray, template: np.ndarray, offset: int, band: int):
     Row i of the band holds template word i against text words ``i + offset - band`` to
     ``i + offset + band``. Returns (matched words, first and end of the text span).
     """
+    met = _met(text, template, offset, band)
+    return (len(met), met[0], met[-1] + 1) if met else (0, 0, 0)
+
+
+def _met(text: np.ndarray, template: np.ndarray, offset: int, band: int) -> list[int]:
+    """Places of the text words that meet template words; the last possible ones."""
     width = 2 * band + 1
     n = len(template)
-    score = np.zeros((n + 1, width + 1), np.int64)
-    step = np.zeros((n + 1, width + 1), np.int8)  # 1: match, 2: skip template, 3: skip text
+    score = np.zeros(width + 1, np.int32)
+    step = np.zeros((n + 1, width), np.int8)  # 1: match, 2: skip template, 3: skip text
     for i in range(n):
-        at = np.arange(width) + i + offset - band
-        valid = (at >= 0) & (at < len(text))
-        equal = np.zeros(width, bool)
-        equal[valid] = text[at[valid]] == template[i]
-        match = np.where(equal, score[i, :width] + 1, -1)
-        skip = score[i, 1 : width + 1]  # the same text word stands one column to the right
+        low = i + offset - band
+        a, b = min(max(-low, 0), width), max(min(len(text) - low, width), 0)
+        match = np.full(width, -1, np.int32)
+        if a < b:
+            equal = text[low + a : low + b] == template[i]
+            match[a:b] = np.where(equal, score[a:b] + 1, -1)
+        skip = score[1:]  # the same text word stands one column to the right
         best = np.maximum(match, skip)
         run = np.maximum.accumulate(best)
-        score[i + 1, :width] = run
-        step[i + 1, :width] = np.where(run > best, 3, np.where(match >= skip, 1, 2))
+        step[i + 1] = np.where(run > best, 3, np.where(match >= skip, 1, 2))
+        step[i + 1][run == 0] = 0
+        score = np.append(run, np.int32(0))
     j = width - 1
     i, met = n, []
-    while i > 0 and score[i, j] > 0:
+    while i > 0 and j < width and step[i, j]:
         move = step[i, j]
         if move == 3:
             j -= 1
@@ -105,20 +98,52 @@ def align(text: np.ndarray, template: np.ndarray, offset: int, band: int):
             i -= 1
         else:
             i, j = i - 1, j + 1
-    return (len(met), met[-1], met[0] + 1) if met else (0, 0, 0)
+    return met[::-1]
+
+
+def _most(text: np.ndarray, template: np.ndarray, offset: int, band: int) -> int:
+    """Template words that stand anywhere in their place of the band: no alignment has more."""
+    if not len(text) or not len(template):
+        return 0
+    known, ids = np.unique(text, return_inverse=True)
+    keys = np.sort(ids * (len(text) + 1) + np.arange(len(text)))
+    own = np.minimum(np.searchsorted(known, template), len(known) - 1)
+    middle = np.arange(len(template)) + offset
+    low = np.maximum(middle - band, 0)
+    high = np.minimum(middle + band, len(text) - 1)
+    at = np.searchsorted(keys, own * (len(text) + 1) + low)
+    next_ = keys[np.minimum(at, len(keys) - 1)]
+    inside = (at < len(keys)) & (next_ <= own * (len(text) + 1) + high) & (low <= high)
+    return int(((known[own] == template) & inside).sum())
+
+
+def _words(texts: list[str]) -> list[np.ndarray]:
+    block = block_of([t.encode() for t in texts]).lower()
+    words = find_words(block, ALPHANUMERIC)
+    hashes = word_hashes(block, words)
+    return [hashes[a:b] for a, b in zip(words.offsets, words.offsets[1:], strict=False)]
 
 
 class _Index:
-    """Fingerprints of the templates, sorted, with the template and place of each."""
+    """Fingerprints of the templates, sorted, with the template and place of each; their names."""
 
-    def __init__(self, templates: Mapping[str, str]) -> None:
+    def __init__(self, templates: Mapping[str, str], names: Mapping[str, tuple[str, ...]]) -> None:
         self.names = list(templates)
-        block = block_of([t.encode() for t in templates.values()]).lower()
-        words = find_words(block, ALPHANUMERIC)
-        hashes = word_hashes(block, words)
-        self.words = [hashes[a:b] for a, b in zip(words.offsets, words.offsets[1:], strict=False)]
+        self.words = _words(list(templates.values()))
+        # Of each template the places of its names, and the names themselves.
+        self.marks: list[list[tuple[int, np.ndarray]]] = []
+        for t, name in enumerate(self.names):
+            marks, after = [], 0
+            for phrase in _words(list(names.get(name, ()))):
+                places = _occurrences(self.words[t], phrase)
+                place = int(places[places >= after][0])
+                marks.append((place, phrase))
+                after = place + len(phrase)
+            self.marks.append(marks)
         prints, template, place = [], [], []
         for t, own in enumerate(self.words):
+            if self.marks[t]:
+                continue
             grams, offsets = _grams(own, np.array([0, len(own)]))
             # A template keeps all its grams: what a text's winnowing picks is then found.
             prints.append(grams)
@@ -130,6 +155,34 @@ class _Index:
         self.prints = prints[order]
         self.template = np.concatenate([np.zeros(0, int), *template])[order]
         self.place = np.concatenate([np.zeros(0, int), *place])[order]
+        self.by_pair: dict[int, list[int]] = {}
+        for t, marks in enumerate(self.marks):
+            if marks:
+                pair = int(shingle_hashes(marks[0][1], 2)[0])
+                self.by_pair.setdefault(pair, []).append(t)
+        self.pairs = np.array(sorted(self.by_pair), np.uint64)
+
+
+def _occurrences(text: np.ndarray, phrase: np.ndarray) -> np.ndarray:
+    """Places where ``phrase`` stands in ``text`` word for word."""
+    n = len(text) - len(phrase) + 1
+    places = np.flatnonzero(text[: max(n, 0)] == phrase[0])
+    for k in range(1, len(phrase)):
+        places = places[text[places + k] == phrase[k]]
+    return places
+
+
+def _goes_on(block: Block, words: Words) -> np.ndarray:
+    """Whether each word continues a number: "1" in "2.1", but not "0" in "2.0"."""
+    out = np.zeros(len(words.starts) + 1, bool)
+    if len(words.starts) < 2:
+        return out
+    data, starts, ends = block.data, words.starts, words.ends
+    digit = (data >= ord("0")) & (data <= ord("9"))
+    near = (starts[1:] == ends[:-1] + 1) & (words.rows[1:] == words.rows[:-1])
+    near &= (data[ends[:-1]] == ord(".")) & digit[ends[:-1] - 1] & digit[starts[1:]]
+    out[1:-1] = near & (data[starts[1:]] != ord("0"))
+    return out
 
 
 def _grams(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -145,15 +198,21 @@ def scan_licenses(
     templates: Mapping[str, str] = TEMPLATES,
     least: float = LEAST_COVERAGE,
     band: int = BAND,
+    names: Mapping[str, tuple[str, ...]] = NAMES,
 ) -> DataFrame:
     """``doc_id`` and ``licenses``: template, matched words, coverage and span of each find.
 
-    A text's fingerprints are looked up in the inverted index of all templates. Those that
-    share one are aligned along each diagonal band with a shared fingerprint; a find is an
-    alignment that matches at least ``least`` of a template's words. Spans are words of the
-    text, ``first`` to before ``end``. Overlapping finds of a template keep the best, then
-    the first. Templates of fewer than three words are not searched for; together they
-    may have ``TEMPLATE_BYTES``.
+    A template with ``names``, phrases of two words at least in its order, is aligned before,
+    between and after them wherever a text has all of them word for word; a number that ends
+    a name may not go on (version 2 is not 2.1). A text's fingerprints are looked up in the
+    inverted index of the other templates. Those that share one are aligned along each
+    diagonal band with a shared fingerprint. A band reaches ``band`` words, or as many as a find
+    may lack, to either side. A find is an alignment that matches at least
+    ``least`` of a template's words, which are ``LEAST_DENSITY`` of its span. Spans are words
+    of the text, ``first`` to before ``end``. Overlapping finds of a template, and finds of
+    several templates that have most words in common, keep the one with most matched less
+    unmatched words of template and span, then the first. Templates of fewer than three words
+    without a name are not searched for; together they may have ``TEMPLATE_BYTES``.
 
     Works row by row without a shuffle. NULL and empty texts and texts without finds have
     an empty list; a NULL ``doc_id`` stays NULL, repeated rows are scanned one by one, other
@@ -162,9 +221,10 @@ def scan_licenses(
     if sum(len(t.encode()) for t in templates.values()) > TEMPLATE_BYTES:
         raise ValueError(f"templates have more than {TEMPLATE_BYTES} bytes")
     templates = dict(templates)
+    names = {name: phrases for name, phrases in names.items() if name in templates}
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = _Index(templates)
+        index = _Index(templates, names)
         for block in blocks(batches):
             block = block.lower()
             words = find_words(block, ALPHANUMERIC)
@@ -183,10 +243,22 @@ def scan_licenses(
                     diagonal = at - int(index.place[entry])
                     found = seeds.setdefault(row, {})
                     found.setdefault(int(index.template[entry]), set()).add(diagonal)
+            pairs = shingle_hashes(hashes, 2)
+            at = np.searchsorted(index.pairs, pairs)
+            known = at < len(index.pairs)
+            known[known] = index.pairs[at[known]] == pairs[known]
+            for word in np.flatnonzero(known):
+                found = seeds.setdefault(int(words.rows[word]), {})
+                for t in index.by_pair[int(pairs[word])]:
+                    found.setdefault(t, set())
+            goes_on = _goes_on(block, words) if seeds else None
             out = [[] for _ in range(len(block.offsets) - 1)]
             for row, by_template in seeds.items():
-                text = hashes[words.offsets[row] : words.offsets[row + 1]]
-                out[row] = _finds(text, by_template, index, least, band)
+                begin, end = words.offsets[row], words.offsets[row + 1]
+                finds = _finds(
+                    hashes[begin:end], goes_on[begin : end + 1], by_template, index, least, band
+                )
+                out[row] = finds
             yield replace_columns(block.rows, ["doc_id"], licenses=pa.array(out, kind))
 
     kind = pa.list_(
@@ -207,29 +279,111 @@ def scan_licenses(
     )
 
 
-def _finds(text, by_template, index: _Index, least: float, band: int) -> list[dict]:
-    out = []
+@dataclass(frozen=True)
+class _Find:
+    template: int
+    met: list[int]  # text words, in order
+
+    @property
+    def span(self) -> tuple[int, int]:
+        return self.met[0], self.met[-1] + 1
+
+    def worth(self, index: _Index) -> int:
+        """Matched words less those of the template and of the span that are not."""
+        first, end = self.span
+        return 3 * len(self.met) - len(index.words[self.template]) - (end - first)
+
+    def meets(self, other: _Find) -> bool:
+        """Whether two finds cannot both hold."""
+        (a, b), (c, d) = self.span, other.span
+        if b <= c or d <= a:
+            return False
+        if self.template == other.template:
+            return True
+        common = len(set(self.met) & set(other.met))
+        return 2 * common > min(len(self.met), len(other.met))
+
+
+def _named(text, goes_on, template, marks, least: float, band: int) -> Iterator[list[int]]:
+    """Text words that meet a template, around every place where its names stand."""
+    places = []
+    for _, phrase in marks:
+        found = _occurrences(text, phrase)
+        places.append([int(p) for p in found if not goes_on[p + len(phrase)]])
+    head, tail = template[: marks[0][0]], template[marks[-1][0] + len(marks[-1][1]) :]
+
+    def chains(k: int, after: int) -> Iterator[list[int]]:
+        if k == len(marks):
+            yield []
+            return
+        low, high = 0, len(text)
+        if k:
+            gap = marks[k][0] - marks[k - 1][0] - len(marks[k - 1][1])
+            low, high = after + max(0, gap - band), after + gap + band
+        for place in places[k][bisect_left(places[k], low) : bisect_right(places[k], high)]:
+            for rest in chains(k + 1, place + len(marks[k][1])):
+                yield [place, *rest]
+
+    for chain in chains(0, 0):
+        start, end = chain[0], chain[-1] + len(marks[-1][1])
+        low = max(0, start - len(head) - band)
+        before, behind = text[low:start], text[end : end + len(tail) + band]
+        missing = len(head) - _most(before, head, start - low - len(head), band)
+        missing += len(tail) - _most(behind, tail, 0, band)
+        if missing > (1 - least) * len(template) + 1e-9:
+            continue
+        met = [low + p for p in _met(before, head, start - low - len(head), band)]
+        for k, (place, (at, phrase)) in enumerate(zip(chain, marks, strict=True)):
+            if k:
+                was, own = chain[k - 1] + len(marks[k - 1][1]), marks[k - 1]
+                between = template[own[0] + len(own[1]) : at]
+                met += [was + p for p in _met(text[was:place], between, 0, band)]
+            met += range(place, place + len(phrase))
+        # Read backwards, the words behind are met as near to the name as can be.
+        back = _met(behind[::-1], tail[::-1], len(behind) - len(tail), band)
+        met += [end + len(behind) - 1 - p for p in reversed(back)]
+        yield met
+
+
+def _finds(text, goes_on, by_template, index: _Index, least: float, band: int) -> list[dict]:
+    finds = []
     for t in sorted(by_template):
         template = index.words[t]
-        tried, finds = None, []
-        for diagonal in sorted(by_template[t]):
-            if tried is not None and diagonal - tried <= band // 2:
-                continue  # the band around the last one covers it
-            tried = diagonal
-            matched, first, end = align(text, template, diagonal, band)
-            if matched >= least * len(template):
-                finds.append((-matched, first, end))
-        last: list[tuple[int, int]] = []
-        for matched, first, end in sorted(set(finds)):
-            if all(end <= a or first >= b for a, b in last):
-                last.append((first, end))
-                out.append(
-                    {
-                        "template": index.names[t],
-                        "matched": -matched,
-                        "coverage": -matched / len(template),
-                        "first": int(first),
-                        "end": int(end),
-                    }
-                )
+        if len(text) < least * len(template):
+            continue
+        # As many words as may be missing can shift the others.
+        wide = max(band, math.ceil((1 - least) * len(template)))
+        if index.marks[t]:
+            found = list(_named(text, goes_on, template, index.marks[t], least, wide))
+        else:
+            tried, found = None, []
+            for diagonal in sorted(by_template[t]):
+                if tried is not None and diagonal - tried <= wide // 2:
+                    continue  # the band around the last one covers it
+                tried = diagonal
+                if _most(text, template, diagonal, wide) >= least * len(template):
+                    found.append(_met(text, template, diagonal, wide))
+        for met in found:
+            dense = met and len(met) >= LEAST_DENSITY * (met[-1] + 1 - met[0])
+            if dense and len(met) >= least * len(template):
+                finds.append(_Find(t, met))
+    finds.sort(key=lambda f: (-f.worth(index), f.span, f.template))
+    last: list[_Find] = []
+    near: dict[int, list[_Find]] = {}  # by stretches of 256 words
+    for find in finds:
+        stretches = range(find.span[0] >> 8, ((find.span[1] - 1) >> 8) + 1)
+        if not any(find.meets(other) for k in stretches for other in near.get(k, ())):
+            last.append(find)
+            for k in stretches:
+                near.setdefault(k, []).append(find)
+    out = [
+        {
+            "template": index.names[f.template],
+            "matched": len(f.met),
+            "coverage": len(f.met) / len(index.words[f.template]),
+            "first": int(f.span[0]),
+            "end": int(f.span[1]),
+        }
+        for f in last
+    ]
     return sorted(out, key=lambda x: (x["first"], x["template"]))

@@ -213,3 +213,58 @@ def test_a_changed_license_is_found_with_its_span(spark):
     (find,) = rows[1]
     assert find.template == "MIT permission" and 0.85 < find.coverage < 1
     assert find.first == 2 and find.end == 2 + len(changed)
+
+
+def _names(spark, *texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sorted(license_scan.scan_licenses(df).collect())
+    return [[find.template for find in row.licenses] for row in rows]
+
+
+def test_licenses_are_not_taken_for_their_relatives(spark):
+    gnu = "This work is licensed under the GNU {} License, version {}. 2 more words"
+    cases = {
+        gnu.format("General Public", "3"): ["GPL-3.0 notice"],
+        gnu.format("General Public", "2"): ["GPL-2.0 notice"],
+        gnu.format("General Public", "2.0"): ["GPL-2.0 notice"],
+        gnu.format("General Public", "2.1"): [],
+        gnu.format("General Public", "4"): [],
+        gnu.format("Lesser General Public", "3"): ["LGPL-3.0 notice"],
+        gnu.format("Lesser General Public", "2.1"): ["LGPL-2.1 notice"],
+        gnu.format("Affero General Public", "3"): ["AGPL-3.0 notice"],
+        "Some prose. Licensed under CC BY 4.0. And on": ["CC-BY-4.0 notice"],
+        "Licensed under CC BY-SA 4.0.": ["CC-BY-SA-4.0 notice"],
+        "Licensed under CC BY-NC 4.0.": ["CC-BY-NC-4.0 notice"],
+        "Licensed under CC BY-NC-SA 3.0.": ["CC-BY-NC-SA-3.0 notice"],
+        "Licensed under CC BY-NC 1.0.": [],
+        "Released under the BSD License.": ["BSD notice"],
+        "Released under the BSD 3-Clause License.": ["BSD-3-Clause notice"],
+        "Released under the MIT-0 License.": [],
+        "Licensed under the Apache License, Version 1.1.": [],
+        "Licensed under the MIT License and the Apache License, Version 2.0.": [
+            "Apache-2.0 notice",
+            "MIT notice",
+        ],
+        "Released under the Foo License.": [],
+    }
+    assert dict(zip(cases, _names(spark, *cases), strict=True)) == cases
+
+
+def test_every_template_finds_itself_alone(spark):
+    templates = dict(license_scan.TEMPLATES)
+    found = _names(spark, *[f"Prose before. {text} Prose after." for text in templates.values()])
+    assert dict(zip(templates, found, strict=True)) == {name: [name] for name in templates}
+
+
+def test_changed_whole_licenses_keep_their_name(spark):
+    texts = license_scan.TEMPLATES
+    agpl = texts["GPL-3.0"].replace("GNU GENERAL PUBLIC", "GNU AFFERO GENERAL PUBLIC")
+    agpl = agpl.replace("GNU General Public", "GNU Affero General Public")
+    holder = texts["BSD-3-Clause"].replace("the copyright holder nor", "Some Company Inc nor")
+    lost = " ".join(w for i, w in enumerate(texts["MPL-2.0"].split()) if i < 9 or i % 40)
+    assert _names(spark, agpl, holder, lost, texts["GPL-3.0"][200:]) == [
+        ["AGPL-3.0 header"],
+        ["BSD-3-Clause"],
+        ["MPL-2.0"],
+        ["GPL-3.0 header"],
+    ]
