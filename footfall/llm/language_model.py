@@ -5,11 +5,13 @@ frequent tokens fill classes of fixed size, in the order of their counts; all ot
 classes by their endings. Classes, and the members of the first kind, are chosen by softmax
 over sums of weights that the words before pick by hash: the last word, the last two (n-gram
 features), and the one before the last alone (a skip feature). Members of the other classes go
-by their counts plus one. The model knows V + 1 tokens as the base does, but has one unknown
+by how often each followed the word before, with absolute discounting; what that leaves goes by
+their counts plus one. The model knows V + 1 tokens as the base does, but has one unknown
 token for each ending.
 
-Tokens are numbered within shards of text, which are written down; counts of words meet in
-shuffles and go back to the shards that asked. Weights are of fixed size: every round, tasks
+Tokens are numbered within shards of text, which are written down; counts of words, and of words
+after words, meet in shuffles and go back to the shards that asked, so they grow with the text.
+Weights are of fixed size: every round, tasks
 descend from the same weights over their part of all training text and return what they
 changed, and the changes are averaged.
 """
@@ -41,6 +43,8 @@ ROUNDS = 4
 BATCH = 1 << 15
 STEP = 0.1
 PART = 1 << 14  # weights that are summed up together
+WORD_BITS = 24  # of a pair's key that are of the word, the others of what it follows
+PAIR_SHARDS = 2  # shards whose pairs a bucket of pairs is as large as
 _END_HASH = np.uint64(0x5851F42D4C957F2D)
 _START = np.uint64(0x14057B7EF767814F)
 
@@ -106,7 +110,7 @@ class _Shard:
             "doc_ids": pa.array([self.doc_ids], pa.list_(pa.int64())),
             "learn": pa.array([self.learn], pa.list_(pa.bool_())),
             "offsets": pa.array([offsets], pa.list_(pa.int32())),
-            "ids": pa.array([pack(new[ids].tobytes())], pa.binary()),
+            "ids": pa.array([pack(_planes(new[ids]))], pa.binary()),
             "hashes": pa.array([_brief(hashes)[order].tobytes()], pa.binary()),
             "endings": pa.array([np.concatenate(self.endings)[first][order]], pa.list_(pa.int8())),
             "words": pa.array([[self.words[i] for i in first[order]]], pa.list_(pa.binary())),
@@ -115,6 +119,16 @@ class _Shard:
         return pa.RecordBatch.from_pydict(values)
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """Bytes of equal weight side by side, which pack better."""
+    return numbers.view(np.uint8).reshape(len(numbers), -1).T.tobytes()
+
+
+def _from_planes(raw: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.frombuffer(raw, np.uint8).reshape(width, -1).T.copy().view(kind).reshape(-1)
+
+
 def _brief(hashes: np.ndarray) -> np.ndarray:
     """Half of a word's hash: enough to pick weights, and to know one of a few listed words."""
     return (hashes >> np.uint64(32)).astype(np.uint32)
@@ -143,7 +157,7 @@ def _tokens(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, ...]:
     """Token numbers, offsets of texts, hashes and endings of row i."""
     raw = zstandard.ZstdDecompressor().decompress(batch.column("ids")[i].as_py())
     return (
-        np.frombuffer(raw, np.int32),
+        _from_planes(raw, np.int32),
         batch.column("offsets")[i].values.to_numpy(),
         np.frombuffer(batch.column("hashes")[i].as_py(), np.uint32).astype(np.uint64),
         batch.column("endings")[i].values.to_numpy(),
@@ -427,9 +441,160 @@ def train(table: DataFrame, model: Model, rounds: int = ROUNDS, seed: int = 5) -
     return model
 
 
+# --- words after words -----------------------------------------------------------------
+
+
+def _pair_keys(net: _Net, ids, first, hashes, group, member) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens that are not listed, and for each a key of the word before, its class and itself.
+
+    The upper bits are hashed of the word before and the class, the lower ones of the word.
+    """
+    own = np.flatnonzero(member[ids] < 0)
+    one, _ = net.contexts(ids, first, hashes, own)
+    of_group = mix((np.arange(CLASSES) + 1).astype(np.uint64))
+    context = mix(one ^ of_group[group[ids[own]]]) >> np.uint64(WORD_BITS)
+    word = mix(hashes) >> np.uint64(64 - WORD_BITS)
+    return own, context << np.uint64(WORD_BITS) | word[ids[own]]
+
+
+def _settled(keys: list[np.ndarray], counts: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """For each shard's keys the count of each; the count and the kinds of words of each context.
+
+    All pairs of a context are given, so are the pairs of all shards. Contexts are in the
+    order of their keys. The last array has the discount, that of Ney, Essen and Kneser from
+    the pairs seen once and twice.
+    """
+    distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
+    n = np.bincount(at, np.concatenate(counts), len(distinct)).astype(np.int64)
+    once, twice = (n == 1).sum(), (n == 2).sum()
+    discount = min(max((once + 1) / (once + 2 * twice + 2), 0.1), 0.99)
+    begins, context = _contexts(distinct)
+    total = np.add.reduceat(n, begins)
+    kinds = np.add.reduceat((n > 0).astype(np.int64), begins)
+    low = 0
+    for own in keys:
+        place = at[low : low + len(own)]
+        low += len(own)
+        asked = context[place[_contexts(own)[0]]]
+        yield [n[place], total[asked], kinds[asked], np.array([discount])]
+
+
+def _contexts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each context begins in sorted keys, and the number of that of each key."""
+    heads = keys >> np.uint64(WORD_BITS)
+    new = np.concatenate([[True], heads[1:] != heads[:-1]])
+    return np.flatnonzero(new), np.cumsum(new) - 1
+
+
+def _discounted(keys: np.ndarray, settled: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """For each key the chance from its own count, and the share its context leaves to others."""
+    n, total, kinds, (discount,) = settled
+    context = _contexts(keys)[1]
+    of_all = np.maximum(total, 1)[context]
+    left = np.where(total[context] > 0, discount * kinds[context] / of_all, 1)
+    return np.maximum(n - discount, 0) / of_all, left
+
+
+def followers(table: DataFrame, model: Model) -> DataFrame:
+    """``shard``, ``bucket`` and counts of the pairs of a shard over all training text.
+
+    They are for each distinct key of the shard in the bucket, in the order of the keys, and
+    for each context of those (see ``_settled``). Buckets are ranges of keys and keep contexts whole; there are as many as the
+    number of shards asks for, and a task holds one.
+    """
+    buckets = table.count() // PAIR_SHARDS + 1
+    spread = np.uint64(64 - WORD_BITS)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net = _Net(model)
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids, offsets, hashes, endings = _tokens(batch, i)
+                learn = batch.column("learn")[i].values.to_numpy(zero_copy_only=False)
+                learned = np.repeat(learn, np.diff(offsets))
+                targets = net.targets(hashes, endings)
+                own, keys = _pair_keys(net, ids, _firsts(offsets), hashes, *targets)
+                if not len(keys):
+                    continue
+                keys, at = np.unique(keys, return_inverse=True)
+                n = np.bincount(at, learned[own], len(keys)).astype(np.int32)
+                place = (keys >> np.uint64(WORD_BITS)) * np.uint64(buckets) >> spread
+                bucket, begins = np.unique(place, return_index=True)
+                ends = np.append(begins[1:], len(keys))
+                data = [
+                    (
+                        pack(_planes(np.diff(keys[a:b], prepend=np.uint64(0)))),
+                        pack(_planes(n[a:b])),
+                    )
+                    for a, b in zip(begins.tolist(), ends.tolist(), strict=True)
+                ]
+                shard = batch.column("shard")[i].as_py()
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "shard": pa.array([shard] * len(data), pa.int64()),
+                        "bucket": pa.array(bucket.astype(np.int64)),
+                        "keys": pa.array([k for k, _ in data], pa.binary()),
+                        "counts": pa.array([c for _, c in data], pa.binary()),
+                    }
+                )
+
+    def settle(bucket: int, rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
+        unpack = zstandard.ZstdDecompressor().decompress
+        keys = [np.cumsum(_from_planes(unpack(k), np.uint64)) for _, k, _ in rows]
+        counts = [_from_planes(unpack(c), np.int32) for _, _, c in rows]
+        pack = zstandard.ZstdCompressor(level=1).compress
+        settled = [[pack(_planes(a)) for a in arrays] for arrays in _settled(keys, counts)]
+        return pa.RecordBatch.from_pydict(
+            {
+                "shard": pa.array([shard for shard, _, _ in rows], pa.int64()),
+                "bucket": pa.array([bucket] * len(rows), pa.int64()),
+                "known": pa.array(settled, pa.list_(pa.binary())),
+            }
+        )
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, rows = None, []
+        for batch in batches:
+            for shard, bucket, keys, counts in zip(
+                *[c.to_pylist() for c in batch.columns], strict=True
+            ):
+                if rows and bucket != current:
+                    yield settle(current, rows)
+                    rows = []
+                current = bucket
+                rows.append((shard, keys, counts))
+        if rows:
+            yield settle(current, rows)
+
+    sent = table.select("shard", "learn", "offsets", "ids", "hashes", "endings").mapInArrow(
+        send, "shard long, bucket long, keys binary, counts binary"
+    )
+    met = sent.repartition("bucket").sortWithinPartitions("bucket")
+    return met.mapInArrow(meet, "shard long, bucket long, known array<binary>")
+
+
 # --- scoring ---------------------------------------------------------------------------
 
 
+def _followed(net: _Net, ids, first, hashes, targets, known) -> tuple[np.ndarray, np.ndarray]:
+    """Per token what its pair is worth, and the share left to its class; 0 and 1 if listed."""
+    seen, left = np.zeros(len(ids), np.float32), np.ones(len(ids), np.float32)
+    own, keys = _pair_keys(net, ids, first, hashes, *targets)
+    if len(own):
+        keys, at = np.unique(keys, return_inverse=True)
+        unpack = zstandard.ZstdDecompressor().decompress
+        low, worth = 0, []
+        for packed in known:  # by bucket, which are ranges of keys
+            raw = [unpack(x) for x in packed]
+            settled = [_from_planes(x, np.int64) for x in raw[:3]] + [_from_planes(raw[3], float)]
+            high = low + len(settled[0])
+            worth.append(np.stack(_discounted(keys[low:high], settled)))
+            low = high
+        seen[own], left[own] = np.concatenate(worth, axis=1)[:, at]
+    return seen, left
+
+
 def _score_shard(net: _Net, batch: pa.RecordBatch, i: int) -> dict[str, np.ndarray]:
     model = net.model
     ids, offsets, hashes, endings = _tokens(batch, i)
@@ -439,10 +604,12 @@ def _score_shard(net: _Net, batch: pa.RecordBatch, i: int) -> dict[str, np.ndarr
         # Words of other shards too: their counts over all.
         fields = shared.values
         counts[fields.field("at").to_numpy()] = fields.field("n").to_numpy()
-    group, member = net.targets(hashes, endings)
+    group, member = targets = net.targets(hashes, endings)
     base = np.log10((counts + 1) / (model.n_tokens + model.n_distinct + 1))
     rest = np.log10(counts + 1) - model.rest[np.maximum(group - LISTED, 0)]
     first = _firsts(offsets)
+    known = batch.column("known")[i].as_py() or []
+    seen, left = _followed(net, ids, first, hashes, targets, [x["known"] for x in known])
     found = np.empty(len(ids))
     for at in range(0, len(ids), BATCH):
         own = np.arange(at, min(at + BATCH, len(ids)))
@@ -451,7 +618,8 @@ def _score_shard(net: _Net, batch: pa.RecordBatch, i: int) -> dict[str, np.ndarr
         chance = _log_chance(net.class_scores(net.class_rows(one, two)), target)
         chance /= math.log(10)
         has = inner >= 0
-        chance[~has] += rest[ids[own][~has]]
+        rare = own[~has]
+        chance[~has] += np.log10(seen[rare] + left[rare] * 10.0 ** rest[ids[rare]])
         if has.any():
             picked = net.member_rows(one[has], two[has], target[has])
             within = _log_chance(net.member_scores(picked, target[has]), inner[has])
@@ -466,7 +634,7 @@ def _score_shard(net: _Net, batch: pa.RecordBatch, i: int) -> dict[str, np.ndarr
     }
 
 
-def score(table: DataFrame, found: DataFrame, model: Model) -> DataFrame:
+def score(table: DataFrame, found: DataFrame, after: DataFrame, model: Model) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -487,7 +655,10 @@ def score(table: DataFrame, found: DataFrame, model: Model) -> DataFrame:
     back = found.where("total <> n").groupBy("shard")
     back = back.agg(F.collect_list(F.struct(at, F.col("total").alias("n"))).alias("shared"))
     columns = ["shard", "doc_ids", "offsets", "ids", "hashes", "endings", "counts"]
-    rows = table.select(*columns).join(back, "shard", "left").drop("shard")
+    pairs = F.sort_array(F.collect_list(F.struct("bucket", "known")))
+    after = after.groupBy("shard").agg(pairs.alias("known"))
+    rows = table.select(*columns).join(back, "shard", "left").join(after, "shard", "left")
+    rows = rows.drop("shard")
     return rows.mapInArrow(
         run,
         "doc_id long, n_tokens long, n_known long, base_score double, score double, "
@@ -506,5 +677,6 @@ def score_texts(df: DataFrame, rounds: int = ROUNDS, seed: int = 5) -> DataFrame
     """
     table = shards(df)
     found = kept(totals(table))
-    model = train(table, untrained(table, found), rounds, seed)
-    return score(table, found, model)
+    model = untrained(table, found)
+    after = followers(table, model)
+    return score(table, found, after, train(table, model, rounds, seed))

@@ -8,6 +8,7 @@ import random
 import string
 from collections import Counter
 
+import numpy as np
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -374,6 +375,32 @@ def test_language_model_of_odd_rows(odd, none):
     assert all(r.score < 0 for r in unlearnt)
 
 
+def test_contexts_tell_rare_words_apart(spark):
+    """Two words with one ending and one count, neither among the listed ones."""
+    listed = [(i, " ".join(f"c{k:03}" for k in range(600)), True) for i in range(12)]
+    pairs = [f"alpha{i} one{i}zz. beta{i} two{i}zz." for i in range(40)]
+    learnt = [(100 + i, f"{pairs[i % 40]} {pairs[(i + 7) % 40]}", True) for i in range(120)]
+    asked = [(1000 + i, f"alpha{i} one{i}zz.", False) for i in range(40)]
+    asked += [(2000 + i, f"alpha{i} two{i}zz.", False) for i in range(40)]
+    df = spark.createDataFrame(listed + learnt + asked, "doc_id long, text string, learn boolean")
+    score = {r.doc_id: r.score for r in language_model.score_texts(df).collect()}
+    assert all(score[1000 + i] > score[2000 + i] + 0.5 for i in range(40))
+
+
+def test_chances_after_a_word_add_up():
+    """Over seen and unseen words of a context, at any discount."""
+    draw = random.Random(4)
+    words = list(range(30))
+    shards = [draw.sample(words, 20) for _ in range(3)]
+    shards.append(words)
+    keys = [np.array([5 << 24 | w for w in sorted(s)], np.uint64) for s in shards]
+    counts = [np.array([draw.randrange(3) * (i < 12) for i in range(len(k))]) for k in keys]
+    *_, last = language_model._settled(keys, counts)
+    seen, left = language_model._discounted(keys[-1], last)
+    assert len(set(left)) == 1 and 0 < left[0] < 1
+    assert sum(seen) + left[0] == pytest.approx(1)
+
+
 def test_classifier_of_odd_rows(spark, odd, none):
     labels = spark.createDataFrame(
         [(5, 1), (6, 1), (8, 0), (7, 0), (1, 0), (None, 1), (6, None)], "doc_id long, label int"
