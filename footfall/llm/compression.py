@@ -1,9 +1,13 @@
-"""Compression classifier: which of two zstandard dictionaries suits a text better."""
+"""Compression classifier: which of two zstandard dictionaries suits a text better.
+
+A text is compressed in chunks, each anew with the dictionaries. Otherwise the history of a
+long text would take their place, and its difference would go to the middle.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +19,10 @@ from footfall.llm.tables import narrowed
 from footfall.llm.words import blocks, replace_columns
 
 DICTIONARY_BYTES = 64 << 10
-SAMPLE = 1500  # texts of each label and use that reach the driver, at most
-SAMPLE_CHARS = 4000  # of a sampled text that are kept, from its middle
+SAMPLE = 1500  # texts of each label and use, at most
+PIECE_BYTES = 2048
+PIECES = 1 << 14  # pieces of those texts, of each label, that reach the driver, at most
+CHUNK_BYTES = 2048  # of a text that are compressed at once
 LEVEL = 3
 
 
@@ -44,19 +50,25 @@ class _Sizes:
         return ready
 
     def difference(self, text: bytes) -> float:
-        """Between -1 and 1, above 0 if the good dictionary shrinks the text more."""
-        bad, good = (len(c.compress(text)) for c in self.compressors)
+        """Between -1 and 1, above 0 if the good dictionary shrinks the text more.
+
+        The mean over all chunks, weighted by their compressed sizes; chunks are of about
+        equal length, so that none is short.
+        """
+        count = max(1, round(len(text) / CHUNK_BYTES))
+        cuts = [len(text) * k // count for k in range(count + 1)]
+        chunks = [text[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        bad, good = (sum(len(c.compress(x)) for x in chunks) for c in self.compressors)
         return (bad - good) / (bad + good)
 
 
-def _dictionary(texts: list[bytes]) -> bytes:
-    """A trained dictionary, or the texts themselves if they are too few to train one."""
-    pieces = [t[i : i + 2048] for t in texts for i in range(0, len(t), 2048)]
+def _dictionary(pieces: list[bytes]) -> bytes:
+    """A trained dictionary, or the pieces themselves if they are too few to train one."""
     size = min(DICTIONARY_BYTES, max(1024, sum(map(len, pieces)) // 8))
     try:
         return zstandard.train_dictionary(size, pieces).as_bytes()
     except zstandard.ZstdError:
-        return b"".join(texts)[-DICTIONARY_BYTES:] or b"\0"
+        return b"".join(pieces)[-DICTIONARY_BYTES:] or b"\0"
 
 
 def _calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -90,35 +102,50 @@ def train(df: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Learns from ``df`` (``doc_id``, ``text``) with ``labels`` (``doc_id``, ``label`` 0 or 1).
 
     ``sample`` bounds the texts of each label that build a dictionary, and as many others
-    that calibrate; they are those first in a seeded order of ids. Of a longer text the
-    middle ``SAMPLE_CHARS`` characters count. Rows with a NULL id, text or label teach
+    that calibrate; they are those first in a seeded order of ids. Texts count whole: they are
+    scored where they lie, and their pieces go to the driver, all of them or, beyond
+    ``PIECES`` of a label, the first in a seeded order. Rows with a NULL id, text or label teach
     nothing. Without one of the labels every text scores near one half.
     """
     texts = narrowed(df, doc_id="long", text="string").where("text <> ''")
     marks = narrowed(labels, doc_id="long", label="int").where("label IN (0, 1)").distinct()
     order = F.xxhash64(F.lit(11), "doc_id")
-    chosen = []
+    pieces, held = [], []
     for label in (0, 1):
         # Ids are chosen before texts move: one bounded list per label.
         ids = texts.select("doc_id").join(marks.where(F.col("label") == label), "doc_id")
-        ids = ids.orderBy(order, "doc_id").limit(2 * sample)
-        middle = F.greatest(F.lit(1), ((F.length("text") - SAMPLE_CHARS) / 2).cast("int"))
-        rows = (
-            texts.join(F.broadcast(ids.distinct()), "doc_id")
-            .select(order.alias("at"), F.substr("text", middle, F.lit(SAMPLE_CHARS)).alias("text"))
-            .orderBy("at", "text")
-            .limit(2 * sample)
-            .collect()
+        ids = ids.select("doc_id").distinct().orderBy(order, "doc_id").limit(2 * sample)
+        ids = [(row.doc_id,) for row in ids.collect()]
+        learn, hold = (
+            texts.join(F.broadcast(df.sparkSession.createDataFrame(own, "doc_id long")), "doc_id")
+            for own in (ids[::2], ids[1::2])
         )
-        chosen.append([row.text.encode() for row in rows])
-    bad, good = (_dictionary(texts[::2]) for texts in chosen)
-    sizes = _Sizes(Model(bad, good, 1.0, 0.0))
-    held = [texts[1::2] for texts in chosen]
-    x = np.array([sizes.difference(t) for texts in held for t in texts])
-    y = np.array([label for label, texts in enumerate(held) for _ in texts], float)
-    if min(map(len, held)) == 0:
-        return Model(bad, good, 1.0, 0.0)
-    return Model(bad, good, *_calibrate(x, y))
+        pieces.append(_pieces(learn, order))
+        held.append(hold)
+    dictionaries = Model(*map(_dictionary, pieces), 1.0, 0.0)
+    found = []
+    for hold in held:
+        differences = score(hold, dictionaries).select(order.alias("at"), "difference")
+        rows = differences.orderBy("at", "difference").limit(2 * sample).collect()
+        found.append([row.difference for row in rows])
+    if min(map(len, found)) == 0:
+        return dictionaries
+    x = np.concatenate(found)
+    y = np.repeat([0.0, 1.0], [len(own) for own in found])
+    return replace(dictionaries, **dict(zip(("slope", "middle"), _calibrate(x, y), strict=True)))
+
+
+def _pieces(texts: DataFrame, order) -> list[bytes]:
+    """Pieces of whole texts, in the order of the texts if they are not too many."""
+    raw = F.encode("text", "UTF-8")
+    begins = F.sequence(F.lit(1), F.octet_length("text"), F.lit(PIECE_BYTES))
+    cut = texts.select(order.alias("at"), raw.alias("raw"), F.explode(begins).alias("begin"))
+    cut = cut.select(
+        "at", "begin", F.substring("raw", F.col("begin"), F.lit(PIECE_BYTES)).alias("piece")
+    )
+    drawn = cut.orderBy(F.xxhash64(F.lit(12), "at", "begin"), "piece").limit(PIECES).collect()
+    drawn.sort(key=lambda row: (row.at, row.begin, bytes(row.piece)))
+    return [bytes(row.piece) for row in drawn]
 
 
 def score(df: DataFrame, model: Model) -> DataFrame:

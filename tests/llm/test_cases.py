@@ -413,6 +413,25 @@ def test_classifier_of_odd_rows(spark, odd, none):
     assert all(abs(r.score - 0.5) < 0.3 for r in compression.score(odd, untaught).collect())
 
 
+def test_classifier_reads_long_texts_whole(spark):
+    """Labels differ at the ends only, far from the middle; length leaves a score in place."""
+    drawn = random.Random(8)
+    words = [[f"{drawn.randrange(1 << 40):x}" for _ in range(60)] for _ in range(3)]
+
+    def some(kind, n):
+        return " ".join(drawn.choice(words[kind]) for _ in range(n))
+
+    texts = [some(i % 2, 600) + some(2, 900) + some(i % 2, 600) for i in range(120)]
+    df = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(90)], "doc_id long, label int")
+    model = compression.train(df, labels)
+    rows = {r.doc_id: r for r in compression.score(df, model).collect()}
+    assert all((rows[i].score > 0.5) == bool(i % 2) for i in range(90, 120))
+    sizes = compression._Sizes(model)
+    short, long = (sizes.difference(some(1, n).encode()) for n in (300, 12_000))
+    assert short > 0 and long > 0.8 * short
+
+
 def test_mixing_of_odd_rows(spark):
     rows = [(1, "a", 10), (1, "a", 10), (2, "a", 0), (None, None, 7), (3, "b", 5), (4, "zero", 0)]
     df = spark.createDataFrame(rows, "doc_id long, source string, size long")
