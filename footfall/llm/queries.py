@@ -13,12 +13,15 @@ from footfall.llm import (
     chat,
     compression,
     decontamination,
+    exact_search,
+    hard_negatives,
     language_model,
     license_scan,
     mixing,
     near_dedup,
     quality,
     substring_dedup,
+    vector_codes,
     warc,
 )
 from footfall.llm.tables import kept, read
@@ -175,6 +178,21 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read(spark, sf_dir, "embeddings"))
+
+
+def op12_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_search.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = read(spark, sf_dir, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
+    labelled = embeddings.withColumn("label", F.coalesce(shifted, "label"))
+    return hard_negatives.mine(labelled, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     function.__name__: function
     for function in (
@@ -188,5 +206,8 @@ QUERIES = {
         op8_near_duplicates,
         op9_chat_formatting,
         op10_mixing,
+        op11_vector_codes,
+        op12_exact_search,
+        op13_hard_negatives,
     )
 }

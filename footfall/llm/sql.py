@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from footfall.llm.chat import CONTROLS
+from footfall.llm.exact_search import SCALE as SCALE_SEARCH
 from footfall.llm.queries import ODD_CHAT, ODD_TEXT
+from footfall.llm.vector_codes import SCALE as SCALE_CODES
 
 WORD = r"[^\x20\x09-\x0D]+"
 ALPHANUMERIC = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -197,6 +199,103 @@ SELECT doc_id, CAST(len(d.h) / 2 AS bigint) AS n_bytes,
 FROM d LEFT JOIN n USING (r) LEFT JOIN left_ USING (r)
 """
 
+_FINITE = """embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0"""
+
+
+def _codes(rounds: int = 6, entries: int = 16, parts: int = 8) -> str:
+    """Codebooks of equal parts: rounds of nearest entries and rounded-down means."""
+    near = """n{0} AS MATERIALIZED (
+  SELECT v, part, arg_min(entry, distance * 16 + entry) AS entry,
+    CAST(min(distance) AS bigint) AS distance
+  FROM (SELECT p.v, p.part, b.entry,
+      list_inner_product(p.x, p.x) + list_inner_product(b.x, b.x)
+        - 2 * list_inner_product(p.x, b.x) AS distance
+    FROM p JOIN b{0} AS b USING (part)) d
+  GROUP BY v, part
+)"""
+    improved = """m{0} AS MATERIALIZED (
+  SELECT part, entry, list(mean ORDER BY c) AS x
+  FROM (SELECT n.part, n.entry, c, floor(sum(p.x[c]) / count(*)) AS mean
+    FROM n{0} AS n JOIN p USING (v, part), unnest(range(1, len(p.x) + 1)) AS u(c)
+    GROUP BY ALL) w
+  GROUP BY part, entry
+),
+b{1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(m.x, b.x) AS x
+  FROM b{0} AS b LEFT JOIN m{0} AS m USING (part, entry)
+)"""
+    steps = [near.format(0)]
+    for k in range(rounds):
+        steps += [improved.format(k, k + 1), near.format(k + 1)]
+    return f"""
+WITH k AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS v, vec_id, label,
+    list_transform(embedding, lambda x: floor({SCALE_CODES} * CAST(x AS double))) AS x
+  FROM embeddings WHERE {_FINITE}
+),
+p AS MATERIALIZED (
+  SELECT v, part, x[part * len(x) // {parts} + 1 : (part + 1) * len(x) // {parts}] AS x
+  FROM k, unnest(range({parts})) AS u(part)
+),
+b0 AS MATERIALIZED (SELECT part, v - 1 AS entry, x FROM p WHERE v <= {entries}),
+{",".join(steps)},
+h AS (
+  SELECT sha256(string_agg(CAST(CAST(x[c] AS bigint) AS varchar), ','
+    ORDER BY part, entry, c)) AS codebooks_sha256
+  FROM b{rounds}, unnest(range(1, len(x) + 1)) AS u(c)
+),
+e AS (
+  SELECT v, string_agg(printf('%02x', CAST(entry AS integer)), '' ORDER BY part) AS code,
+    CAST(sum(distance) AS bigint) AS error
+  FROM n{rounds} GROUP BY v
+)
+SELECT vec_id, label, code, error,
+  CAST(sum(error) OVER (PARTITION BY label) AS bigint) AS label_error, codebooks_sha256
+FROM e JOIN k USING (v), h
+"""
+
+
+OP11 = _codes()
+
+_WHOLE_256 = f"""
+WITH k AS MATERIALIZED (
+  SELECT *, list_transform(embedding, lambda x: floor({SCALE_SEARCH} * CAST(x AS double))) AS x
+  FROM embeddings WHERE {_FINITE} AND vec_id IS NOT NULL
+)"""
+
+OP12 = f"""{_WHOLE_256},
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS bigint) AS score
+  FROM k q JOIN k c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, row_number() OVER w AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY rank <= 5
+"""
+
+OP13 = f"""{_WHOLE_256},
+l AS (
+  SELECT vec_id, x, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+  FROM k WHERE label IS NOT NULL
+),
+s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike,
+    CAST(list_inner_product(a.x, c.x) AS bigint) AS score
+  FROM l a JOIN l c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id
+),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER w AS rank, vec_id AS negative_id,
+  positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY rank <= 10
+"""
+
 ORACLE = {
     "op2_warc_bundles": OP2,
     "op3_decontamination": OP3,
@@ -204,4 +303,7 @@ ORACLE = {
     "op8_near_duplicates": OP8,
     "op9_chat_formatting": OP9,
     "op10_mixing": OP10,
+    "op11_vector_codes": OP11,
+    "op12_exact_search": OP12,
+    "op13_hard_negatives": OP13,
 }
