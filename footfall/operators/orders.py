@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions.money import amount, exact, total
+from footfall.functions.money import amount, exact, total, where
 from footfall.functions.status import CANCELLED, COMPLETED, became
 from footfall.functions.time import activity_day
 
@@ -13,15 +13,15 @@ from footfall.functions.time import activity_day
 ORDER_COLUMNS = ("order_id", "user_id", "status", "created_at", "updated_at")
 
 
-def _order_values(order_items: DataFrame) -> DataFrame:
-    return order_items.groupBy("order_id").agg(
-        total(exact(F.col("sale_price"))).alias("order_value")
-    )
+def order_values(order_items: DataFrame) -> DataFrame:
+    """The exact value of each order."""
+    values = order_items.select("order_id", exact(F.col("sale_price")).alias("value"))
+    return values.groupBy("order_id").agg(total(F.col("value")).alias("order_value"))
 
 
 def order_amounts(order_items: DataFrame) -> DataFrame:
     """Value of each order: the sum of all its items."""
-    return _order_values(order_items).select(
+    return order_values(order_items).select(
         "order_id", amount(F.col("order_value")).alias("order_amount")
     )
 
@@ -54,17 +54,23 @@ def daily_user_orders(
     the later day and takes nothing back from the earlier one, so a sequence of
     daily runs and one run over everything differ by design.
     """
+    return daily_user_orders_at(orders, previous, order_values(order_items))
+
+
+def daily_user_orders_at(
+    orders: DataFrame, previous: DataFrame, values: DataFrame
+) -> DataFrame:
+    """``daily_user_orders`` with the values of orders given, one row per order at most."""
     transitions = status_transitions(orders.select(*ORDER_COLUMNS), previous)
 
     def count(flag: str):
         return F.sum(F.col(flag).cast("long"))
 
     def worth(flag: str):
-        value = F.when(F.col(flag), F.coalesce(F.col("order_value"), F.lit(0)))
-        return amount(total(value.otherwise(0)))
+        return amount(total(where(F.col(flag), F.col("order_value"))))
 
     return (
-        transitions.join(_order_values(order_items), "order_id", "left")
+        transitions.join(values, "order_id", "left")
         .groupBy("user_id", activity_day(F.col("updated_at")).alias("activity_date"))
         .agg(
             F.max("created_at").alias("last_order_time"),
