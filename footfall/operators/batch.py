@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.time import in_interval
 from footfall.params import RunParams
+from footfall.storage import grain
 
 
 def batch_filter(
@@ -19,12 +20,16 @@ def batch_filter(
 
     ``day`` names a partition column holding the calendar day of ``moment``. A
     filter on ``moment`` alone does not prune a separate day column, so the same
-    interval is stated for it too.
+    interval is stated for it too, and for the column of a longer span beside it.
     """
     kept = df.where(in_interval(F.col(moment), params.start, params.end))
     if day is not None:
-        last = params.end - timedelta(microseconds=1)
-        kept = kept.where(F.col(day).between(F.lit(params.start.date()), F.lit(last.date())))
+        first, last = params.start.date(), (params.end - timedelta(microseconds=1)).date()
+        kept = kept.where(F.col(day).between(F.lit(first), F.lit(last)))
+        span = grain.found(day, df.columns)
+        if span != grain.DAY:
+            spans = F.col(grain.column(day, span))
+            kept = kept.where(spans.between(F.lit(grain.first(first, span)), F.lit(last)))
     return kept
 
 

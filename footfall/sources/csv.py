@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions.time import ntz
 from footfall.sources.schemas import LOAD_TIME, SPARK_TYPES, TABLES, Table
-from footfall.storage import files
-from footfall.storage.tables import rebuild_partitioned, replace_keys, write_partitioned
+from footfall.storage import files, grain
+from footfall.storage.tables import (
+    append_partitions,
+    read_partitioned,
+    rebuild_partitioned,
+    replace_keys,
+)
 
 # What a missing value becomes in a column that does not take NULL,
 # the largest unsigned values, and the shapes of ids and addresses.
@@ -170,19 +176,71 @@ def write_table(df: DataFrame, name: str, target: str, mode: str = "append") ->
 
     ``append`` adds the rows, so the same load twice doubles them; ``replace`` takes out the
     rows whose key comes again; ``overwrite`` takes out all, once the new ones are written;
-    ``ignore`` writes only where there is no table yet.
+    ``ignore`` writes only where there is no table yet. Each write is noted in the table's
+    folder with the partitions it touched.
     """
     table, spark = TABLES[name], df.sparkSession
-    laid_out = df.select(
-        "*", *[F.expr(sql).alias(column) for column, sql in table.partition_by.items()]
-    )
+    exists = files.exists(spark, target)
+    if mode == "ignore" and exists:
+        return
     layout = (list(table.partition_by), table.sort_by)
-    if mode == "replace":
-        replace_keys(spark, laid_out, target, table.key, *layout)
+    if not exists and table.days:
+        rows, span = _first_rows(df, table, target)
+    else:
+        rows, span = df, grain.of(spark, target)
+    marks = {grain.MARK: span} if table.days else {}
+    laid_out = _laid_out(rows, table, span)
+    gained = partial(_days, table) if table.days else None
+    if mode == "replace" and exists:
+        replace_keys(spark, laid_out, target, table.key, *layout, gained)
     elif mode == "overwrite":
-        rebuild_partitioned(spark, laid_out, target, *layout)
+        rebuild_partitioned(spark, laid_out, target, *layout, noted=True, marks=marks)
     else:
-        write_partitioned(laid_out, target, *layout, mode)
+        append_partitions(spark, laid_out, target, *layout, gained, marks)
+    files.delete(spark, _first(target))
+
+
+def _first(target: str) -> str:
+    return f"{target.rstrip('/')}.first"
+
+
+def _first_rows(df: DataFrame, table: Table, target: str) -> tuple[DataFrame, str]:
+    """The rows of a new table, written down once, and the span that their bytes ask for."""
+    spark, staged = df.sparkSession, _first(target)
+    df.write.mode("overwrite").parquet(staged)
+    rows = spark.read.schema(df.schema).parquet(staged)
+    return rows, grain.chosen(files.size(spark, staged), len(_days(table, rows)))
+
+
+def _days(table: Table, rows: DataFrame) -> list[str]:
+    """The days of some rows, of which there are a few thousand at most."""
+    (sql,) = table.days.values()
+    found = rows.select(F.expr(sql).cast("string").alias("day")).distinct()
+    return sorted(row.day for row in found.collect() if row.day is not None)
+
+
+def _laid_out(rows: DataFrame, table: Table, span: str) -> DataFrame:
+    columns = []
+    for column, sql in table.partition_by.items():
+        value = F.expr(sql)
+        columns.append((grain.start(value, span) if column in table.days else value).alias(column))
+    return rows.select("*", *columns)
+
+
+def regroup(spark: SparkSession, name: str, target: str) -> str:
+    """Lays a raw table out again by the span that its bytes ask for now, and returns that.
+
+    For a table that has come to gain much more or less a day than at its first load.
+    """
+    table = TABLES[name]
+    stored = read_partitioned(spark, target, table.schema)
+    days = len(_days(table, stored))
+    span = grain.chosen(files.size(spark, target), days)
+    if span != grain.of(spark, target):
+        layout = (list(table.partition_by), table.sort_by)
+        rows = _laid_out(stored, table, span)
+        rebuild_partitioned(spark, rows, target, *layout, noted=True, marks={grain.MARK: span})
+    return span
 
 
 def ingest(
@@ -199,7 +257,8 @@ def ingest(
 
     Without a ``rejects`` folder an unreadable value stops the load. With one, its
     row is added there as text, with the moment of the load, and the rest is loaded. The
-    CSV is read once and its rows wait beside the target.
+    CSV is read once and its rows wait beside the target. Rejects are added once the table
+    is written, so a load that fails before and is run again does not double them.
     """
     if rejects is None:
         write_table(read_csv(spark, name, path, load_ts, multiline), name, target, mode)
@@ -208,8 +267,8 @@ def ingest(
     _checked(spark, name, path, load_ts, multiline).write.mode("overwrite").parquet(staged)
     sound, rejected = _parted(spark.read.parquet(staged), name)
     rejected = rejected.withColumn(LOADED, ntz(load_ts))
-    rejected.write.mode("append").parquet(rejects)
     write_table(sound, name, target, mode)
+    rejected.write.mode("append").parquet(rejects)
     count = rejected.count()
     files.delete(spark, staged)
     return count

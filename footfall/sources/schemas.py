@@ -46,6 +46,11 @@ class Table:
     system_in_file: bool = False
     key: str = "id"
 
+    @property
+    def days(self) -> dict[str, str]:
+        """The partition columns that hold a day, and their SQL; they may hold longer spans."""
+        return {name: sql for name, sql in self.partition_by.items() if sql.startswith("to_date(")}
+
     @property
     def logical(self) -> list[str]:
         return [*self.columns, *self.derived, *self.system]

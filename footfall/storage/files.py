@@ -45,6 +45,36 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What lies in a directory; nothing if there is none."""
+    fs, root = _open(spark, path)
+    if not fs.exists(root):
+        return []
+    return sorted(entry.getPath().getName() for entry in fs.listStatus(root))
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a directory."""
+    fs, root = _open(spark, path)
+    return fs.getContentSummary(root).getLength()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file; stops if it is there already."""
+    fs, target = _open(spark, path)
+    out = fs.create(target, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, target = _open(spark, path)
+    stream = fs.open(target)
+    text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return text
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a Spark write to ``path`` was committed."""
     return exists(spark, f"{path}/_SUCCESS")

@@ -6,7 +6,8 @@ driver dies while moving, the next call finishes from what still waits there.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from urllib.parse import unquote
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from footfall.operators.batch import delete_insert
-from footfall.storage import files
+from footfall.storage import changes, files
 
 
 @dataclass(frozen=True)
@@ -78,16 +79,83 @@ def _pending(path: str) -> str:
     return f"{path.rstrip('/')}.pending"
 
 
+def _added(path: str) -> str:
+    return f"{path.rstrip('/')}.added"
+
+
 def recover(spark: SparkSession, path: str, depth: int) -> None:
     """Finishes or forgets what a lost driver left beside a table of ``depth`` partition levels."""
     if files.is_complete(spark, _pending(path)):
         _move_in(spark, path, depth)
     else:
         files.delete(spark, _pending(path))
+    if files.is_complete(spark, _added(path)):
+        _add_in(spark, path, depth)
+    else:
+        files.delete(spark, _added(path))
     if files.exists(spark, f"{path.rstrip('/')}.previous"):
         _swap_in(spark, path)
 
 
+def _note(spark: SparkSession, path: str, staged: str, names: Sequence[str]) -> None:
+    """Notes that the partitions ``names`` change, if changes of the table are kept."""
+    if changes.are_kept(spark, path):
+        number = changes.last(spark, path) + 1
+        changes.note(spark, path, number, names, _gained(spark, staged))
+
+
+def _gained(spark: SparkSession, staged: str) -> list[str] | None:
+    marked = f"{staged}/{changes.GAINED}"
+    return json.loads(files.read_text(spark, marked)) if files.exists(spark, marked) else None
+
+
+def append_partitions(
+    spark: SparkSession,
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str],
+    sort_by: Sequence[str] = (),
+    gained: Callable[[DataFrame], Sequence[str]] | None = None,
+    marks: Mapping[str, str] | None = None,
+) -> None:
+    """Adds rows to a table whose changes are kept.
+
+    Files are written beside the table and then moved in, so what changes is known
+    before. What dies while moving is finished by ``recover``. ``gained`` tells from the
+    written rows what the note is to name as gained, in place of the partitions. ``marks``
+    are small files that a new table gets.
+    """
+    recover(spark, path, len(partition_by))
+    staged = _added(path)
+    write_partitioned(df, staged, partition_by, sort_by, mode="overwrite")
+    if gained is not None:
+        told = gained(read_partitioned(spark, staged, df.schema))
+        files.write_text(spark, f"{staged}/{changes.GAINED}", json.dumps(sorted(told)))
+    for name, text in (marks or {}).items():
+        files.write_text(spark, f"{staged}/{name}", text)
+    _add_in(spark, path, len(partition_by))
+
+
+def _add_in(spark: SparkSession, path: str, depth: int) -> None:
+    staged = _added(path)
+    names = files.partitions(spark, staged, depth)
+    if not files.exists(spark, path):
+        if not changes.are_kept(spark, staged):
+            changes.note(spark, staged, 1, names, _gained(spark, staged))
+        files.move(spark, staged, path)
+        files.delete(spark, f"{path}/{changes.GAINED}")
+        return
+    _note(spark, path, staged, names)
+    present = set(files.partitions(spark, path, depth))
+    for name in names:
+        if name not in present:
+            files.move(spark, f"{staged}/{name}", f"{path}/{name}")
+            continue
+        for part in files.names(spark, f"{staged}/{name}"):
+            files.move(spark, f"{staged}/{name}/{part}", f"{path}/{name}/{part}")
+    files.delete(spark, staged)
+
+
 def _move_in(spark: SparkSession, path: str, depth: int) -> None:
     # The first build of a table is one move, however many partitions it has.
     if not files.exists(spark, path):
@@ -96,7 +164,9 @@ def _move_in(spark: SparkSession, path: str, depth: int) -> None:
     # A partition is gone from the waiting folder once it is in place, so a second
     # call only repeats what is left.
     files.make_dirs(spark, path)
-    for name in files.partitions(spark, _pending(path), depth):
+    names = files.partitions(spark, _pending(path), depth)
+    _note(spark, path, _pending(path), names)
+    for name in names:
         files.delete(spark, f"{path}/{name}")
         files.move(spark, f"{_pending(path)}/{name}", f"{path}/{name}")
     files.delete(spark, _pending(path))
@@ -109,18 +179,26 @@ def replace_partitions(
     partition_by: Sequence[str],
     sort_by: Sequence[str] = (),
     also_empty: Sequence[str] = (),
+    gained: Sequence[str] | None = None,
+    noted: bool = False,
 ) -> None:
     """Replaces exactly the partitions that ``df`` has rows for.
 
     ``df`` may read from ``path``. ``also_empty`` names partition directories that
-    lose their old rows even if ``df`` brings none.
+    lose their old rows even if ``df`` brings none. ``gained`` names those that have new
+    rows, where changes of the table are kept and these are not all. A first build with
+    ``noted`` begins to keep them.
     """
     if files.is_complete(spark, _pending(path)):
         raise RuntimeError(f"{path} has a replacement to finish first: call recover")
     files.delete(spark, _pending(path))
     for name in also_empty:
         files.make_dirs(spark, f"{_pending(path)}/{name}")
+    if gained is not None:
+        files.write_text(spark, f"{_pending(path)}/{changes.GAINED}", json.dumps(sorted(gained)))
     write_partitioned(df, _pending(path), partition_by, sort_by, mode="append")
+    if noted and not files.exists(spark, path):
+        changes.note(spark, _pending(path), 1, None)
     _move_in(spark, path, len(partition_by))
 
 
@@ -132,10 +210,11 @@ def incremental_replace(
     layout: Layout,
     sort_by: Sequence[str] = (),
     full_refresh: bool = False,
+    noted: bool = False,
 ) -> None:
     """``delete_insert`` into a table laid out by a date among its keys.
 
-    Equal keys lie in the same partition, so only the partitions of the batch can
+    With ``noted`` the table's changes are kept. Equal keys lie in the same partition, so only the partitions of the batch can
     lose rows: those are read back and rewritten, and the cost follows the batch
     and not the table. Partitions the table does not have yet are moved in unread.
     """
@@ -145,10 +224,10 @@ def incremental_replace(
     batch = layout.add_to(batch)
     partition_by = [layout.column]
     if full_refresh:
-        rebuild_partitioned(spark, batch, path, partition_by, sort_by)
+        rebuild_partitioned(spark, batch, path, partition_by, sort_by, noted)
         return
     if not files.exists(spark, path):
-        replace_partitions(spark, batch, path, partition_by, sort_by)
+        replace_partitions(spark, batch, path, partition_by, sort_by, noted=noted)
         return
 
     # The batch is needed for its partitions, its keys and its rows: compute it once.
@@ -175,15 +254,16 @@ def replace_keys(
     key: str,
     partition_by: Sequence[str],
     sort_by: Sequence[str] = (),
+    gained: Callable[[DataFrame], Sequence[str]] | None = None,
 ) -> None:
     """Replaces the rows whose ``key`` comes again in ``batch``, in whatever partition they lie.
 
-    Of the table only the key and the partitions' names are read to find the partitions to
+    ``gained`` as for ``append_partitions``. Of the table only the key and the partitions' names are read to find the partitions to
     rewrite: those that hold a key of the batch, and those that gain rows.
     """
     recover(spark, path, len(partition_by))
     if not files.exists(spark, path):
-        replace_partitions(spark, batch, path, partition_by, sort_by)
+        append_partitions(spark, batch, path, partition_by, sort_by, gained)
         return
     staged = f"{path.rstrip('/')}.batch"
     files.delete(spark, staged)
@@ -197,12 +277,16 @@ def replace_keys(
     known = stored.select(key, folder.alias("folder"))
     old = known.join(fresh.select(key), key, "left_semi").select("folder").distinct()
     present = set(files.partitions(spark, path, len(partition_by)))
-    gaining = present.intersection(files.partitions(spark, staged, len(partition_by)))
+    arriving = files.partitions(spark, staged, len(partition_by))
+    gaining = present.intersection(arriving)
     losing = {_same_name(row.folder, present) for row in old.collect()}
     touched = sorted(losing | gaining)
     rest = read_partitioned(spark, path, batch.schema, only=touched)
     replaced = delete_insert(rest, fresh, [key])
-    replace_partitions(spark, replaced, path, partition_by, sort_by, also_empty=touched)
+    told = arriving if gained is None else gained(fresh)
+    replace_partitions(
+        spark, replaced, path, partition_by, sort_by, also_empty=touched, gained=told
+    )
     files.delete(spark, staged)
 
 
@@ -237,10 +321,19 @@ def rebuild_partitioned(
     path: str,
     partition_by: Sequence[str],
     sort_by: Sequence[str] = (),
+    noted: bool = False,
+    marks: Mapping[str, str] | None = None,
 ) -> None:
-    """``rebuild_table`` for a partitioned table."""
+    """``rebuild_table`` for a partitioned table; ``noted`` if its changes are to be kept.
+
+    ``marks`` are small files that the new table gets.
+    """
     path = path.rstrip("/")
     write_partitioned(df, f"{path}.next", partition_by, sort_by, mode="overwrite")
+    for name, text in (marks or {}).items():
+        files.write_text(spark, f"{path}.next/{name}", text)
+    if noted:
+        changes.note(spark, f"{path}.next", changes.last(spark, path) + 1, None)
     _swap_in(spark, path)
 
 
