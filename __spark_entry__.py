@@ -15,6 +15,7 @@ from pyspark.sql import functions as F  # noqa: E402
 import oracle  # noqa: E402
 import sample_data  # noqa: E402
 from footfall import RunParams, Sources, Targets, run_daily  # noqa: E402
+from footfall.functions.money import amount  # noqa: E402
 from footfall.functions.time import ntz  # noqa: E402
 from footfall.operators.batch import batch_filter  # noqa: E402
 from footfall.operators.events import (  # noqa: E402
@@ -46,9 +47,12 @@ from footfall.operators.orders import (  # noqa: E402
     order_amounts,
     status_transitions,
 )
+from footfall.plans import order_values  # noqa: E402
 from footfall.plans.daily import EVENT_LAYOUT, ORDER_KEYS, ORDER_LAYOUT, STEPS  # noqa: E402
+from footfall.plans.late import run_with_late  # noqa: E402
 from footfall.sources.csv import ingest, write_table  # noqa: E402
 from footfall.sources.registry import stg_users as stg_users_model  # noqa: E402
+from footfall.sources.schemas import TABLES  # noqa: E402
 from footfall.storage import files  # noqa: E402
 from footfall.storage.files import shared_folder  # noqa: E402
 from footfall.storage.history import read_history, update_snapshot  # noqa: E402
@@ -495,12 +499,12 @@ def behavior_features_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 _DAYS = (date(2024, 1, 24), date(2024, 1, 25), date(2024, 1, 26))
 
 
-def _daily_run_sql(days: tuple[date, ...] = _DAYS) -> str:
+def _daily_run_sql(days: tuple[date, ...] = _DAYS, **events: str) -> str:
     """The first run takes all orders and knows no state before; later runs take a day each."""
     runs = [RunParams.for_day(day) for day in days]
     parts = {
         "ev": f"SELECT * FROM ({oracle.EV}) e WHERE created_at < {oracle.at(runs[-1].end)}",
-        "ed": oracle.daily_events(),
+        **(events or {"ed": oracle.daily_events()}),
         "items": oracle.ITEMS,
     }
     daily = []
@@ -614,6 +618,129 @@ def orders_snapshot_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_history(spark, path, state.schema)
 
 
+# Far enough on that days leave the window of 30 days, and one of them is replaced.
+_MOVING = (date(2024, 2, 10), date(2024, 2, 11), date(2024, 2, 12))
+_REPLACED = RunParams.for_day(date(2024, 1, 5))
+
+
+@query(
+    _daily_run_sql(
+        _MOVING,
+        all_days=oracle.daily_events(),
+        corrected=f"""SELECT * FROM ev WHERE event_type <> 'error'
+          AND created_at >= {oracle.at(_REPLACED.start)}
+          AND created_at < {oracle.at(_REPLACED.end)}""",
+        fresh=oracle.daily_events("corrected"),
+        ed=oracle.replaced("all_days", "fresh", oracle.DAY_KEYS),
+    )
+)
+def features_carried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs that carry totals on; then a day that the totals hold runs again, corrected."""
+    targets = Targets(shared_folder(spark))
+    events = sample_data.events(spark, sf_dir)
+
+    def sources(params: RunParams, rows: DataFrame) -> Sources:
+        tables = {
+            "events": rows.where(F.col("created_at") < ntz(params.end)),
+            "orders": sample_data.orders_at(spark, sf_dir, params.end),
+            "order_items": sample_data.order_items(spark, sf_dir),
+        }
+        return Sources(spark, tables)
+
+    for day in _MOVING:
+        params = RunParams.for_day(day)
+        run_daily(spark, sources(params, events), targets, params)
+    corrected = sources(params, events.where("event_type <> 'error'"))
+    run_daily(spark, corrected, targets, _REPLACED, ["int_daily_user_events"])
+    run_daily(spark, corrected, targets, params, ["behavior_features"])
+    return targets.read(spark, "behavior_features")
+
+
+# What is loaded a day late: a fortieth of the events and orders of two earlier days.
+_LATE_DAYS = (date(2024, 1, 21), date(2024, 1, 14))
+_ON_LATE_DAYS = " OR ".join(f"CAST({{0}} AS date) = DATE '{day}'" for day in _LATE_DAYS)
+_LATE_EVENTS = f"id % 40 = 0 AND ({_ON_LATE_DAYS.format('created_at')})"
+_LATE_ORDERS = f"order_id % 40 < 8 AND ({_ON_LATE_DAYS.format('updated_at')})"
+
+
+def _late_rows_sql() -> str:
+    first, second = (RunParams.for_day(day) for day in _DAYS[:2])
+    day_of = "CAST(updated_at AS date)"
+    return oracle.with_parts(
+        oracle.features(_DAYS[1]),
+        ev=f"SELECT * FROM ({oracle.EV}) e WHERE created_at < {oracle.at(second.end)}",
+        ed=oracle.daily_events(),
+        items=oracle.ITEMS,
+        nothing="SELECT order_id, status FROM items, (SELECT '' AS status) s WHERE FALSE",
+        state0=f"SELECT * FROM ({oracle.orders_state(first.end)}) o WHERE NOT ({_LATE_ORDERS})",
+        state1=oracle.orders_state(second.end),
+        od0=oracle.daily_orders("state0", "nothing"),
+        late=f"""SELECT * FROM state1 WHERE {day_of} IN (SELECT {day_of} FROM state1
+          WHERE {_LATE_ORDERS})""",
+        fresh=oracle.daily_orders("late", "nothing"),
+        batch=f"""SELECT * FROM state1 WHERE updated_at >= {oracle.at(second.start)}
+          AND updated_at < {oracle.at(second.end)}""",
+        od1=oracle.daily_orders("batch", "state0"),
+        od=f"""SELECT * FROM ({oracle.replaced("od0", "fresh", "user_id, activity_date")}) r
+          UNION ALL SELECT * FROM od1""",
+    )
+
+
+@query(_late_rows_sql())
+def late_rows_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loaded days; the second load brings events and orders of earlier days as well."""
+    names = ("events", "orders", "order_items")
+    sources = Sources(spark, {name: shared_folder(spark) for name in names})
+    targets = Targets(shared_folder(spark))
+    first, second = (RunParams.for_day(day) for day in _DAYS[:2])
+    events = sample_data.read(spark, sf_dir, sample_data.FULL_EVENTS)
+    items = sample_data.read(spark, sf_dir, sample_data.FULL_ORDER_ITEMS)
+    states = [sample_data.orders_at(spark, sf_dir, params.end) for params in (first, second)]
+    late = F.expr(_LATE_EVENTS)
+
+    on_time = events.where((F.col("created_at") < ntz(first.end)) & ~late)
+    _load("events", on_time, sources.path("events"))
+    _load("orders", states[0].where(~F.expr(_LATE_ORDERS)), sources.path("orders"))
+    _load("order_items", items, sources.path("order_items"))
+    run_with_late(spark, sources, targets, first)
+
+    _load("events", events.where(late), sources.path("events"))
+    _load("events", batch_filter(events, "created_at", second), sources.path("events"))
+    changed = F.col("updated_at") >= ntz(second.start)
+    _load("orders", states[1].where(changed | F.expr(_LATE_ORDERS)), sources.path("orders"), "replace")
+    run_with_late(spark, sources, targets, second)
+    run_with_late(spark, sources, targets, second)
+    return targets.read(spark, "behavior_features")
+
+
+_CUT = datetime(2023, 1, 1)
+
+
+@query(
+    oracle.with_parts(
+        f"""SELECT order_id, CAST(sum(CAST(CASE WHEN id % 50 = 0 AND created_at < {oracle.at(_CUT)}
+            THEN sale_price + 1.5 ELSE sale_price END AS decimal(18,4))) AS double) AS order_amount
+        FROM items GROUP BY order_id""",
+        items=sample_data.check_sql(sample_data.FULL_ORDER_ITEMS),
+    )
+)
+def order_values_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values kept up to date over three loads: items, later ones, and changed prices."""
+    items, kept = shared_folder(spark), shared_folder(spark)
+    rows = sample_data.read(spark, sf_dir, sample_data.FULL_ORDER_ITEMS)
+    early = F.col("created_at") < ntz(_CUT)
+    dearer = rows.where(early & (F.col("id") % 50 == 0)).withColumn(
+        "sale_price", F.col("sale_price") + 1.5
+    )
+    for load, mode in ((rows.where(early), "append"), (rows.where(~early), "append"), (dearer, "replace")):
+        _load("order_items", load, items, mode)
+        schema = TABLES["order_items"].stored_schema
+        order_values.update(spark, items, schema, "created_day", kept, span=100_000)
+    return order_values.all_values(spark, kept).select(
+        "order_id", amount(F.col("order_value")).alias("order_amount")
+    )
+
+
 # Training-data operators and their pipeline are optional; the library does without them.
 _added: dict[str, Query] = {}
 _added_sql: dict[str, str] = {}

@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 
 from footfall.params import RunParams
 from footfall.plans.daily import STEPS, Targets, run_daily
+from footfall.plans.late import run_with_late
 from footfall.sources.csv import ingest
 from footfall.sources.registry import Sources
 from footfall.sources.schemas import TABLES
@@ -43,6 +44,7 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--as-of", type=datetime.fromisoformat)
     run.add_argument("--steps", nargs="+", choices=STEPS, default=STEPS)
     run.add_argument("--full-refresh", action="store_true")
+    run.add_argument("--late", action="store_true", help="run days again that gained rows since")
     run.add_argument("--drop-anonymous", action="store_true", help="leave user 0's events out")
     return parser
 
@@ -79,7 +81,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         return
     raw = options.raw.rstrip("/")
     present = {name: f"{raw}/{name}" for name in TABLES if files.exists(spark, f"{raw}/{name}")}
-    run_daily(
+    (run_with_late if options.late else run_daily)(
         spark,
         Sources(spark, present, options.drop_anonymous),
         Targets(options.targets),

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions.money import amount, average, exact
+from footfall.functions.money import amount, average, exact, settled, total
 from footfall.functions.status import is_churned
 from footfall.functions.time import days_until
 from footfall.operators.horizons import HORIZONS, horizon_sums, names, suffix
@@ -100,18 +100,53 @@ def user_event_features(daily_events: DataFrame, job_date: date) -> DataFrame:
     )
 
 
+def exact_amounts(daily_orders: DataFrame) -> DataFrame:
+    """The daily rows with exact amounts in place of doubles."""
+    return daily_orders.withColumns({c: exact(F.col(c)) for c in ORDER_AMOUNTS.values()})
+
+
 def user_order_agg(daily_orders: DataFrame, job_date: date) -> DataFrame:
     """Transition counts and amounts per user over each horizon, and the last order."""
-    amounts = {name: exact(column) for name, column in _columns(ORDER_AMOUNTS).items()}
+    return _user_order_sums(exact_amounts(daily_orders), job_date)
+
+
+def _user_order_sums(daily_orders: DataFrame, job_date: date) -> DataFrame:
+    amounts = _columns(ORDER_AMOUNTS)
+    halves = {f"{n}_{half}": x[half] for n, x in amounts.items() for half in ("high", "low")}
+    rows = {f"{name}_rows": F.count(x["low"]) for name, x in amounts.items()}
     summed = horizon_sums(
         daily_orders,
         ("user_id",),
         job_date,
-        _columns(ORDER_COUNTS) | amounts,
-        also={"last_order_time": F.max("last_order_time")},
+        _columns(ORDER_COUNTS) | halves,
+        also={"last_order_time": F.max("last_order_time"), **rows},
+        summed=F.try_sum,
     )
-    return summed.withColumns(
-        {n: amount(F.col(n)) for metric in ORDER_AMOUNTS for n in names(metric)}
+
+    def value(metric: str, horizon: int | None) -> Column:
+        high, low = (F.col(f"{metric}_{half}_{suffix(horizon)}") for half in ("high", "low"))
+        return amount(settled(high, low, F.col(f"{metric}_rows")))
+
+    counts = [n for metric in ORDER_COUNTS for n in names(metric)]
+    sums = [value(m, h).alias(f"{m}_{suffix(h)}") for m in ORDER_AMOUNTS for h in HORIZONS]
+    return summed.select("user_id", "last_order_time", *counts, *sums)
+
+
+def event_totals(daily_events: DataFrame, *keys: str) -> DataFrame:
+    """Daily rows, or totals, summed up to what the features take of days long past."""
+    metrics = (EVENT_METRICS | SESSION_METRIC).values()
+    return daily_events.groupBy("user_id", "traffic_source", *keys).agg(
+        F.max("last_event_time").alias("last_event_time"),
+        *[F.sum(column).alias(column) for column in metrics],
+    )
+
+
+def order_totals(daily_orders: DataFrame, *keys: str) -> DataFrame:
+    """``event_totals`` of orders, whose amounts are exact ones."""
+    return daily_orders.groupBy("user_id", *keys).agg(
+        F.max("last_order_time").alias("last_order_time"),
+        *[F.sum(column).alias(column) for column in ORDER_COUNTS.values()],
+        *[total(F.col(column)).alias(column) for column in ORDER_AMOUNTS.values()],
     )
 
 
@@ -147,8 +182,13 @@ def behavior_features(
     Users without events have NULL event features and are not churned; users
     without orders have NULL order features, not 0.
     """
+    return features_of(daily_events, exact_amounts(daily_orders), job_date)
+
+
+def features_of(daily_events: DataFrame, daily_orders: DataFrame, job_date: date) -> DataFrame:
+    """``behavior_features`` from exact amounts; daily rows may stand for several days."""
     events = user_event_features(daily_events, job_date)
-    orders = user_order_agg(daily_orders, job_date)
+    orders = _user_order_sums(daily_orders, job_date)
     both = churn_flag(avg_order_amounts(events.join(orders, "user_id", "full")), job_date)
     return both.select(
         "user_id",

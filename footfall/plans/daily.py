@@ -10,12 +10,22 @@ from pyspark.sql.types import StructType
 
 from footfall.operators.batch import batch_filter
 from footfall.operators.events import DAY_KEYS, daily_user_events
-from footfall.operators.features import behavior_features
+from footfall.operators.features import (
+    behavior_features,
+    event_totals,
+    exact_amounts,
+    features_of,
+    order_totals,
+)
 from footfall.operators.history import as_of
-from footfall.operators.orders import ORDER_COLUMNS, daily_user_orders
+from footfall.operators.horizons import HORIZONS
+from footfall.operators.orders import ORDER_COLUMNS, daily_user_orders_at, order_values
 from footfall.params import RunParams
+from footfall.plans import order_values as kept_values
+from footfall.plans.carried import Daily, with_totals
 from footfall.sources.registry import Sources
-from footfall.storage import files
+from footfall.sources.schemas import TABLES
+from footfall.storage import changes, files
 from footfall.storage.history import read_any_history, read_history, update_snapshot
 from footfall.storage.tables import (
     Layout,
@@ -47,13 +57,16 @@ _STORED = {
 
 @dataclass(frozen=True)
 class Targets:
-    """Where the run keeps its tables."""
+    """Where the run keeps its tables, and beside them what it carries from day to day."""
 
     base: str
 
     def path(self, step: str) -> str:
         return f"{self.base.rstrip('/')}/{step}"
 
+    def state(self, name: str) -> str:
+        return f"{self.base.rstrip('/')}.state/{name}"
+
     def read(self, spark: SparkSession, step: str) -> DataFrame:
         path = self.path(step)
         if step in _STORED:
@@ -111,6 +124,7 @@ def int_daily_user_events(
         EVENT_LAYOUT,
         sort_by=("user_id",),
         full_refresh=full_refresh,
+        noted=True,
     )
 
 
@@ -120,7 +134,7 @@ def int_daily_user_orders(
     """Compares the batch with the history recorded up to ``params.as_of``."""
     path = targets.path("int_daily_user_orders")
     staged = f"{path}.orders"
-    orders, items = sources["orders"], sources["order_items"]
+    orders = sources["orders"]
     history = read_history(
         spark,
         targets.path("orders_snapshot"),
@@ -128,14 +142,15 @@ def int_daily_user_orders(
         ended_after=params.as_of,
     )
     previous = as_of(history, params.as_of)
-    if _is_incremental(spark, path, full_refresh):
+    incremental = _is_incremental(spark, path, full_refresh)
+    if incremental:
         # The batch is small beside the tables it meets: write it down, and narrow them.
         batch = _batch(orders, "updated_at", "updated_day", params).select(*ORDER_COLUMNS)
         batch.write.mode("overwrite").parquet(staged)
         orders = spark.read.schema(batch.schema).parquet(staged)
         previous = _rows_of(previous, orders, "order_id")
-        items = _rows_of(items, orders, "order_id")
-    batch = daily_user_orders(orders, previous, items)
+    values = _values(spark, sources, targets, orders if incremental else None)
+    batch = daily_user_orders_at(orders, previous, values)
     incremental_replace(
         spark,
         batch,
@@ -144,21 +159,59 @@ def int_daily_user_orders(
         ORDER_LAYOUT,
         sort_by=("user_id",),
         full_refresh=full_refresh,
+        noted=True,
     )
     files.delete(spark, staged)
 
 
+def _values(
+    spark: SparkSession, sources: Sources, targets: Targets, orders: DataFrame | None
+) -> DataFrame:
+    """Values of ``orders``, or of all: kept ones where changes of the items are known."""
+    stored, path = sources.noted("order_items"), targets.state("order_values")
+    if stored is None:
+        items = sources["order_items"]
+        return order_values(items if orders is None else _rows_of(items, orders, "order_id"))
+    schema = TABLES["order_items"].stored_schema
+    kept_values.update(spark, stored, schema, "created_day", path)
+    if orders is None:
+        return kept_values.all_values(spark, path)
+    return kept_values.values_of(spark, path, orders)
+
+
 def build_behavior_features(
     spark: SparkSession, sources: Sources, targets: Targets, params: RunParams, full_refresh: bool
 ) -> None:
-    features = behavior_features(
-        targets.read(spark, "int_daily_user_events"),
-        targets.read(spark, "int_daily_user_orders"),
-        params.job_date,
-    )
+    tables = [
+        Daily(
+            targets.path("int_daily_user_events"),
+            lambda names: _stored(spark, targets, "int_daily_user_events", names),
+            event_totals,
+        ),
+        Daily(
+            targets.path("int_daily_user_orders"),
+            lambda names: exact_amounts(_stored(spark, targets, "int_daily_user_orders", names)),
+            order_totals,
+        ),
+    ]
+    if all(changes.are_kept(spark, table.path) for table in tables):
+        window = max(h for h in HORIZONS if h is not None)
+        rows = [
+            with_totals(spark, t, params.job_date, window, targets.state(t.path.split("/")[-1]))
+            for t in tables
+        ]
+        features = features_of(*rows, params.job_date)
+    else:
+        rows = [targets.read(spark, t.path.split("/")[-1]) for t in tables]
+        features = behavior_features(*rows, params.job_date)
     rebuild_table(spark, features, targets.path("behavior_features"))
 
 
+def _stored(spark: SparkSession, targets: Targets, step: str, names: list[str]) -> DataFrame:
+    schema = StructType.fromDDL(_STORED[step])
+    return read_partitioned(spark, targets.path(step), schema, only=names)
+
+
 _RUN = dict(
     zip(
         STEPS,
