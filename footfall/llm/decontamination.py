@@ -23,25 +23,28 @@ from footfall.llm.words import (
     Words,
     block_of,
     blocks,
+    equal_ranges,
     find_words,
+    numbered,
     replace_columns,
     word_hashes,
 )
 
 WINDOW = 10
 TEST_BYTES = 8 << 20  # of test text that is searched for at once
+LOT = 1 << 21  # matches that are held at once
+MOST_TEST_BYTES = 128 << 20  # of all test text, which passes through the driver
 SHARD_BYTES = (2 << 20) - 64
 
 Test = list[tuple[str, bytes]]
 
 
-def _symbols(hashes: np.ndarray, rows: np.ndarray, n_rows: int) -> tuple[np.ndarray, ...]:
-    """Words as small numbers from 1, in one array with a 0 after each row; its vocabulary."""
-    vocabulary, ids = np.unique(hashes, return_inverse=True)
-    text = np.zeros(len(hashes) + n_rows, np.int64)
-    at = np.arange(len(hashes)) + rows
+def _symbols(ids: np.ndarray, rows: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words' numbers, from 1, in one array with a 0 after each row; the place of each word."""
+    text = np.zeros(len(ids) + n_rows, np.int64)
+    at = np.arange(len(ids)) + rows
     text[at] = ids + 1
-    return vocabulary, text, at
+    return text, at
 
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
@@ -132,43 +135,105 @@ class _Tests:
         self.lengths = np.minimum(left[self.starts], window)
         self.left = left
 
-    def word(self, i: int) -> bytes:
-        return self.block.data[self.words.starts[i] : self.words.ends[i]].tobytes()
+    def numbers(self, block: Block, words: Words, first: np.ndarray, hashes: np.ndarray):
+        """Each word's number among the words of ``block``; -1 where it is none of them.
+
+        ``first`` is a place of each of the block's distinct words. Bytes decide.
+        """
+        order = np.argsort(hashes, kind="stable")
+        out = np.full(len(self.hashes), -1)
+        if not len(order):
+            return out
+        low = np.searchsorted(hashes[order], self.hashes, "left")
+        high = np.searchsorted(hashes[order], self.hashes, "right")
+        for k in range(int((high - low).max(initial=0))):  # words may share a hash
+            at = np.flatnonzero((low + k < high) & (out < 0))
+            number = order[low[at] + k]
+            place = first[number]
+            same = equal_ranges(
+                self.block.data,
+                self.words.starts[at],
+                self.words.ends[at],
+                block.data,
+                words.starts[place],
+                words.ends[place],
+            )
+            out[at[same]] = number[same]
+        return out
+
+
+Match = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
-def _matches(block: Block, words: Words, tests: _Tests, window: int):
-    """(first word, test suffix, words in common) of all places where a window occurs."""
-    n_rows = len(block.offsets) - 1
-    vocabulary, text, at = _symbols(word_hashes(block, words), words.rows, n_rows)
+def _matches(block: Block, words: Words, tests: _Tests, window: int) -> Iterator[Match]:
+    """(first word, number of the window, words in common from there on) of all places where
+    a window of the tests occurs, in lots of bounded size.
+    """
+    ids, first, hashes = numbered(block.data, words.starts, words.ends)
+    text, at = _symbols(ids, words.rows, len(block.offsets) - 1)
     order = suffix_array(text, window)
-    ids = np.searchsorted(vocabulary, tests.hashes)
-    known = ids < len(vocabulary)
-    known[known] = vocabulary[ids[known]] == tests.hashes[known]
-    ids = np.where(known, ids + 1, -1)
-    padded = np.concatenate([ids, np.full(window, -1)])
+    known = tests.numbers(block, words, first, hashes) + 1
+    padded = np.concatenate([known, np.zeros(window, np.int64)])
     queries = padded[tests.starts[:, None] + np.arange(window)]
     inside = np.arange(window)[None, :] < tests.lengths[:, None]
     possible = np.flatnonzero(((queries > 0) | ~inside).all(axis=1))
-    if not len(possible):
-        return
     low, high = search(text, order, queries[possible], tests.lengths[possible])
+    possible, low, high = (x[low < high] for x in (possible, low, high))
     back = np.full(len(text), -1, np.int64)
     back[at] = np.arange(len(at))
-    for q, a, b in zip(possible[low < high], low[low < high], high[low < high], strict=True):
-        start = tests.starts[q]
-        for place in order[a:b]:
-            common, most = int(tests.lengths[q]), int(tests.left[start])
-            while common < most and text[place + common] == ids[start + common]:
-                common += 1
-            first = back[place]
-            length = int(tests.lengths[q])
-            same = all(  # equal hashes are not proof
-                block.data[words.starts[first + k] : words.ends[first + k]].tobytes()
-                == tests.word(start + k)
-                for k in range(length)
-            )
-            if same:
-                yield int(first), int(start), length, common
+    # Places in ``text`` do not follow each other from row to row.
+    n = high - low
+    items = tests.words.rows[tests.starts[possible]]
+    cuts = np.flatnonzero(np.diff(items, prepend=-1))
+    sizes = np.add.reduceat(n, cuts) if len(cuts) else cuts
+    begin = 0
+    while begin < len(cuts):
+        end = begin + 1
+        while end < len(cuts) and sizes[begin : end + 1].sum() <= LOT:
+            end += 1
+        own = slice(cuts[begin], cuts[end] if end < len(cuts) else len(n))
+        if sizes[begin] > LOT:
+            ranges = zip(possible[own], low[own], high[own], strict=True)
+            for found, q, common in _one_by_one(list(ranges), order, tests):
+                yield back[found], q, common
+        else:
+            which = np.repeat(np.arange(own.start, own.stop), n[own])
+            inside = np.arange(len(which)) - np.repeat(np.cumsum(n[own]) - n[own], n[own])
+            found, q = order[low[which] + inside], possible[which]
+            yield back[found], q, _stretches(found, q, tests)
+        begin = end
+
+
+def _one_by_one(ranges: list, order: np.ndarray, tests: _Tests) -> Iterator[Match]:
+    """Matches of an item whose windows occur very often, window by window from the last."""
+    after, more, next_start = np.zeros(0, np.int64), np.zeros(0, np.int64), -1
+    for q, low, high in reversed(ranges):
+        found = np.sort(order[low:high])
+        common = np.full(len(found), tests.lengths[q])
+        if len(after) and tests.starts[q] + 1 == next_start:
+            at = np.minimum(np.searchsorted(after, found + 1), len(after) - 1)
+            common = np.where(after[at] == found + 1, more[at] + 1, common)
+        after, more, next_start = found, common, tests.starts[q]
+        yield found, np.full(len(found), q), common
+
+
+def _stretches(first: np.ndarray, q: np.ndarray, tests: _Tests) -> np.ndarray:
+    """Words in common from each match on: windows that follow each other in both texts.
+
+    They lie on a diagonal. The last of a run ends where the texts differ, and each one
+    before it has one word more.
+    """
+    start = tests.starts[q]
+    order = np.lexsort((start, first - start))
+    first, start = first[order], start[order]
+    # Of two items that follow each other the second has windows of its own.
+    follows = (np.diff(start) == 1) & (np.diff(first) == 1)
+    follows &= np.diff(tests.words.rows[start]) == 0
+    ends = np.flatnonzero(np.append(~follows, len(order) > 0))
+    run = ends[np.searchsorted(ends, np.arange(len(order)))]
+    out = np.empty(len(order), np.int64)
+    out[order] = start[run] - start + tests.lengths[q][order][run]
+    return out
 
 
 def _scan(df: DataFrame, items: Test, window: int, text: str = "text") -> DataFrame:
@@ -178,15 +243,16 @@ def _scan(df: DataFrame, items: Test, window: int, text: str = "text") -> DataFr
             block = block.lower()
             words = find_words(block, ALPHANUMERIC)
             n = len(block.offsets) - 1
-            hit = np.zeros(len(words.starts) + 1, np.int64)
             found: list[set[str]] = [set() for _ in range(n)]
             longest = np.zeros(n, np.int64)
-            for first, start, length, common in _matches(block, words, tests, window):
-                hit[first] += 1
-                hit[first + length] -= 1
-                row = words.rows[first]
-                found[row].add(items[tests.words.rows[start]][0])
-                longest[row] = max(longest[row], common)
+            hit = np.zeros(len(words.starts) + 1, np.int64)
+            for first, q, common in _matches(block, words, tests, window):
+                hit += np.bincount(first, minlength=len(hit))
+                hit -= np.bincount(first + tests.lengths[q], minlength=len(hit))
+                row, item = words.rows[first], tests.words.rows[tests.starts[q]]
+                np.maximum.at(longest, row, common)
+                for r, t in np.unique(np.stack([row, item]), axis=1).T.tolist():
+                    found[r].add(items[t][0])
             covered = np.cumsum(hit)[:-1] > 0
             spans = [[] for _ in range(n)]
             edge = np.flatnonzero(np.diff(np.concatenate([[0], covered, [0]])))
@@ -219,7 +285,13 @@ FOUND = (
 
 
 def _test_blocks(tests: DataFrame, limit: int) -> list[Test]:
-    """Test items in blocks of at most ``limit`` bytes, or of one longer item."""
+    """Test items in blocks of at most ``limit`` bytes, or of one longer item.
+
+    They go along with the tasks, so more than ``MOST_TEST_BYTES`` in all stop the job.
+    """
+    size = tests.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    if size > MOST_TEST_BYTES:
+        raise ValueError(f"{size} bytes of tests, {MOST_TEST_BYTES} at most: search them in parts")
     packed: list[Test] = [[]]
     size = 0
     for row in tests.toLocalIterator():
@@ -241,6 +313,7 @@ def find_contamination(
     lower-cased alphanumerics; a test passage is ``window`` words in a row of an item, or
     a whole shorter item. ``longest_match`` is the longest verbatim match in words.
 
+    Tests of more than ``MOST_TEST_BYTES`` stop the job with a message.
     The documents are read once for every ``test_bytes`` of test text, without a shuffle
     if that is once. NULL texts have no words, a NULL ``item_id`` counts as an item named
     by empty text, repeated rows are searched one by one, other columns are ignored. With

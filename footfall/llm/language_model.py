@@ -19,6 +19,7 @@ changed, and the changes are averaged.
 from __future__ import annotations
 
 import math
+import operator
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.tables import kept, narrowed
-from footfall.llm.words import SPACED, block_of, blocks, find_words, mix, word_hashes
+from footfall.llm.words import SPACED, block_of, blocks, find_words, mix, numbered, word_hashes
 
 END = " "  # no word holds a space
 SHARD_BYTES = 8 << 20
@@ -69,9 +70,7 @@ class _Shard:
         block = block.lower()
         found = find_words(block, SPACED)
         counts = np.diff(found.offsets)
-        hashes, first, ids = np.unique(
-            word_hashes(block, found), return_index=True, return_inverse=True
-        )
+        ids, first, hashes = numbered(block.data, found.starts, found.ends)
         starts, ends = found.starts[first], found.ends[first]
         raw = block.data.tobytes()
         self.words += [END.encode()]
@@ -93,9 +92,15 @@ class _Shard:
         self.bytes += len(block.data)
 
     def row(self, shard: int) -> pa.RecordBatch:
-        hashes, first, number = np.unique(
-            np.concatenate(self.hashes), return_index=True, return_inverse=True
-        )
+        hashes = np.concatenate(self.hashes)
+        _, first, number = np.unique(hashes, return_index=True, return_inverse=True)
+        named = map(self.words.__getitem__, first[number].tolist())
+        if not all(map(operator.eq, self.words, named)):
+            # Words that share a hash are told apart by their bytes.
+            numbers: dict[bytes, int] = {}
+            number = np.array([numbers.setdefault(w, len(numbers)) for w in self.words])
+            first = np.unique(number, return_index=True)[1]
+        hashes = hashes[first]
         ids = number.astype(np.int32)[np.concatenate(self.ids)]
         offsets = np.concatenate([[0], np.cumsum(np.concatenate(self.sizes))])
         learned = np.repeat(np.array(self.learn, bool), np.diff(offsets))

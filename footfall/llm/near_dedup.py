@@ -30,9 +30,10 @@ from footfall.llm.words import (
     blocks,
     find_words,
     mix,
+    numbered,
     replace_columns,
+    sequences,
     shingle_hashes,
-    word_hashes,
 )
 
 BANDS = 30
@@ -45,28 +46,36 @@ PIVOTS = 64  # of a large family that take part in each of its blocks
 _UNSET = np.uint64(2**64 - 1)
 
 
-def shingles(block: Block, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of each row's shingles, repeats and all, and the row of each.
+def shingles(block: Block, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each row's distinct shingles: their numbers in the block, hashes, and rows.
 
-    A row of fewer words than ``size`` has one shingle, its whole sequence; without words
-    it has none.
+    Numbers are equal for equal shingles only. A row of fewer words than ``size`` has one
+    shingle, its whole sequence; without words it has none.
     """
     block = block.lower()
     words = find_words(block, SPACED)
-    hashes = word_hashes(block, words)
+    ids, _, hashes = numbered(block.data, words.starts, words.ends)
     counts = np.diff(words.offsets)
-    own = shingle_hashes(hashes, size)
-    rows = words.rows
-    whole = np.arange(len(rows)) + size <= words.offsets[1:][rows]
+    own = sequences(ids, size)
+    rows = words.rows[: len(own)]
+    at = np.flatnonzero(np.arange(len(own)) + size <= words.offsets[1:][rows])
+    many = int(own.max(initial=-1)) + 1
+    pairs, first = np.unique(rows[at] * many + own[at], return_index=True)
+    at = at[first]
+    hashed = shingle_hashes(hashes[ids], size)[at]
+    number, owner = own[at], rows[at]
     short = np.flatnonzero((counts > 0) & (counts < size))
-    brief = np.zeros(len(short), np.uint64)
-    for i, row in enumerate(short):
-        few = hashes[words.offsets[row] : words.offsets[row + 1]]
-        brief[i] = shingle_hashes(few, len(few))[0] + np.uint64(len(few))
-    found = np.concatenate([own[whole], mix(brief)])
-    owner = np.concatenate([rows[whole], short])
+    brief: dict[bytes, int] = {}
+    few_hashes, few_numbers = [], []
+    for row in short:
+        few = ids[words.offsets[row] : words.offsets[row + 1]]
+        few_numbers.append(brief.setdefault(few.tobytes(), many + len(brief)))
+        few_hashes.append(shingle_hashes(hashes[few], len(few))[0] + np.uint64(len(few)))
+    number = np.concatenate([number, np.array(few_numbers, np.int64)])
+    hashed = np.concatenate([hashed, mix(np.array(few_hashes, np.uint64))])
+    owner = np.concatenate([owner, short])
     order = np.argsort(owner, kind="stable")
-    return found[order], owner[order]
+    return number[order], hashed[order], owner[order]
 
 
 def sketch(found: np.ndarray, rows: np.ndarray, n_rows: int, bins: int = BINS) -> np.ndarray:
@@ -106,10 +115,8 @@ def _sketched(df: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
             n = len(block.offsets) - 1
-            found, rows = shingles(block, size)
-            keyed = mix(found + rows.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-            _, first = np.unique(keyed, return_index=True)
-            sizes = np.bincount(rows[first], minlength=n).astype(np.int64)
+            _, found, rows = shingles(block, size)
+            sizes = np.bincount(rows, minlength=n).astype(np.int64)
             made = sketch(found, rows, n)
             bands = _bands(made)
             ends = np.concatenate([[0], np.cumsum(np.where(sizes > 0, BANDS, 0))])
@@ -181,10 +188,6 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _shingles_of(text: bytes, size: int) -> np.ndarray:
-    return np.unique(shingles(block_of([text]), size)[0])
-
-
 def _links(texts: pa.Table, size: int, percent: int) -> pa.Table:
     """The parts of a few texts that links join: each with the least that it is joined to.
 
@@ -192,19 +195,14 @@ def _links(texts: pa.Table, size: int, percent: int) -> pa.Table:
     """
     unpack = zstandard.ZstdDecompressor()
     packed, parts = texts.column("packed").to_pylist(), texts.column("part").to_pylist()
-    each = [_shingles_of(unpack.decompress(x), size) for x in packed]
-    found = np.concatenate([np.zeros(0, np.uint64), *each])
-    rows = np.repeat(np.arange(len(each)), [len(x) for x in each])
-    vocabulary, ids = np.unique(found, return_inverse=True)
-    pairs = np.unique(rows.astype(np.int64) * len(vocabulary) + ids)
-    rows, ids = np.divmod(pairs, max(1, len(vocabulary)))
+    ids, _, rows = shingles(block_of([unpack.decompress(x) for x in packed]), size)
     offsets = np.searchsorted(rows, np.arange(len(parts) + 1))
     sizes = np.diff(offsets)
     # Parts by number, in their order: a root is the least of its tree.
     names = sorted(set(parts))
     number = {part: i for i, part in enumerate(names)}
     root = np.array([number[part] for part in parts], np.int64)  # of each text
-    marked = np.zeros(len(vocabulary) + 1, np.int64)
+    marked = np.zeros(int(ids.max(initial=0)) + 1, np.int64)
     for i in range(len(parts) - 1):
         rest = slice(i + 1, None)
         small, large = np.minimum(sizes[rest], sizes[i]), np.maximum(sizes[rest], sizes[i])

@@ -24,12 +24,10 @@ from footfall.llm.words import (
     Block,
     blocks,
     find_words,
-    mix,
+    numbered,
     per_row,
-    prefix_hashes,
     replace_columns,
-    shingle_hashes,
-    slice_hashes,
+    sequences,
 )
 
 SYMBOLS = b"#*$%&|<>"
@@ -104,17 +102,11 @@ def _judge(text: bytes, bands: Bands, compressor: zstandard.ZstdCompressor):
     return ratio, chunks, bad, fits and bad <= bands.bad_chunks * chunks
 
 
-def _in_row(hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Hashes that are equal only within a row."""
-    return mix(hashes + rows.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-
-
 def counts(block: Block) -> dict[str, np.ndarray]:
     """Counts of each text of a block, over whole texts."""
     data, offsets = block.data, block.offsets
     n = len(offsets) - 1
     words = find_words(block, SPACED)
-    prefix = prefix_hashes(data)
     inside = SPACED[data]
     symbols = np.zeros(256, bool)
     symbols[list(SYMBOLS)] = True
@@ -126,17 +118,17 @@ def counts(block: Block) -> dict[str, np.ndarray]:
     break_rows = np.searchsorted(offsets, breaks, "right") - 1
     line_rows = np.sort(np.concatenate([np.arange(n), break_rows]))
     worded = np.searchsorted(words.starts, line_ends) > np.searchsorted(words.starts, line_starts)
-    lines = slice_hashes(prefix, line_starts[worded], line_ends[worded])
+    lines, _, _ = numbered(data, line_starts[worded], line_ends[worded])
     rows = line_rows[worded]
-    _, first = np.unique(_in_row(lines, rows), return_index=True)
+    _, first = np.unique(rows * (len(lines) + 1) + lines, return_index=True)
     n_lines, distinct = np.bincount(rows, minlength=n), np.bincount(rows[first], minlength=n)
 
-    hashes = slice_hashes(prefix, words.starts, words.ends)
-    repeated = np.zeros(len(hashes), bool)
-    if len(hashes) >= 3:
-        windows = shingle_hashes(hashes, 3)[:-2]
+    ids, _, _ = numbered(data, words.starts, words.ends)
+    repeated = np.zeros(len(ids), bool)
+    if len(ids) >= 3:
+        windows = sequences(ids, 3)
         whole = words.rows[:-2] == words.rows[2:]
-        windows = _in_row(windows, words.rows[:-2])[whole]
+        windows = (words.rows[:-2] * len(ids) + windows)[whole]
         _, inverse, found = np.unique(windows, return_inverse=True, return_counts=True)
         at = np.flatnonzero(whole)[found[inverse] >= 2]
         for k in range(3):

@@ -9,11 +9,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+LONG = 512  # bytes of a range from which on it is hashed and compared alone
 BLOCK_BYTES = (1 << 19) - 64  # texts handled at once; a longer document is a block of its own
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
@@ -154,8 +156,99 @@ def slice_hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     return mix((prefix[ends] - prefix[starts]) * unshift + (ends - starts).astype(np.uint64))
 
 
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number; behind the end stand zeros."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray(len(data) + 1, np.uint64, padded, 0, (1,))
+
+
+def _part(eights: np.ndarray, starts: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Up to eight bytes from ``starts``, of ranges that have ``left`` bytes from there."""
+    shift = (np.uint64(8) * np.clip(8 - left, 0, 8).astype(np.uint64)).astype(np.uint64)
+    found = eights[starts]
+    # A shift by all 64 bits is none, so an empty range is cleared by itself.
+    return np.where(left > 0, found << shift, np.uint64(0))
+
+
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of byte ranges, eight bytes at a time and mixed after each."""
+    length = ends - starts
+    out = mix(length.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    eights = _eights(data)
+    short = length <= LONG
+    own = np.flatnonzero(short & (length > 0))
+    at = 0
+    while len(own):
+        part = _part(eights, starts[own] + at, length[own] - at)
+        out[own] = mix((out[own] + part) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(at + 1))
+        at += 8
+        own = own[length[own] > at]
+    for i in np.flatnonzero(~short):
+        digest = blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        out[i] = np.frombuffer(digest, np.uint64)[0]
+    return out
+
+
+def equal_ranges(
+    data: np.ndarray, starts, ends, others: np.ndarray, other_starts, other_ends
+) -> np.ndarray:
+    """Whether ranges of ``data`` hold the same bytes as ranges of ``others``, one by one."""
+    length = ends - starts
+    same = length == other_ends - other_starts
+    ours = _eights(data)
+    theirs = ours if others is data else _eights(others)
+    own = np.flatnonzero(same & (length > 0) & (length <= LONG))
+    at = 0
+    while len(own):
+        left = length[own] - at
+        a, b = starts[own] + at, other_starts[own] + at
+        differ = _part(ours, a, left) != _part(theirs, b, left)
+        same[own[differ]] = False
+        at += 8
+        own = own[~differ & (length[own] > at)]
+    for i in np.flatnonzero(same & (length > LONG)):
+        theirs_ = others[other_starts[i] : other_ends[i]]
+        same[i] = bool((data[starts[i] : ends[i]] == theirs_).all())
+    return same
+
+
+def numbered(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of byte ranges, the same for the same bytes and for no others.
+
+    Also the place of a range of each number, and its hash. Hashes only propose what is
+    equal; bytes are compared, and ranges that share a hash alone get numbers of their own.
+    """
+    hashes = byte_hashes(data, starts, ends)
+    distinct, first, ids = np.unique(hashes, return_index=True, return_inverse=True)
+    named = first[ids]
+    same = equal_ranges(data, starts, ends, data, starts[named], ends[named])
+    if not same.all():
+        more: dict[bytes, int] = {}
+        extra = []
+        for i in np.flatnonzero(~same):
+            key = data[starts[i] : ends[i]].tobytes()
+            if key not in more:
+                more[key] = len(first) + len(extra)
+                extra.append(i)
+            ids[i] = more[key]
+        first = np.concatenate([first, np.array(extra, first.dtype)])
+    return ids, first, hashes[first]
+
+
+def sequences(ids: np.ndarray, size: int) -> np.ndarray:
+    """Numbers of each ``size`` ids in a row, the same for the same ids and for no others."""
+    many = int(ids.max(initial=0)) + 1
+    out = ids[: max(0, len(ids) - size + 1)].astype(np.int64)
+    for k in range(1, size):
+        out = out * many + ids[k : k + len(out)]
+        out = np.unique(out, return_inverse=True)[1]
+    return out
+
+
 def word_hashes(block: Block, words: Words) -> np.ndarray:
-    return slice_hashes(prefix_hashes(block.data), words.starts, words.ends)
+    return byte_hashes(block.data, words.starts, words.ends)
 
 
 def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
