@@ -29,6 +29,7 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 TURN, SAYS, END = CONTROLS = ("<turn>", "<says>", "</turn>")
 CHUNK_TOKENS = 1 << 16
 PIECE_CHARS = 1 << 16  # of a very long text that are encoded at once
+_BEFORE_BLANK = re.compile(r"(?<=\S)(?=[ \n])")
 _CONTROL = "|".join(map(re.escape, CONTROLS))
 _PLAIN = re.compile(rf"(\\*)({_CONTROL})")
 _ESCAPED = re.compile(rf"(\\+)({_CONTROL})")
@@ -60,10 +61,18 @@ def _encoding(ranks: bytes) -> tuple[tiktoken.Encoding, int]:
 
 
 def _encode(encoding: tiktoken.Encoding, text: str) -> list[int]:
+    """The tokens of a text. A long one is cut where the pattern cuts anyhow: before a blank
+    or a line break that follows other characters. So its tokens are those of the whole.
+    """
     ids: list[int] = []
-    for start in range(0, len(text), PIECE_CHARS):
-        ids += encoding.encode_ordinary(text[start : start + PIECE_CHARS])
-    return ids
+    start = 0
+    while len(text) - start > PIECE_CHARS:
+        found = _BEFORE_BLANK.search(text, start + PIECE_CHARS)
+        if found is None:
+            break
+        ids += encoding.encode_ordinary(text[start : found.start()])
+        start = found.start()
+    return ids + encoding.encode_ordinary(text[start:])
 
 
 def assemble(encoding, reserved: int, turns: Iterable[tuple[str, str]], learn: str):

@@ -360,7 +360,11 @@ def _merged(docs: DataFrame, packed: list[Test], window: int) -> DataFrame:
 
 
 def decontaminate(df: DataFrame, tests: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of ``df``, with all columns, that hold no test passage."""
+    """The rows of ``df``, with all columns, that hold no test passage.
+
+    NULL and empty texts stay. Repeated rows are searched one by one, columns may have any
+    names, and no rows give none.
+    """
     packed = _test_blocks(narrowed(tests, item_id="string", text="string"), TEST_BYTES)
     need(df, "text")
     rows = df.select(F.struct("*").alias("_row"))

@@ -1,7 +1,9 @@
-"""License scans: fingerprints and names pick templates, banded alignment says what matches.
+"""License scans: winnowed fingerprints pick templates, banded alignment says what matches.
 
-A template with names (see ``licenses``) is sought where a text has one of them word for
-word, any other one by winnowed fingerprints. What several templates match goes to the best.
+Fingerprints of all templates stand in an inverted index, and those of a text tell which
+templates to align, and along which diagonals. A template with names (see ``licenses``) is
+found only where the text has all of them word for word, and is aligned around them. What
+several templates match goes to the best.
 """
 
 from __future__ import annotations
@@ -142,8 +144,6 @@ class _Index:
             self.marks.append(marks)
         prints, template, place = [], [], []
         for t, own in enumerate(self.words):
-            if self.marks[t]:
-                continue
             grams, offsets = _grams(own, np.array([0, len(own)]))
             # A template keeps all its grams: what a text's winnowing picks is then found.
             prints.append(grams)
@@ -155,12 +155,6 @@ class _Index:
         self.prints = prints[order]
         self.template = np.concatenate([np.zeros(0, int), *template])[order]
         self.place = np.concatenate([np.zeros(0, int), *place])[order]
-        self.by_pair: dict[int, list[int]] = {}
-        for t, marks in enumerate(self.marks):
-            if marks:
-                pair = int(shingle_hashes(marks[0][1], 2)[0])
-                self.by_pair.setdefault(pair, []).append(t)
-        self.pairs = np.array(sorted(self.by_pair), np.uint64)
 
 
 def _occurrences(text: np.ndarray, phrase: np.ndarray) -> np.ndarray:
@@ -202,17 +196,17 @@ def scan_licenses(
 ) -> DataFrame:
     """``doc_id`` and ``licenses``: template, matched words, coverage and span of each find.
 
-    A template with ``names``, phrases of two words at least in its order, is aligned before,
-    between and after them wherever a text has all of them word for word; a number that ends
-    a name may not go on (version 2 is not 2.1). A text's fingerprints are looked up in the
-    inverted index of the other templates. Those that share one are aligned along each
-    diagonal band with a shared fingerprint. A band reaches ``band`` words, or as many as a find
+    A text's fingerprints are looked up in the inverted index of the templates. Those that
+    share one are aligned along each diagonal band with a shared fingerprint; one with
+    ``names``, phrases in its order, before, between and after these, where the text has all
+    of them word for word and the first of them in such a band. A number that ends a name may
+    not go on (version 2 is not 2.1). A band reaches ``band`` words, or as many as a find
     may lack, to either side. A find is an alignment that matches at least
     ``least`` of a template's words, which are ``LEAST_DENSITY`` of its span. Spans are words
     of the text, ``first`` to before ``end``. Overlapping finds of a template, and finds of
     several templates that have most words in common, keep the one with most matched less
     unmatched words of template and span, then the first. Templates of fewer than three words
-    without a name are not searched for; together they may have ``TEMPLATE_BYTES``.
+    are not searched for; together they may have ``TEMPLATE_BYTES``.
 
     Works row by row without a shuffle. NULL and empty texts and texts without finds have
     an empty list; a NULL ``doc_id`` stays NULL, repeated rows are scanned one by one, other
@@ -243,14 +237,6 @@ def scan_licenses(
                     diagonal = at - int(index.place[entry])
                     found = seeds.setdefault(row, {})
                     found.setdefault(int(index.template[entry]), set()).add(diagonal)
-            pairs = shingle_hashes(hashes, 2)
-            at = np.searchsorted(index.pairs, pairs)
-            known = at < len(index.pairs)
-            known[known] = index.pairs[at[known]] == pairs[known]
-            for word in np.flatnonzero(known):
-                found = seeds.setdefault(int(words.rows[word]), {})
-                for t in index.by_pair[int(pairs[word])]:
-                    found.setdefault(t, set())
             goes_on = _goes_on(block, words) if seeds else None
             out = [[] for _ in range(len(block.offsets) - 1)]
             for row, by_template in seeds.items():
@@ -304,12 +290,23 @@ class _Find:
         return 2 * common > min(len(self.met), len(other.met))
 
 
-def _named(text, goes_on, template, marks, least: float, band: int) -> Iterator[list[int]]:
-    """Text words that meet a template, around every place where its names stand."""
+def _named(
+    text, goes_on, template, marks, diagonals: list[int], least: float, band: int
+) -> Iterator[list[int]]:
+    """Text words that meet a template, around every place where its names stand.
+
+    The first name must lie within the band around one of the ``diagonals``, in order.
+    """
     places = []
     for _, phrase in marks:
         found = _occurrences(text, phrase)
         places.append([int(p) for p in found if not goes_on[p + len(phrase)]])
+
+    def seeded(place: int) -> bool:
+        at = bisect_left(diagonals, place - marks[0][0] - band)
+        return at < len(diagonals) and diagonals[at] <= place - marks[0][0] + band
+
+    places[0] = [place for place in places[0] if seeded(place)]
     head, tail = template[: marks[0][0]], template[marks[-1][0] + len(marks[-1][1]) :]
 
     def chains(k: int, after: int) -> Iterator[list[int]]:
@@ -354,7 +351,8 @@ def _finds(text, goes_on, by_template, index: _Index, least: float, band: int) -
         # As many words as may be missing can shift the others.
         wide = max(band, math.ceil((1 - least) * len(template)))
         if index.marks[t]:
-            found = list(_named(text, goes_on, template, index.marks[t], least, wide))
+            diagonals = sorted(by_template[t])
+            found = list(_named(text, goes_on, template, index.marks[t], diagonals, least, wide))
         else:
             tried, found = None, []
             for diagonal in sorted(by_template[t]):

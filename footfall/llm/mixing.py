@@ -56,9 +56,10 @@ def water_fill(sources: DataFrame, share: float, max_epochs: float) -> DataFrame
 def mix(
     df: DataFrame, weights: DataFrame, share: float = 1.5, max_epochs: float = 2.0, seed: int = 7
 ) -> DataFrame:
-    """All columns of ``df`` with ``size``, ``source_size``, ``target`` and ``repeats``.
+    """All columns of ``df``, with ``source_size``, ``target`` and ``repeats``.
 
-    ``df`` has ``doc_id`` and ``source``, and its sizes in ``size``; ``weights`` has
+    Columns of ``df`` that have one of these three names are replaced; all others stay,
+    whatever their names. ``df`` has ``doc_id`` and ``source``, and its sizes in ``size``; ``weights`` has
     ``source`` (NULL is a source too) and ``weight``, each source once. A source's
     target is reached by repeating all its documents a whole number of times, and
     once more those that come first in a seeded order until half a document at most is
@@ -70,6 +71,16 @@ def mix(
     order first, so that no task ever orders a whole source.
     """
     need(df, "doc_id", "source", "size")
+    rows = df.select(F.struct("*").alias("row"), "doc_id", "source", "size")
+    mixed = _mixed(rows, weights, share, max_epochs, seed)
+    new = ["source_size", "target", "repeats"]
+    old = [c for c in df.columns if c not in new]
+    return mixed.select(*[F.col(f"row.`{c}`") for c in old], *new)
+
+
+def _mixed(
+    df: DataFrame, weights: DataFrame, share: float, max_epochs: float, seed: int
+) -> DataFrame:
     sizes = df.groupBy("source").agg(F.sum("size").alias("source_size"))
     # Only sums per source are small and used in each round: computed once.
     sources = kept(
@@ -112,7 +123,8 @@ def mix(
 def cycled_weights(df: DataFrame, cycle: tuple[int, ...] = (5, 2, 1)) -> DataFrame:
     """A weight for each source: the cycle's values in turn, by code point, NULL last.
 
-    The window orders one row per source.
+    The window orders one row per source; empty text is a source of its own, and no rows
+    give no weights.
     """
     by_name = Window.orderBy(F.col("source").isNull(), F.col("source").cast("binary"))
     values = F.array(*[F.lit(w) for w in cycle])
@@ -121,6 +133,27 @@ def cycled_weights(df: DataFrame, cycle: tuple[int, ...] = (5, 2, 1)) -> DataFra
 
 
 def repeated(mixed: DataFrame) -> DataFrame:
-    """Each row as often as the mix takes it."""
+    """Each row as often as ``repeats`` says, with all columns, whatever their names.
+
+    NULL and 0 are never; a row without text can be repeated like any other. No rows give
+    none.
+    """
     times = F.explode(F.array_repeat(F.lit(0), F.col("repeats").cast("int")))
-    return mixed.select("*", times.alias("_time")).drop("_time")
+    return mixed.select(F.struct("*").alias("row"), times.alias("time")).select("row.*")
+
+
+def take(
+    df: DataFrame, share: float = 1.5, max_epochs: float = 2.0, seed: int = 7
+) -> DataFrame:
+    """The rows of ``df`` as often as the mix of its sources takes them.
+
+    Sizes are the words of ``text`` and weights those of ``cycled_weights``. All columns
+    stay, whatever their names. NULL and empty texts have size 0 and come as often as their
+    source is repeated as a whole; NULL is a source too; no rows give none.
+    """
+    need(df, "doc_id", "text", "source")
+    rows = df.select(
+        F.struct("*").alias("row"), "doc_id", "source", word_count(F.col("text")).alias("size")
+    )
+    mixed = _mixed(rows, cycled_weights(df), share, max_epochs, seed)
+    return repeated(mixed.select("row", "repeats")).select("row.*")

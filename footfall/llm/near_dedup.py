@@ -246,8 +246,20 @@ def _verified(df: DataFrame, family: DataFrame, size: int, percent: int) -> Data
         F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(F.col("bytes") / BLOCK_TEXT_BYTES)
     )
     rare = F.ceil(F.col("n") / PIVOTS)
-    sums = sums.select("label", n_blocks.cast("int").alias("n_blocks"), rare.alias("rare"))
-    rows = packed.join(sums, "label").withColumn("part", F.col("key"))
+    # Only large families need their sizes, which are few: texts go straight to their blocks,
+    # and not by way of one task for their family.
+    large = kept(
+        sums.select("label", n_blocks.cast("int").alias("n_blocks"), rare.alias("rare")).where(
+            "n_blocks > 1"
+        )
+    )
+    rows = packed.join(large, "label", "left").withColumns(
+        {
+            "n_blocks": F.coalesce("n_blocks", F.lit(1)),
+            "rare": F.coalesce("rare", F.lit(1)),
+            "part": F.col("key"),
+        }
+    )
     own = F.pmod(F.xxhash64(F.lit(1), "key"), F.col("n_blocks")).cast("int")
     pivot = (F.col("n_blocks") > 1) & (F.pmod(F.xxhash64(F.lit(2), "key"), F.col("rare")) == 0)
     every = F.when(pivot, F.sequence(F.lit(0), F.col("n_blocks") - 1)).otherwise(F.array(own))
@@ -363,10 +375,15 @@ def near_duplicates(df: DataFrame, size: int = 5, percent: int = 80) -> DataFram
 
 
 def keep_one(df: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``df``, with all columns, that ``near_duplicates`` keeps."""
+    """The rows of ``df``, with all columns, that ``near_duplicates`` keeps.
+
+    NULL and empty texts stay, and so do all rows that repeat the one that is kept under
+    its id. Columns may have any names; no rows give none.
+    """
     need(df, "doc_id", "text")
     gone = _decided(df, size, percent).where(~F.col("kept"))
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("key").alias("_gone")).distinct()
-    rows = df.withColumn("_key", _key(F.col("text")))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_gone"))
-    return rows.join(gone, same, "left_anti").drop("_key")
+    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("key").alias("gone_key")).distinct()
+    # Packed, so that no name of the caller's meets one of these.
+    rows = df.select(F.struct("*").alias("row")).withColumn("key", _key(F.col("row.text")))
+    same = F.col("row.doc_id").eqNullSafe(F.col("gone_id")) & (F.col("key") == F.col("gone_key"))
+    return rows.join(gone, same, "left_anti").select("row.*")

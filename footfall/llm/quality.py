@@ -187,7 +187,11 @@ def quality_rules(df: DataFrame, bands: Bands = Bands()) -> DataFrame:
 
 
 def keep_sound(df: DataFrame, bands: Bands = Bands()) -> DataFrame:
-    """The rows of ``df``, with all columns, that the rules keep."""
+    """The rows of ``df``, with all columns, that the rules keep.
+
+    NULL and empty texts go. Repeated rows are judged one by one, columns may have any
+    names, and no rows give none.
+    """
     need(df, "text")
     rows = df.select(F.struct("*").alias("_row"))
     return _judged(rows, bands, "_row.text").where("kept").select("_row.*")

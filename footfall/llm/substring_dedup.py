@@ -482,19 +482,21 @@ def without_repeats(df: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     need(df, "text")
     judged = _judged(df, length).select(
-        F.col("key").alias("_judged"),
-        F.expr("try_validate_utf8(cast(remaining AS string))").alias("_valid"),
+        F.col("key").alias("judged"),
+        F.expr("try_validate_utf8(cast(remaining AS string))").alias("valid"),
         "remaining",
     )
-    broken = judged.where("_valid IS NULL").mapInArrow(
-        _mended, "_judged binary, remaining binary, _valid string"
+    broken = judged.where("valid IS NULL").mapInArrow(
+        _mended, "judged binary, remaining binary, valid string"
     )
-    judged = judged.where("_valid IS NOT NULL").unionByName(broken)
-    rows = df.withColumn("_key", _key(F.coalesce("text", F.lit(""))))
-    joined = rows.join(judged.drop("remaining"), F.col("_key") == F.col("_judged"), "left")
-    left = F.coalesce("_valid", "text")
-    gone = F.col("_judged").isNotNull() & (F.col("_valid") == "")
-    return joined.where(~gone).withColumn("text", left).select(*df.columns)
+    judged = judged.where("valid IS NOT NULL").unionByName(broken).drop("remaining")
+    # Packed, so that no name of the caller's meets one of these.
+    rows = df.select(F.struct("*").alias("row"))
+    rows = rows.withColumn("key", _key(F.coalesce("row.text", F.lit(""))))
+    joined = rows.join(judged, F.col("key") == F.col("judged"), "left")
+    left = joined.where(F.col("judged").isNull() | (F.col("valid") != ""))
+    text = F.coalesce("valid", "row.text")
+    return left.select(F.col("row").withField("text", text).alias("row")).select("row.*")
 
 
 def _mended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -502,5 +504,5 @@ def _mended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [x.decode(errors="ignore") for x in batch.column("remaining").to_pylist()]
         yield replace_columns(
-            batch, ["_judged", "remaining"], _valid=pa.array(texts, pa.string())
+            batch, ["judged", "remaining"], valid=pa.array(texts, pa.string())
         )
