@@ -1,7 +1,9 @@
 """A corpus made ready for training: the stages, and their run over ``documents``.
 
-Each stage takes what the one before kept, written down in the shared folder. All but the
-last return the columns of ``documents``.
+Each stage takes what the one before kept, written down in the shared folder. All
+return the columns they are given, whatever their names. NULL and empty texts fail the first;
+the others let them pass. Rows that repeat each other share their fate, and an empty table
+gives an empty one.
 """
 
 from __future__ import annotations
@@ -43,9 +45,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    sized = docs.withColumn("size", mixing.word_count(F.col("text")))
-    mixed = mixing.mix(sized, mixing.cycled_weights(docs))
-    return mixing.repeated(mixed).drop("size", "source_size", "target", "repeats")
+    return mixing.take(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
