@@ -30,11 +30,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.tables import kept, narrowed
+from footfall.llm.tables import batches_of, kept, narrowed
 from footfall.llm.words import SPACED, block_of, blocks, find_words, mix, numbered, word_hashes
 
 END = " "  # no word holds a space
 SHARD_BYTES = 8 << 20
+BATCH_BYTES = "16m"  # of shards that a task has on its way to or from Python
 LISTED, MEMBERS, ENDINGS = 16, 32, 16  # classes of frequent tokens, their size, other classes
 CLASSES = LISTED + ENDINGS
 ROWS = 4096  # hashed rows of weights per feature of the class
@@ -155,7 +156,7 @@ def shards(df: DataFrame) -> DataFrame:
 
     rows = narrowed(df, doc_id="long", text="string", learn="boolean")
     rows = rows.withColumn("learn", F.coalesce("learn", F.lit(False)))
-    return kept(rows.mapInArrow(run, SHARD))
+    return kept(rows.mapInArrow(run, SHARD), "zstd")
 
 
 def _tokens(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, ...]:
@@ -680,8 +681,9 @@ def score_texts(df: DataFrame, rounds: int = ROUNDS, seed: int = 5) -> DataFrame
     a NULL ``doc_id`` stays NULL, repeated rows count and score one by one, other columns are
     ignored. Without training text all tokens are unknown; no rows give none.
     """
-    table = shards(df)
-    found = kept(totals(table))
-    model = untrained(table, found)
-    after = followers(table, model)
-    return score(table, found, after, train(table, model, rounds, seed))
+    with batches_of(df.sparkSession, BATCH_BYTES):
+        table = shards(df)
+        found = kept(totals(table), "zstd")
+        model = untrained(table, found)
+        after = followers(table, model)
+        return kept(score(table, found, after, train(table, model, rounds, seed)))
