@@ -2,7 +2,8 @@
 
 A text that zstandard shrinks too much repeats itself; one that it hardly shrinks is
 noise. How far a sound text shrinks depends on its length, so each length class has its
-own band. The same test on fixed chunks finds bad parts of a longer text.
+own band. The same test on fixed chunks finds bad parts of a longer text. A text that shrinks
+far more than its length class in the corpus at hand does goes as well.
 """
 
 from __future__ import annotations
@@ -14,11 +15,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from footfall.llm.tables import narrowed, need
+from footfall.llm.tables import kept, narrowed, need
 from footfall.llm.words import (
     SPACED,
     Block,
@@ -28,9 +29,11 @@ from footfall.llm.words import (
     per_row,
     replace_columns,
     sequences,
+    shingle_hashes,
 )
 
 SYMBOLS = b"#*$%&|<>"
+STEP = 1e-4  # of ratios, where they are counted
 WHOLE = (  # the docstring of Bands says what each is for
     (128, 0.50, 0.99),
     (160, 0.50, 0.94),
@@ -65,6 +68,13 @@ class Bands:
     middle 98 %. Below are texts whose second half repeats the first (from 192 bytes on).
     Above are base64 (from 128 bytes on), random lower-case letters (from 2048) and hex
     digits (from 4096); shorter ones shrink as prose does and cannot be told by a ratio.
+
+    How far prose shrinks differs from corpus to corpus, so a second lower limit is taken
+    from all texts of the table that pass the base rule: ``spreads`` standard deviations
+    below the median of the length class, told from the median deviation, where a class has
+    ``least_texts`` different texts. Texts that share the least hash of their three-word
+    windows, as copies and most near copies do, count once, so that a large group of copies
+    does not shift it.
     """
 
     whole: tuple[tuple[int, float, float], ...] = WHOLE
@@ -72,6 +82,8 @@ class Bands:
     chunk_band: tuple[float, float] | None = None
     bad_chunks: float = 0.5
     level: int = 3
+    spreads: float = 3.25
+    least_texts: int = 50
 
     def limits(self, size: int) -> tuple[float, float]:
         """Lowest and highest ratio of ``size`` bytes."""
@@ -123,11 +135,14 @@ def counts(block: Block) -> dict[str, np.ndarray]:
     _, first = np.unique(rows * (len(lines) + 1) + lines, return_index=True)
     n_lines, distinct = np.bincount(rows, minlength=n), np.bincount(rows[first], minlength=n)
 
-    ids, _, _ = numbered(data, words.starts, words.ends)
+    ids, _, hashes = numbered(data, words.starts, words.ends)
     repeated = np.zeros(len(ids), bool)
+    least = np.full(n, np.iinfo(np.int64).max)
     if len(ids) >= 3:
         windows = sequences(ids, 3)
         whole = words.rows[:-2] == words.rows[2:]
+        hashed = shingle_hashes(hashes[ids], 3)[:-2].view(np.int64)
+        np.minimum.at(least, words.rows[:-2][whole], hashed[whole])
         windows = (words.rows[:-2] * len(ids) + windows)[whole]
         _, inverse, found = np.unique(windows, return_inverse=True, return_counts=True)
         at = np.flatnonzero(whole)[found[inverse] >= 2]
@@ -139,6 +154,8 @@ def counts(block: Block) -> dict[str, np.ndarray]:
         "n_symbols": per_row(symbols[data], offsets),
         "n_dup_lines": (n_lines - distinct).astype(np.int64),
         "n_repeat_words": per_row(repeated, words.offsets),
+        "n_bytes": np.diff(offsets).astype(np.int64),
+        "least_window": least,
     }
 
 
@@ -159,8 +176,10 @@ def _judged(df: DataFrame, bands: Bands, text: str = "text") -> DataFrame:
             yield replace_columns(
                 block.rows,
                 [f.name for f in others],
-                **found,
+                **{name: found[name] for name in COUNTS},
                 base_failed=failed,
+                n_bytes=found["n_bytes"],
+                least_window=found["least_window"],
                 ratio=pa.array(ratio, pa.float64()),
                 n_chunks=pa.array(chunks, pa.int64()),
                 n_bad_chunks=pa.array(bad, pa.int64()),
@@ -170,28 +189,78 @@ def _judged(df: DataFrame, bands: Bands, text: str = "text") -> DataFrame:
     return df.mapInArrow(judge, StructType([*others, *StructType.fromDDL(VERDICT)]))
 
 
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 VERDICT = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "base_failed boolean, ratio double, n_chunks long, n_bad_chunks long, kept boolean"
+    "base_failed boolean, n_bytes long, least_window long, ratio double, n_chunks long, "
+    "n_bad_chunks long, kept boolean"
 )
 
 
+def _class(bands: Bands) -> Column:
+    """The number of the length class of ``n_bytes``, 0 for shorter texts."""
+    return sum(
+        ((F.col("n_bytes") >= least).cast("int") for least, _, _ in bands.whole), F.lit(0)
+    )
+
+
+def corpus_limits(judged: DataFrame, bands: Bands) -> list[float]:
+    """The lowest ratio of each length class that the corpus itself asks for, 0 without any.
+
+    ``judged`` has the figures of all texts. Ratios are counted in steps of ``STEP``, so that
+    some thousand counts per class come to the driver, and reruns agree.
+    """
+    sound = judged.where(~F.col("base_failed") & F.col("ratio").isNotNull())
+    at = F.floor(F.col("ratio") / STEP).cast("long")
+    once = sound.groupBy(_class(bands).alias("kind"), "least_window").agg(F.min(at).alias("at"))
+    told = once.groupBy("kind", "at").agg(F.count("*").alias("n")).collect()
+    limits = [0.0] * (len(bands.whole) + 1)
+    for kind in range(1, len(limits)):
+        counts = sorted((r["at"], r["n"]) for r in told if r["kind"] == kind)
+        total = sum(n for _, n in counts)
+        if total < bands.least_texts:
+            continue
+        middle = _median(counts)
+        deviation = _median(sorted((abs(x - middle), n) for x, n in counts))
+        limits[kind] = (middle - bands.spreads * max(1.4826 * deviation, 1)) * STEP
+    return limits
+
+
+def _median(counts: list[tuple[int, int]]) -> int:
+    """The lower median of sorted values, each with its number."""
+    half, before = (sum(n for _, n in counts) + 1) // 2, 0
+    for value, n in counts:
+        before += n
+        if before >= half:
+            return value
+    raise ValueError("no values")
+
+
+def _kept(bands: Bands, limits: list[float]) -> Column:
+    low = F.get(F.array(*map(F.lit, limits)), _class(bands))
+    return F.col("kept") & (F.col("ratio") >= low)
+
+
 def quality_rules(df: DataFrame, bands: Bands = Bands()) -> DataFrame:
     """``doc_id``, counts, compression figures, ``base_failed`` and ``kept`` of each row.
 
-    Works row by row, without a shuffle. NULL and empty texts have no words, so they
+    Texts are read once; their figures are written down, and the limits of the corpus are
+    taken from all of them. NULL and empty texts have no words, so they
     fail; ``ratio`` is NULL for them. A NULL ``doc_id`` stays NULL, repeated rows are
     judged one by one, other columns are ignored. An empty table gives no rows.
     """
-    return _judged(narrowed(df, doc_id="long", text="string"), bands)
+    judged = kept(_judged(narrowed(df, doc_id="long", text="string"), bands))
+    passed = F.coalesce(_kept(bands, corpus_limits(judged, bands)), F.lit(False))
+    return judged.withColumn("kept", passed).drop("least_window")
 
 
 def keep_sound(df: DataFrame, bands: Bands = Bands()) -> DataFrame:
     """The rows of ``df``, with all columns, that the rules keep.
 
-    NULL and empty texts go. Repeated rows are judged one by one, columns may have any
-    names, and no rows give none.
+    Texts are read twice, first for the limits of the corpus. NULL and empty texts go.
+    Repeated rows are judged one by one, columns may have any names, and no rows give none.
     """
     need(df, "text")
+    limits = corpus_limits(_judged(narrowed(df, text="string"), bands), bands)
     rows = df.select(F.struct("*").alias("_row"))
-    return _judged(rows, bands, "_row.text").where("kept").select("_row.*")
+    return _judged(rows, bands, "_row.text").where(_kept(bands, limits)).select("_row.*")

@@ -8,11 +8,15 @@ import zlib
 from collections import Counter
 
 import pytest
+import zstandard
 from compare import connect, difference
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from footfall.llm import quality
 from footfall.llm.queries import QUERIES
 from footfall.llm.sql import ORACLE
+from footfall.llm.words import block_of
 
 SF_DIR = "/root/testdata/sf0.001"
 LARGER = "/root/testdata/sf0.01"
@@ -62,8 +66,72 @@ def test_quality_rules(spark, texts):
     for row in rows:
         assert tuple(row)[1:7] == _counts(texts[row.doc_id])
         assert not (row.kept and row.base_failed)
-        if texts[row.doc_id] and not row.base_failed:
-            assert row.kept or row.ratio < 0.3 or row.ratio > 0.7 or row.n_bad_chunks
+
+
+@pytest.mark.parametrize("folder", [SF_DIR, LARGER])
+def test_quality_verdicts(spark, folder):
+    """Every verdict worked out again from the texts, with the limits of the corpus."""
+    bands = quality.Bands()
+    documents = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    plain = {r.doc_id: (r.text or "").encode() for r in documents.collect()}
+    shrink = zstandard.ZstdCompressor(level=bands.level)
+
+    def ratio(text):
+        return len(shrink.compress(text)) / len(text)
+
+    def kind(size):
+        return sum(size >= least for least, _, _ in bands.whole)
+
+    sound, prints = {}, {}
+    for doc_id, text in plain.items():
+        if not _counts(text.decode())[-1]:
+            sound[doc_id] = ratio(text)
+            least = quality.counts(block_of([text]))["least_window"][0]
+            prints.setdefault((kind(len(text)), least), []).append(sound[doc_id])
+    limits = {}
+    for k in range(1, len(bands.whole) + 1):
+        # In steps of 0.0001, and the lower of two middles, as stated.
+        own = sorted(int(min(r) * 1e4) for (of, _), r in prints.items() if of == k)
+        if len(own) >= bands.least_texts:
+            middle = own[(len(own) - 1) // 2]
+            away = sorted(abs(x - middle) for x in own)[(len(own) - 1) // 2]
+            limits[k] = (middle - bands.spreads * max(1.4826 * away, 1)) / 1e4
+    assert limits or folder == SF_DIR
+
+    def verdict(doc_id):
+        text = plain[doc_id]
+        if doc_id not in sound:
+            return False
+        low, high = bands.limits(len(text))
+        chunks = [text[i : i + bands.chunk] for i in range(0, len(text), bands.chunk)]
+        if 2 * len(chunks[-1]) < bands.chunk:
+            chunks.pop()
+        bad = 0
+        for chunk in chunks if len(text) > bands.chunk else []:
+            least, most = bands.limits(len(chunk))
+            bad += not least <= ratio(chunk) <= most
+        fits = low <= sound[doc_id] <= high and bad <= bands.bad_chunks * len(chunks)
+        return fits and sound[doc_id] >= limits.get(kind(len(text)), 0)
+
+    rows = QUERIES["op1_quality_rules"](spark, folder).collect()
+    near = [r for r in rows if r.ratio and abs(r.ratio - limits.get(kind(r.n_bytes), 0)) < 2e-4]
+    assert {r.doc_id: r.kept for r in rows if r not in near} == {
+        r.doc_id: verdict(r.doc_id) for r in rows if r not in near
+    }
+    assert len(near) < 3
+
+
+def test_quality_bands_tell_bad_from_good(spark):
+    """At least half the bad documents that pass the base rule go, and hardly a good one."""
+    rows = QUERIES["op1_quality_rules"](spark, "/root/testdata/sf0.1").where("NOT base_failed")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    told = rows.join(labels, "doc_id").groupBy("quality").agg(
+        F.avg(F.col("kept").cast("int")).alias("kept"),
+        F.avg(F.when(F.col("n_bytes") >= 3072, F.col("kept").cast("int"))).alias("long_kept"),
+    )
+    kept = {r.quality: r for r in told.collect()}
+    assert kept[1].kept > 0.99 and kept[0].kept < 0.5
+    assert kept[0].long_kept == 0
 
 
 def test_license_scan(spark, texts):
