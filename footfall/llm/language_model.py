@@ -505,8 +505,8 @@ def followers(table: DataFrame, model: Model) -> DataFrame:
     """``shard``, ``bucket`` and counts of the pairs of a shard over all training text.
 
     They are for each distinct key of the shard in the bucket, in the order of the keys, and
-    for each context of those (see ``_settled``). Buckets are ranges of keys and keep contexts whole; there are as many as the
-    number of shards asks for, and a task holds one.
+    for each context of those (see ``_settled``). Buckets are ranges of keys and keep
+    contexts whole; there are as many as the number of shards asks for, and a task holds one.
     """
     buckets = table.count() // PAIR_SHARDS + 1
     spread = np.uint64(64 - WORD_BITS)

@@ -59,9 +59,9 @@ def mix(
     """All columns of ``df``, with ``source_size``, ``target`` and ``repeats``.
 
     Columns of ``df`` that have one of these three names are replaced; all others stay,
-    whatever their names. ``df`` has ``doc_id`` and ``source``, and its sizes in ``size``; ``weights`` has
-    ``source`` (NULL is a source too) and ``weight``, each source once. A source's
-    target is reached by repeating all its documents a whole number of times, and
+    whatever their names. ``df`` has ``doc_id`` and ``source``, and its sizes in ``size``;
+    ``weights`` has ``source`` (NULL is a source too) and ``weight``, each source once. A
+    source's target is reached by repeating all its documents a whole number of times, and
     once more those that come first in a seeded order until half a document at most is
     lacking or over. The order hangs on ``doc_id`` and ``size`` alone, so reruns agree;
     rows alike in both are interchangeable. NULL and empty texts have size 0 and never

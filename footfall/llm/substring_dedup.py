@@ -478,7 +478,9 @@ def repeated_strings(df: DataFrame, length: int = LENGTH) -> DataFrame:
 def without_repeats(df: DataFrame, length: int = LENGTH) -> DataFrame:
     """The rows of ``df`` with what remains of ``text``; rows of which nothing remains go.
 
-    A character of which a byte is removed goes as a whole.
+    A character of which a byte is removed goes as a whole. NULL and empty texts stay as they
+    are, a text that stands on several rows goes from all of them, columns may have any
+    names, and no rows give none.
     """
     need(df, "text")
     judged = _judged(df, length).select(

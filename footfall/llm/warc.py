@@ -34,35 +34,53 @@ INDEX = (
 
 
 def classified(pages: DataFrame) -> DataFrame:
-    """Per row: ``page_id``, ``url``, ``payload``, ``sha1``, ``first_id``, ``is_first``.
+    """Per row: ``page_id``, ``url``, ``payload``, ``sha1``, ``copies``, ``first_id``,
+    ``first_copies`` and ``is_first``.
 
-    Of equal payloads the smallest ``page_id`` is the first; NULL ids come last. Only ids
-    and digests are grouped; payloads move once, spread by page and digest.
+    Payloads are equal if SHA-1 and MD5 both are. Of equal payloads the smallest ``page_id``
+    is the first; NULL ids come last. ``copies`` counts the rows alike in id and payload. Only
+    ids and digests are grouped; payloads move once, spread by page and digest.
     """
     rows = narrowed(pages, page_id="long", url="string", html="string").select(
         "page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload")
     )
-    ids = rows.select("page_id", F.sha1("payload").alias("sha1"))
-    firsts = ids.groupBy("sha1").agg(F.min("page_id").alias("first_id"))
-    each = ids.distinct().join(firsts, "sha1").withColumnRenamed("page_id", "known_id")
-    rows = rows.withColumn("_sha1", F.sha1("payload"))
-    same = F.col("page_id").eqNullSafe(F.col("known_id")) & (F.col("_sha1") == F.col("sha1"))
+    digest = F.concat(F.sha1("payload"), F.md5("payload"))
+    ids = rows.select("page_id", digest.alias("digest"))
+    ids = ids.groupBy("page_id", "digest").agg(F.count("*").alias("copies"))
+    first_copies = F.coalesce(F.min_by("copies", "page_id"), F.max("copies"))
+    firsts = ids.groupBy("digest").agg(
+        F.min("page_id").alias("first_id"), first_copies.alias("first_copies")
+    )
+    each = ids.join(firsts, "digest").withColumnRenamed("page_id", "known_id")
+    rows = rows.withColumn("own", digest)
+    same = F.col("page_id").eqNullSafe(F.col("known_id")) & (F.col("own") == F.col("digest"))
     first = F.col("page_id").eqNullSafe(F.col("first_id"))
     return rows.join(each, same).select(
-        "page_id", "url", "payload", "sha1", "first_id", first.alias("is_first")
+        "page_id",
+        "url",
+        "payload",
+        F.substring("digest", 1, 40).alias("sha1"),
+        "copies",
+        "first_id",
+        "first_copies",
+        first.alias("is_first"),
     )
 
 
-def _record_id(page_id: int | None, sha1: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{sha1}')}>"
+def _record_id(page_id: int | None, sha1: str, place: str = "") -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{sha1}{place}')}>"
+
 
+def _record(row: dict, place: str) -> tuple[str, bytes]:
+    """Id and bytes of the record of a row.
 
-def _record(row: dict) -> tuple[str, bytes]:
-    """Id and bytes of the record of a row."""
+    The ids of rows alike in page and payload are told apart by the record's ``place``; no
+    other record can name one of those then.
+    """
     payload, sha1 = row["payload"], row["sha1"]
     digest = "sha1:" + base64.b32encode(bytes.fromhex(sha1)).decode()
     kind = "response" if row["is_first"] else "revisit"
-    record_id = _record_id(row["page_id"], sha1)
+    record_id = _record_id(row["page_id"], sha1, f":{place}" if row["copies"] > 1 else "")
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nContent-Length: {len(payload)}\r\n\r\n"
     block = http.encode() + (payload if row["is_first"] else b"")
     fields = [
@@ -82,9 +100,10 @@ def _record(row: dict) -> tuple[str, bytes]:
                 "WARC-Profile",
                 "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
             ),
-            ("WARC-Refers-To", _record_id(row["first_id"], sha1)),
             ("X-Refers-To-Page-ID", str(row["first_id"])),
         ]
+        if row["first_copies"] == 1:
+            fields.append(("WARC-Refers-To", _record_id(row["first_id"], sha1)))
     fields.append(("Content-Length", str(len(block))))
     head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields) + "\r\n"
     return record_id, head.encode() + block + b"\r\n\r\n"
@@ -94,6 +113,7 @@ class Bundle:
     """Collects records into frames."""
 
     def __init__(self, frame_bytes: int) -> None:
+        self.name = uuid.uuid4().hex
         self.frame_bytes = frame_bytes
         self.compressor = zstandard.ZstdCompressor(level=LEVEL)
         self.frames: list[bytes] = []
@@ -184,8 +204,8 @@ def write_bundles(
 
     ``pages`` has ``page_id``, ``url`` and ``html``. A NULL html is an empty payload, a NULL
     url or id leaves its field out. Repeated rows are all written; those that carry the
-    smallest id of their payload are all responses. Other columns are ignored; no pages
-    give no bundles. A bundle closes at ``bundle_bytes`` of content, or after one larger
+    smallest id of their payload are all responses, each with a record id of its own. Other
+    columns are ignored; no pages give no bundles. A bundle closes at ``bundle_bytes`` of content, or after one larger
     record, so a task holds one bundle at a time. Write the rows to a table before use:
     names of bundles are new in each run.
     """
@@ -194,7 +214,7 @@ def write_bundles(
         def row(bundle: Bundle) -> pa.RecordBatch:
             return pa.RecordBatch.from_pydict(
                 {
-                    "bundle": [uuid.uuid4().hex],
+                    "bundle": [bundle.name],
                     "content": pa.array([bundle.content()], pa.binary()),
                     "records": pa.array([bundle.index], index_type),
                 }
@@ -204,7 +224,7 @@ def write_bundles(
         for batch in batches:
             for i in range(batch.num_rows):
                 fields = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
-                record_id, record = _record(fields)
+                record_id, record = _record(fields, f"{bundle.name}:{len(bundle.index)}")
                 bundle.add(record_id, fields["page_id"], record)
                 if bundle.size >= bundle_bytes:
                     yield row(bundle)

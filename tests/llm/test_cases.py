@@ -13,6 +13,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from footfall.llm import (
     chat,
     compression,
@@ -311,6 +312,9 @@ def test_bundles_of_odd_pages(spark):
     payloads = {r.page_id: bytes(r.payload) for r in rows if r.payload is not None and r.page_id}
     assert payloads[11].decode() == pages[6][2] and payloads[9] == b""
     assert {r.page_id: r.payload_bytes for r in rows}[5] == len("<p>same</p>")
+    # Ids tell all records apart, also those of repeated rows.
+    ids = [r.record_id for r in rows]
+    assert len(set(ids)) == len(ids) == 8
     # Each record can be read alone, by the index.
     for bundle in bundles.collect():
         content_ = bytes(bundle.content)
@@ -439,12 +443,14 @@ def test_classifier_reads_long_texts_whole(spark):
 def test_mixing_of_odd_rows(spark):
     rows = [(1, "a", 10), (1, "a", 10), (2, "a", 0), (None, None, 7), (3, "b", 5), (4, "zero", 0)]
     df = spark.createDataFrame(rows, "doc_id long, source string, size long")
-    df = df.withColumn("target", F.lit("x")).drop("target").withColumn("label", F.lit("x"))
+    df = df.withColumns({name: F.lit("x") for name in CLASHES if name not in ("size", "source")})
     weights = mixing.cycled_weights(df)
     order = {r.source: r.weight for r in weights.collect()}
     assert order == {"a": 5, "b": 2, "zero": 1, None: 5}
     got = mixing.mix(df, weights)
-    assert got.columns == [*df.columns, "source_size", "target", "repeats"]
+    new = ["source_size", "target", "repeats"]
+    assert got.columns == [*[c for c in df.columns if c not in new], *new]
+    assert {r[c] for r in got.collect() for c in CLASHES if c not in ("size", *new)} == {"x"}
     by_source = {r.source: (r.source_size, r.target) for r in got.collect()}
     assert by_source["zero"] == (0, 0.0)
     assert sum(t for _, t in by_source.values()) == pytest.approx(1.5 * 32)
@@ -453,6 +459,41 @@ def test_mixing_of_odd_rows(spark):
     assert mixing.repeated(got).count() == sum(r.repeats for r in got.collect())
 
 
+KEEPERS = {
+    "keep_sound": quality.keep_sound,
+    "keep_one": near_dedup.keep_one,
+    "without_repeats": substring_dedup.without_repeats,
+    "take": mixing.take,
+}
+
+
+@pytest.mark.parametrize("name", KEEPERS)
+def test_columns_of_the_caller_come_back(odd, none, name):
+    sourced = odd.withColumn("source", F.when(F.col("doc_id") > 4, "s"))
+    call = KEEPERS[name]
+    plain = content(call(sourced).select("doc_id", "text"))
+    marked = call(clashing(sourced))
+    assert marked.columns == ["doc_id", "text", "source", *CLASHES]
+    assert content(marked.select("doc_id", "text")) == plain
+    assert {row[c] for row in marked.collect() for c in CLASHES} <= {"x"}
+    empty = clashing(none.withColumn("source", F.lit(None).cast("string")))
+    assert call(empty).collect() == []
+
+
+@pytest.mark.parametrize("at", range(len(corpus_pipeline.STAGES)))
+def test_columns_pass_through_the_stages(spark, at):
+    folder = "/root/testdata/sf0.001"
+    name, stage = corpus_pipeline.STAGES[at]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(60)
+    plain = stage(spark, docs, folder)
+    marked = stage(spark, clashing(docs), folder)
+    assert plain.columns == docs.columns
+    assert marked.columns == [*docs.columns, *CLASHES]
+    assert content(marked.select(*docs.columns)) == content(plain)
+    assert {row[c] for row in marked.collect() for c in CLASHES} <= {"x"}
+    assert stage(spark, clashing(docs).limit(0), folder).collect() == []
+
+
 def test_sources_stop_at_their_cap(spark):
     sources = spark.createDataFrame(
         [("a", 10, 100), ("b", 100, 1), ("c", 1000, 1), ("d", 5, 0)],
