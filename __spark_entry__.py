@@ -15,6 +15,7 @@ from pyspark.sql import functions as F  # noqa: E402
 import oracle  # noqa: E402
 import sample_data  # noqa: E402
 from footfall import RunParams, Sources, Targets, run_daily  # noqa: E402
+from footfall.functions.ids import as_text, to_text  # noqa: E402
 from footfall.functions.money import amount  # noqa: E402
 from footfall.functions.time import ntz  # noqa: E402
 from footfall.operators.batch import batch_filter  # noqa: E402
@@ -706,8 +707,8 @@ def late_rows_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     _load("events", events.where(late), sources.path("events"))
     _load("events", batch_filter(events, "created_at", second), sources.path("events"))
-    changed = F.col("updated_at") >= ntz(second.start)
-    _load("orders", states[1].where(changed | F.expr(_LATE_ORDERS)), sources.path("orders"), "replace")
+    changed = states[1].where((F.col("updated_at") >= ntz(second.start)) | F.expr(_LATE_ORDERS))
+    _load("orders", changed, sources.path("orders"), "replace")
     run_with_late(spark, sources, targets, second)
     run_with_late(spark, sources, targets, second)
     return targets.read(spark, "behavior_features")
@@ -718,8 +719,9 @@ _CUT = datetime(2023, 1, 1)
 
 @query(
     oracle.with_parts(
-        f"""SELECT order_id, CAST(sum(CAST(CASE WHEN id % 50 = 0 AND created_at < {oracle.at(_CUT)}
-            THEN sale_price + 1.5 ELSE sale_price END AS decimal(18,4))) AS double) AS order_amount
+        f"""SELECT order_id, CAST(sum(CAST(CASE
+            WHEN id % 50 = 0 AND created_at < {oracle.at(_CUT)} THEN sale_price + 1.5
+            ELSE sale_price END AS decimal(18,4))) AS double) AS order_amount
         FROM items GROUP BY order_id""",
         items=sample_data.check_sql(sample_data.FULL_ORDER_ITEMS),
     )
@@ -732,7 +734,8 @@ def order_values_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     dearer = rows.where(early & (F.col("id") % 50 == 0)).withColumn(
         "sale_price", F.col("sale_price") + 1.5
     )
-    for load, mode in ((rows.where(early), "append"), (rows.where(~early), "append"), (dearer, "replace")):
+    loads = [(rows.where(early), "append"), (rows.where(~early), "append"), (dearer, "replace")]
+    for load, mode in loads:
         _load("order_items", load, items, mode)
         schema = TABLES["order_items"].stored_schema
         order_values.update(spark, items, schema, "created_day", kept, span=100_000)
@@ -741,6 +744,32 @@ def order_values_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_LARGE = 2**64 - 1  # ids are counted down from here
+
+
+@query(
+    oracle.with_parts(
+        f"""SELECT CAST({_LARGE}::hugeint - order_id::hugeint AS varchar) AS order_id,
+          CAST(sum(CAST(sale_price AS decimal(18,4))) AS double) AS order_amount,
+          max(CAST({_LARGE}::hugeint - id::hugeint AS varchar)) AS last_item
+        FROM items GROUP BY order_id""",
+        items=sample_data.check_sql(sample_data.FULL_ORDER_ITEMS),
+    )
+)
+def largest_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items with the largest ids there are: loaded, summed and joined as longs, told as text."""
+    path = shared_folder(spark)
+    rows = sample_data.read(spark, sf_dir, sample_data.FULL_ORDER_ITEMS)
+    counted_down = {
+        name: (F.lit(str(_LARGE)).cast("decimal(20,0)") - F.col(name)).cast("string")
+        for name in ("id", "order_id")
+    }
+    _load("order_items", rows.withColumns(counted_down), path)
+    items = Sources(spark, {"order_items": path}).logical("order_items")
+    last = items.groupBy("order_id").agg(F.max(to_text(F.col("id"))).alias("last_item"))
+    return as_text(order_amounts(items).join(last, "order_id"), ["order_id"])
+
+
 # Training-data operators and their pipeline are optional; the library does without them.
 _added: dict[str, Query] = {}
 _added_sql: dict[str, str] = {}

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from footfall.functions.ids import in_order
 from footfall.functions.time import activity_day, seconds_between
 
 DAY_KEYS = ("user_id", "activity_date", "browser", "traffic_source")
 SESSION_KEYS = (*DAY_KEYS, "session_id")
 
-# The latest event of a group is the largest such struct. Sequence number and id
-# settle equal times, so the answer does not depend on row order.
-_LAST = ("created_at", "sequence_number", "id", "event_type", "uri")
+
+def _last() -> Column:
+    """Aggregate: the latest event, the largest such struct.
+
+    Sequence number and id settle equal times, so the answer does not depend on row order.
+    """
+    ordered = in_order(F.col("id")).alias("id")
+    return F.max(F.struct("created_at", "sequence_number", ordered, "event_type", "uri"))
 
 
 def _with_day(events: DataFrame) -> DataFrame:
@@ -31,7 +37,7 @@ def session_durations(events: DataFrame) -> DataFrame:
 
 
 def _session_rollup(events: DataFrame) -> DataFrame:
-    last = F.max(F.struct(*_LAST))
+    last = _last()
     return (
         _with_day(events)
         .groupBy(*SESSION_KEYS)
@@ -92,7 +98,7 @@ def last_event_per_user_day(events: DataFrame) -> DataFrame:
     return (
         _with_day(events)
         .groupBy("user_id", "activity_date")
-        .agg(F.max(F.struct(*_LAST)).alias("last"))
+        .agg(_last().alias("last"))
         .select(
             "user_id",
             "activity_date",

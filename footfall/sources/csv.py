@@ -9,6 +9,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
+from footfall.functions import ids
 from footfall.functions.time import ntz
 from footfall.sources.schemas import LOAD_TIME, SPARK_TYPES, TABLES, Table
 from footfall.storage import files, grain
@@ -36,7 +37,7 @@ MISSING = {
     "datetime?": None,
 }
 _OCTET = r"(25[0-5]|2[0-4]\d|1?\d?\d)"
-LARGEST = {"uint8": 255, "uint32": 4294967295, "uint64": 9223372036854775807}
+LARGEST = {"uint8": 255, "uint32": 4294967295}
 SHAPES = {
     "letter": r"^.?$",
     "uuid": r"^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$",
@@ -82,6 +83,8 @@ def _read_text_and_broken_lines(spark: SparkSession, path: str, multiline: bool)
 
 def _parse(text: Column, kind: str) -> Column:
     """The typed value, or NULL if the text does not fit the kind."""
+    if kind == "uint64":
+        return ids.from_text(text)
     if kind in LARGEST:
         value = text.try_cast("bigint")
         fits = value.between(0, LARGEST[kind])

@@ -7,7 +7,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql.types import StructType
 
-# Kinds of column -> Spark type. Unsigned integers take the next wider signed type.
+# Kinds of column -> Spark type. Unsigned integers take the next wider signed type, but
+# those of eight bytes a long all the same (see ``functions/ids.py``).
 SPARK_TYPES = {
     "uint8": "smallint",
     "uint32": "bigint",
@@ -51,6 +52,11 @@ class Table:
         """The partition columns that hold a day, and their SQL; they may hold longer spans."""
         return {name: sql for name, sql in self.partition_by.items() if sql.startswith("to_date(")}
 
+    @property
+    def wide_ids(self) -> list[str]:
+        """Columns whose ids may lie above 2**63 - 1 and are stored less 2**64 then."""
+        return [name for name, kind in self.columns.items() if kind == "uint64"]
+
     @property
     def logical(self) -> list[str]:
         return [*self.columns, *self.derived, *self.system]

@@ -97,7 +97,7 @@ def test_line_breaks_inside_quotes(spark, csv):
 
 BAD = {
     "id": EVENT.replace("7,42", "x,42"),
-    "user_id": EVENT.replace("42", "9223372036854775808"),
+    "user_id": EVENT.replace("42", "18446744073709551616"),
     "sequence_number": EVENT.replace(",3,", ",4294967296,"),
     "session_id": EVENT.replace(UUID, "not-an-id"),
     "created_at": EVENT.replace("2024-01-05", "2024-13-05"),
