@@ -199,7 +199,7 @@ def write_table(df: DataFrame, name: str, target: str, mode: str = "append") ->
     elif mode == "overwrite":
         rebuild_partitioned(spark, laid_out, target, *layout, noted=True, marks=marks)
     else:
-        append_partitions(spark, laid_out, target, *layout, gained, marks)
+        append_partitions(spark, laid_out, target, *layout, gained, marks, table.key)
     files.delete(spark, _first(target))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from footfall.operators.batch import delete_insert
-from footfall.storage import changes, files
+from footfall.storage import changes, files, key_index
 
 
 @dataclass(frozen=True)
@@ -117,8 +117,9 @@ def append_partitions(
     sort_by: Sequence[str] = (),
     gained: Callable[[DataFrame], Sequence[str]] | None = None,
     marks: Mapping[str, str] | None = None,
+    key: str | None = None,
 ) -> None:
-    """Adds rows to a table whose changes are kept.
+    """Adds rows to a table whose changes are kept, and the index of its ``key`` if there is one.
 
     Files are written beside the table and then moved in, so what changes is known
     before. What dies while moving is finished by ``recover``. ``gained`` tells from the
@@ -128,9 +129,11 @@ def append_partitions(
     recover(spark, path, len(partition_by))
     staged = _added(path)
     write_partitioned(df, staged, partition_by, sort_by, mode="overwrite")
+    written = read_partitioned(spark, staged, df.schema)
     if gained is not None:
-        told = gained(read_partitioned(spark, staged, df.schema))
-        files.write_text(spark, f"{staged}/{changes.GAINED}", json.dumps(sorted(told)))
+        files.write_text(spark, f"{staged}/{changes.GAINED}", json.dumps(sorted(gained(written))))
+    if key is not None and files.exists(spark, path) and key_index.is_kept(spark, path):
+        key_index.add(spark, path, written, key, len(partition_by))
     for name, text in (marks or {}).items():
         files.write_text(spark, f"{staged}/{name}", text)
     _add_in(spark, path, len(partition_by))
@@ -214,9 +217,10 @@ def incremental_replace(
 ) -> None:
     """``delete_insert`` into a table laid out by a date among its keys.
 
-    With ``noted`` the table's changes are kept. Equal keys lie in the same partition, so only the partitions of the batch can
-    lose rows: those are read back and rewritten, and the cost follows the batch
-    and not the table. Partitions the table does not have yet are moved in unread.
+    With ``noted`` the table's changes are kept. Equal keys lie in the same partition, so
+    only the partitions of the batch can lose rows: those are read back and rewritten, and
+    the cost follows the batch and not the table. Partitions the table does not have yet are
+    moved in unread.
     """
     if layout.day not in keys:
         raise ValueError(f"{layout.day} must be one of the keys {list(keys)}")
@@ -258,8 +262,10 @@ def replace_keys(
 ) -> None:
     """Replaces the rows whose ``key`` comes again in ``batch``, in whatever partition they lie.
 
-    ``gained`` as for ``append_partitions``. Of the table only the key and the partitions' names are read to find the partitions to
-    rewrite: those that hold a key of the batch, and those that gain rows.
+    ``gained`` as for ``append_partitions``. The partitions to rewrite are those that hold a
+    key of the batch, and those that gain rows. The first time the key column of the whole
+    table is read to find them; from then on an index of key ranges names partitions, and the
+    key is read of those only.
     """
     recover(spark, path, len(partition_by))
     if not files.exists(spark, path):
@@ -271,12 +277,18 @@ def replace_keys(
     fresh = read_partitioned(spark, staged, batch.schema)
     stored = read_partitioned(spark, path, batch.schema)
     # Folder names are read from the files' own paths, as they must be found again.
-    folder = F.regexp_extract(
-        F.input_file_name(), "/([^/]+=[^/]*" + "/[^/]+=[^/]*" * (len(partition_by) - 1) + ")/[^/]*$", 1
-    )
+    depth = len(partition_by)
+    folder = key_index.folder_of(depth)
+    present = set(files.partitions(spark, path, depth))
+    if key_index.is_kept(spark, path):
+        named = key_index.folders(spark, path, fresh, key)
+        may = sorted(present & {n if n in present else unquote(n) for n in named})
+        stored = read_partitioned(spark, path, batch.schema, only=may)
+    else:
+        key_index.add(spark, path, stored, key, depth)
     known = stored.select(key, folder.alias("folder"))
     old = known.join(fresh.select(key), key, "left_semi").select("folder").distinct()
-    present = set(files.partitions(spark, path, len(partition_by)))
+    key_index.add(spark, path, fresh, key, depth)
     arriving = files.partitions(spark, staged, len(partition_by))
     gaining = present.intersection(arriving)
     losing = {_same_name(row.folder, present) for row in old.collect()}

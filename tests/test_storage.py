@@ -9,14 +9,16 @@ import pytest
 from pyspark.sql.types import StructType
 
 from footfall.operators.batch import delete_insert
-from footfall.storage import files, tables
+from footfall.storage import files, key_index, tables
 from footfall.storage.tables import (
     Layout,
+    append_partitions,
     create_if_absent,
     incremental_replace,
     read_partitioned,
     rebuild_table,
     recover,
+    replace_keys,
     replace_partitions,
     write_partitioned,
 )
@@ -234,3 +236,43 @@ def test_working_tables_go_with_the_driver(tmp_path):
     )
     assert done.stdout.startswith(f"3 file://{tmp_path}/footfall-")
     assert not list(tmp_path.glob("footfall-*"))
+
+
+def test_a_keyed_load_opens_only_what_the_index_names(spark, rows, tmp_path, monkeypatch):
+    """Partitions without a key of the batch's ranges can be gone."""
+    monkeypatch.setattr(key_index, "SPAN", 10)
+    monkeypatch.setattr(key_index, "MOST_FILES", 4)
+    path, schema = str(tmp_path / "t"), "id bigint, n bigint, part string"
+    want = {}
+
+    def load(*values, replace=True):
+        df = rows(schema, *values)
+        if replace:
+            replace_keys(spark, df, path, "id", ["part"])
+        else:
+            append_partitions(spark, df, path, ["part"], key="id")
+        want.update({v[0]: v for v in values})
+
+    def stored(*parts):
+        kind = StructType.fromDDL(schema.replace(",", " ,"))
+        df = read_partitioned(spark, path, kind, only=parts or None)
+        return sorted((r.id, r.n, r.part) for r in df.collect())
+
+    load((1, 1, "a b:c"), (2, 1, "a b:c"), (11, 1, "y"), (21, 1, "z"))
+    assert not key_index.is_kept(spark, path)
+    load((2, 2, "a b:c"))  # the first keyed load builds the index
+    assert key_index.is_kept(spark, path)
+    load((31, 1, "w%"), (12, 1, "y"), replace=False)
+    for number in range(8):  # more loads than the index keeps files
+        load((3 + number % 2, number, f"a b:{number}"))
+    load((12, 7, "w%"), (1, 9, "new"))
+    assert stored() == sorted(want.values())
+    assert len(list((tmp_path / "t" / key_index.FOLDER).glob("*.parquet"))) <= 4
+
+    for part in (tmp_path / "t" / "part=z").glob("*.parquet"):
+        part.write_bytes(b"gone")
+    load((11, 3, "y"), (32, 1, "w%"))
+    del want[21]
+    others = [p.name for p in (tmp_path / "t").glob("part=*") if p.name != "part=z"]
+    assert stored(*others) == sorted(want.values())
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
