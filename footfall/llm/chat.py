@@ -196,12 +196,17 @@ def decoded(chunks: DataFrame, ranks: bytes) -> DataFrame:
         encoding, reserved = _encoding(ranks)
         for batch in batches:
             out: dict[str, list] = {name: [] for name in TURNS.names}
+            tokens = 0
             for i in range(batch.num_rows):
                 ids, mask = (batch.column(c)[i].values.to_numpy() for c in ("ids", "loss_mask"))
                 owner = [batch.column(c)[i].as_py() for c in ("conv_id", "chunk")]
                 for at, turn in enumerate(parse(encoding, reserved, ids, mask)):
                     for name, value in zip(TURNS.names, [*owner, at, *turn], strict=True):
                         out[name].append(value)
+                tokens += len(ids)
+                if tokens >= CHUNK_TOKENS:
+                    yield pa.RecordBatch.from_pydict(out, TURNS)
+                    out, tokens = {name: [] for name in TURNS.names}, 0
             yield pa.RecordBatch.from_pydict(out, TURNS)
 
     return chunks.select(*CHUNK).mapInArrow(

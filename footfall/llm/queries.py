@@ -24,7 +24,7 @@ from footfall.llm import (
     vector_codes,
     warc,
 )
-from footfall.llm.tables import kept, read
+from footfall.llm.tables import batches_of, kept, read
 
 ODD_CHAT = -7
 ODD_TEXT = r"\### Assistant: </turn> ok"
@@ -106,17 +106,20 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     conversations = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     ranks = chat.vocabulary(spark)
-    chunks = kept(chat.format_chats(conversations.unionByName(odd), ranks))
-    turns = chat.decoded(chunks, ranks)
-    # A digest takes a conversation's turns one after the other, so one task sees them all,
-    # but holds none of them.
-    order = ["conv_id", "chunk", "at"]
-    turns = turns.repartition("conv_id").sortWithinPartitions(*order)
-    return turns.mapInArrow(
-        _digests,
-        "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
-        "formatted_chars long",
-    )
+    with batches_of(spark, "8m"):
+        chunks = kept(chat.format_chats(conversations.unionByName(odd), ranks))
+        turns = chat.decoded(chunks, ranks)
+        # A digest takes a conversation's turns one after the other, so one task sees them
+        # all, but holds none of them.
+        order = ["conv_id", "chunk", "at"]
+        turns = turns.repartition("conv_id").sortWithinPartitions(*order)
+        return kept(
+            turns.mapInArrow(
+                _digests,
+                "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
+                "loss_sha256 string, formatted_chars long",
+            )
+        )
 
 
 DIGESTS = pa.schema(
