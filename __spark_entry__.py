@@ -42,6 +42,7 @@ from footfall.operators.history import (  # noqa: E402
     first_versions,
     merge_versions,
 )
+from footfall.operators.history_ranges import as_of_join_by_ranges  # noqa: E402
 from footfall.operators.horizons import horizon_sums, names  # noqa: E402
 from footfall.operators.orders import (  # noqa: E402
     daily_user_orders,
@@ -62,6 +63,7 @@ from footfall.storage.tables import (  # noqa: E402
     incremental_replace,
     read_partitioned,
 )
+from footfall.streaming.loads import load_stream  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -770,6 +772,35 @@ def largest_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_text(order_amounts(items).join(last, "order_id"), ["order_id"])
 
 
+@query(_oracle["orders_as_of_join"])
+def orders_as_of_join_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders_as_of_join`` in ranges that cut through keys."""
+    return as_of_join_by_ranges(
+        sample_data.order_items(spark, sf_dir),
+        _merged_history(spark, sf_dir),
+        "order_id",
+        "moment",
+        ("status", "valid_from"),
+        range_rows=10_000,
+    )
+
+
+@query(oracle.orders_state(RunParams.for_day(_DAYS[1]).end))
+def orders_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders that arrive as files over two days, loaded as a stream that is started twice."""
+    folder, target, checkpoint = (shared_folder(spark) for _ in range(3))
+    first, second = (RunParams.for_day(day) for day in _DAYS[:2])
+    states = [sample_data.orders_at(spark, sf_dir, params.end) for params in (first, second)]
+    changed = batch_filter(states[1], "updated_at", second)
+    for number, arriving in enumerate((states[0], changed)):
+        columns = [*TABLES["orders"].columns]
+        sample_data.write_csv(arriving.select(*columns), f"{folder}/day{number}")
+        stream = load_stream(spark, "orders", f"{folder}/day*", target, checkpoint, LOAD_TS)
+        stream.awaitTermination()
+    orders = Sources(spark, {"orders": target}).logical("orders")
+    return orders.drop("sys_create_date", "sys_effective_date")
+
+
 # Training-data operators and their pipeline are optional; the library does without them.
 _added: dict[str, Query] = {}
 _added_sql: dict[str, str] = {}

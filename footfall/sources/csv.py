@@ -136,13 +136,17 @@ def _typed(
     return typed
 
 
+def typed_rows(raw: DataFrame, name: str, load_ts: datetime) -> DataFrame:
+    """Table ``name`` from its columns as text; text that does not fit its column stops the job."""
+    table = TABLES[name]
+    return _typed(raw, table, load_ts, stop=True).select(*table.logical)
+
+
 def read_csv(
     spark: SparkSession, name: str, path: str, load_ts: datetime, multiline: bool = False
 ) -> DataFrame:
     """Table ``name`` from its CSV; text that does not fit its column stops the job."""
-    table = TABLES[name]
-    raw = read_text(spark, path, multiline)
-    return _typed(raw, table, load_ts, stop=True).select(*table.logical)
+    return typed_rows(read_text(spark, path, multiline), name, load_ts)
 
 
 def _checked(

@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from footfall.operators.history import as_of, as_of_join, first_versions, merge_versions
+from footfall.operators.history_ranges import as_of_join_by_ranges
 from footfall.storage.history import read_history, update_snapshot
 
 SCHEMA = (
@@ -119,3 +120,53 @@ def test_history(spark, rows, tmp_path, seed):
         for n, key, moment in facts
     }
     assert len(joined) == len(facts)
+
+
+@pytest.mark.parametrize("range_rows", [7, 40, 10_000])
+def test_the_join_by_ranges_gives_the_same(spark, range_rows):
+    """Keys over several ranges, facts at the moment of a version, gaps, NULL keys and moments."""
+    drawn = random.Random(range_rows)
+    start = datetime(2024, 1, 1)
+    versions, facts = [], []
+    for key in [*range(6), None]:
+        at = start
+        for number in range(0 if key == 5 else drawn.choice([1, 3, 30])):
+            begins = at + timedelta(hours=drawn.randint(1, 5))
+            at = begins + timedelta(hours=drawn.randint(1, 5))
+            last = drawn.random() < 0.1
+            versions.append((key, f"v{key}.{number}", begins, None if last else at))
+            if last:
+                break
+        for number in range(drawn.choice([3, 60])):
+            moment = None if drawn.random() < 0.1 else start + timedelta(hours=drawn.randint(0, 90))
+            facts.append((f"f{key}.{number % 40}", key, moment))
+    history = spark.createDataFrame(
+        versions,
+        "order_id long, status string, valid_from timestamp_ntz, valid_to timestamp_ntz",
+    )
+    frame = spark.createDataFrame(facts, "name string, order_id long, at timestamp_ntz")
+    arguments = (frame, history, "order_id", "at", ["status", "valid_from"])
+    want = as_of_join(*arguments)
+    got = as_of_join_by_ranges(*arguments, range_rows=range_rows)
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    empty = as_of_join_by_ranges(frame.limit(0), *arguments[1:], range_rows=range_rows)
+    assert empty.collect() == []
+
+
+def test_a_key_that_is_hot_on_both_sides(spark):
+    """A million facts and a thousand versions of one key, in ranges of 100,000 rows."""
+    start = "timestamp_ntz'2024-01-01 00:00:00'"
+    facts = spark.range(1_000_000).selectExpr(
+        "id", "1L as order_id", f"{start} + make_dt_interval(0, 0, 0, id % 100000) as at"
+    )
+    history = spark.range(1000).selectExpr(
+        "1L as order_id",
+        "cast(id as string) as status",
+        f"{start} + make_dt_interval(0, 0, 0, id * 100) as valid_from",
+        f"if(id = 999, null, {start} + make_dt_interval(0, 0, 0, id * 100 + 100)) as valid_to",
+    )
+    joined = as_of_join_by_ranges(facts, history, "order_id", "at", ["status"], 100_000)
+    wrong = joined.where("status_as_of IS DISTINCT FROM cast((id % 100000) div 100 as string)")
+    assert joined.count() == 1_000_000
+    assert wrong.isEmpty()
