@@ -9,6 +9,7 @@ gives an empty one.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,17 +19,34 @@ from footfall.llm.tables import kept, read
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# What a task sends to Python at once: rows are whole texts, some of them of megabytes.
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 
+
+def in_small_batches(stage: Stage) -> Stage:
+    """The stage, in a session whose batches are small from then on; results are lazy."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set(*BATCH_BYTES)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+@in_small_batches
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     return quality.keep_sound(docs)
 
 
+@in_small_batches
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
     return near_dedup.keep_one(docs)
 
 
+@in_small_batches
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the strings of 200 bytes that stand in another place too."""
     without = substring_dedup.without_repeats(docs)
@@ -38,11 +56,13 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return without
 
 
+@in_small_batches
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     return decontamination.decontaminate(docs, read(spark, sf_dir, "benchmark"))
 
 
+@in_small_batches
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     return mixing.take(docs)
