@@ -38,6 +38,12 @@ def are_kept(spark: SparkSession, path: str) -> bool:
     return files.exists(spark, f"{path}/{FOLDER}")
 
 
+def begin(spark: SparkSession, path: str) -> None:
+    """Begins to keep the changes of a table that is there already: all of it counts as new."""
+    if files.exists(spark, path) and not are_kept(spark, path):
+        note(spark, path, 1, None)
+
+
 def _numbers(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(name) for name in files.names(spark, f"{path}/{FOLDER}"))
 

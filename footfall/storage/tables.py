@@ -127,6 +127,7 @@ def append_partitions(
     are small files that a new table gets.
     """
     recover(spark, path, len(partition_by))
+    changes.begin(spark, path)
     staged = _added(path)
     write_partitioned(df, staged, partition_by, sort_by, mode="overwrite")
     written = read_partitioned(spark, staged, df.schema)
@@ -225,6 +226,8 @@ def incremental_replace(
     if layout.day not in keys:
         raise ValueError(f"{layout.day} must be one of the keys {list(keys)}")
     recover(spark, path, 1)
+    if noted:
+        changes.begin(spark, path)
     batch = layout.add_to(batch)
     partition_by = [layout.column]
     if full_refresh:
@@ -271,6 +274,7 @@ def replace_keys(
     if not files.exists(spark, path):
         append_partitions(spark, batch, path, partition_by, sort_by, gained)
         return
+    changes.begin(spark, path)
     staged = f"{path.rstrip('/')}.batch"
     files.delete(spark, staged)
     write_partitioned(batch, staged, partition_by, sort_by)

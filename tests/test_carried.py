@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import shutil
 from datetime import date, datetime, timedelta
 from pathlib import Path
 
@@ -130,6 +131,27 @@ def test_totals_of_a_table_that_was_rebuilt(spark, tmp_path, rows):
     assert features(spark, targets) == expected(spark, targets, day)
 
 
+def test_tables_from_before_changes_were_noted(spark, tmp_path, items):
+    """Notes and totals begin with the next run or load."""
+    targets = Targets(str(tmp_path / "t"))
+    events = sample_data.events(spark, SF_DIR)
+    run(spark, targets, events, date(2024, 2, 9))
+    for step in STEPS[1:3]:
+        shutil.rmtree(Path(targets.path(step)) / changes.FOLDER)
+    shutil.rmtree(tmp_path / "t.state")
+    run(spark, targets, events, date(2024, 2, 9), STEPS[3:])
+    assert features(spark, targets) == expected(spark, targets, date(2024, 2, 9))
+    assert not (tmp_path / "t.state").exists()
+    run(spark, targets, events, date(2024, 2, 10))
+    assert features(spark, targets) == expected(spark, targets, date(2024, 2, 10))
+    assert len(list((tmp_path / "t.state").glob("*/totals/2024-01-11.*"))) == 2
+
+    items((1, 1, 2.5, "2024-01-01"))
+    shutil.rmtree(Path(items.path) / changes.FOLDER)
+    items((2, 1, 3.5, "2024-01-02"))
+    assert kept_values(spark, items, str(tmp_path / "values")) == all_values(spark, items)
+
+
 def test_months_are_summed_again_one_by_one(spark, tmp_path, rows):
     path, state = str(tmp_path / "d"), str(tmp_path / "state")
     schema = "user_id bigint, n bigint, activity_date date"
