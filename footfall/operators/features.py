@@ -111,16 +111,19 @@ def user_order_agg(daily_orders: DataFrame, job_date: date) -> DataFrame:
 
 
 def _user_order_sums(daily_orders: DataFrame, job_date: date) -> DataFrame:
+    # Halves are columns of their own: of a struct each sum would work them out again.
     amounts = _columns(ORDER_AMOUNTS)
     halves = {f"{n}_{half}": x[half] for n, x in amounts.items() for half in ("high", "low")}
-    rows = {f"{name}_rows": F.count(x["low"]) for name, x in amounts.items()}
+    others = ["user_id", "activity_date", "last_order_time", *ORDER_COUNTS.values()]
+    split = daily_orders.select(*others, *[x.alias(name) for name, x in halves.items()])
+    rows = {f"{name}_rows": F.count(f"{name}_low") for name in amounts}
     summed = horizon_sums(
-        daily_orders,
+        split,
         ("user_id",),
         job_date,
-        _columns(ORDER_COUNTS) | halves,
+        _columns(ORDER_COUNTS) | {name: F.col(name) for name in halves},
         also={"last_order_time": F.max("last_order_time"), **rows},
-        summed=F.try_sum,
+        tried=[name for name in halves if name.endswith("_high")],
     )
 
     def value(metric: str, horizon: int | None) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -35,19 +35,22 @@ def horizon_sums(
     also: Mapping[str, Column] | None = None,
     day: str = "activity_date",
     horizons: Sequence[int | None] = HORIZONS,
-    summed: Callable[[Column], Column] = F.sum,
+    tried: Collection[str] = (),
 ) -> DataFrame:
     """Per key: each metric summed over each horizon that ends on ``job_date``.
 
     A horizon of h days holds the day distances 0 .. h-1. ``also`` adds further
     aggregates to the same pass. A key with rows but none inside a horizon gets 0.
-    ``summed`` may be another sum than ``F.sum``.
+    Sums of the metrics ``tried`` are NULL where they are too large.
     """
     distance = days_until(job_date, F.col(day))
+
+    def total(metric: str, value: Column, h: int | None) -> Column:
+        inside = value if h is None else F.when(distance < h, value).otherwise(0)
+        return (F.try_sum if metric in tried else F.sum)(inside)
+
     sums = [
-        summed(value if h is None else F.when(distance < h, value).otherwise(0)).alias(
-            f"{metric}_{suffix(h)}"
-        )
+        total(metric, value, h).alias(f"{metric}_{suffix(h)}")
         for metric, value in metrics.items()
         for h in horizons
     ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions.money import amount, exact, total, where
+from footfall.functions.money import amount, exact, settled, total, where
 from footfall.functions.status import CANCELLED, COMPLETED, became
 from footfall.functions.time import activity_day
 
@@ -15,8 +15,10 @@ ORDER_COLUMNS = ("order_id", "user_id", "status", "created_at", "updated_at")
 
 def order_values(order_items: DataFrame) -> DataFrame:
     """The exact value of each order."""
-    values = order_items.select("order_id", exact(F.col("sale_price")).alias("value"))
-    return values.groupBy("order_id").agg(total(F.col("value")).alias("order_value"))
+    value = exact(F.col("sale_price"))
+    halves = order_items.select("order_id", value["high"].alias("high"), value["low"].alias("low"))
+    summed = settled(F.try_sum("high"), F.try_sum("low"), F.count("low"))
+    return halves.groupBy("order_id").agg(summed.alias("order_value"))
 
 
 def order_amounts(order_items: DataFrame) -> DataFrame:
