@@ -15,7 +15,7 @@ from pyspark.sql import functions as F  # noqa: E402
 import oracle  # noqa: E402
 import sample_data  # noqa: E402
 from footfall import RunParams, Sources, Targets, run_daily  # noqa: E402
-from footfall.functions.ids import as_text, to_text  # noqa: E402
+from footfall.functions.ids import as_text, last_text  # noqa: E402
 from footfall.functions.money import amount  # noqa: E402
 from footfall.functions.time import ntz  # noqa: E402
 from footfall.operators.batch import batch_filter  # noqa: E402
@@ -768,7 +768,7 @@ def largest_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     _load("order_items", rows.withColumns(counted_down), path)
     items = Sources(spark, {"order_items": path}).logical("order_items")
-    last = items.groupBy("order_id").agg(F.max(to_text(F.col("id"))).alias("last_item"))
+    last = last_text(items, "order_id", "id").withColumnRenamed("id", "last_item")
     return as_text(order_amounts(items).join(last, "order_id"), ["order_id"])
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime
 
 import pytest
@@ -11,7 +12,7 @@ from footfall import RunParams, Sources, Targets, run_daily
 from footfall.functions import ids
 from footfall.operators.events import last_event_per_user_day
 from footfall.plans import order_values
-from footfall.sources.csv import ingest, read_csv_with_rejects
+from footfall.sources.csv import ingest, read_csv, read_csv_with_rejects
 from footfall.sources.schemas import TABLES
 
 LOAD = datetime(2024, 6, 1)
@@ -44,6 +45,32 @@ def test_ids_come_back_from_eight_bytes(spark, texts, ansi):
         spark.conf.set("spark.sql.ansi.enabled", before)
 
 
+def test_long_texts_are_read_as_short_ones(spark):
+    given = {"0" * 30 + "5": 5, " " * 20 + "+7": 7, "-" + "0" * 20: 0, "0" * 9 + LARGEST: -1}
+    given |= {"\t" + " " * 20 + "8": 8, "9" * 19: 9999999999999999999 - 2**64, "9" * 20: None}
+    given |= {"5" + "0" * 17 + " x": None, "-" + "9" * 18: None, str(2**64) + "0": None}
+    texts = spark.createDataFrame([(t,) for t in given], "text string")
+    assert [r[0] for r in texts.select(ids.from_text(F.col("text"))).collect()] == [*given.values()]
+
+
+@pytest.mark.parametrize("table", ["order_items", "orders", "events"])
+def test_a_row_of_ids_is_read_by_a_method_that_the_jvm_compiles(spark, tmp_path, table):
+    path = tmp_path / "rows.csv"
+    path.write_text(",".join(TABLES[table].columns) + "\n")
+    execution = read_csv(spark, table, str(path), LOAD)._jdf.queryExecution()
+    modes = spark._jvm.org.apache.spark.sql.execution.ExplainMode
+    text = execution.explainString(modes.fromString("codegen"))
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) <= 8000  # HotSpot's limit of bytes of a method
+
+
+def test_the_last_text_is_found_among_ids_of_any_length(spark):
+    given = [("a", 9), ("a", 10), ("a", -1), ("b", -1), ("b", -5), ("b", 12), ("c", None)]
+    rows = spark.createDataFrame(given, "key string, id bigint")
+    got = {r.key: r.id for r in ids.last_text(rows, "key", "id").collect()}
+    assert got == {"a": "9", "b": LARGEST, "c": None}
+
+
 def test_the_larger_id_is_the_last_event(rows):
     schema = (
         "id bigint, user_id bigint, sequence_number bigint, created_at timestamp_ntz, "
