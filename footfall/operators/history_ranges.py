@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from footfall.storage.files import shared_folder
 
 RANGE_ROWS = 1_000_000
+_TASK_BITS = 33  # of monotonically_increasing_id that count rows
 
 
 def _placed(facts: DataFrame, history: DataFrame, key: str, moment: str, columns: Sequence[str]):
@@ -47,27 +48,32 @@ def as_of_join_by_ranges(
     columns: Sequence[str],
     range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
-    """``as_of_join`` in ranges of about ``range_rows`` facts and versions.
+    """``as_of_join`` in ranges of ``range_rows`` facts and versions at most.
 
     The same rows as ``operators.history.as_of_join``, of versions that do not overlap. Facts
     with a NULL key or moment meet none. Rows pass two shuffles, and are written down in
-    between, since all steps must see the same ranges. What is computed for keys that reach
-    over several ranges has two rows per range at most.
+    between, since all steps must see the same ranges. A task sorts many ranges and cuts them
+    by row numbers, so that short ranges make no more tasks or files. What is computed for keys
+    that reach over several ranges has two rows per range at most.
     """
     spark = facts.sparkSession
     rows = _placed(facts, history, key, moment, columns)
-    n_ranges = max(1, -(-rows.count() // range_rows))
     order = ["key", "at", "kind", "salt"]
-    ranged = rows.repartitionByRange(n_ranges, *order)
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    # The upper bits of a row's number are the task's, the lower ones count its rows.
+    upper = F.shiftleft(F.shiftright("row", _TASK_BITS), _TASK_BITS)
+    lower = F.expr(f"(row & {(1 << _TASK_BITS) - 1}) div {range_rows}")
+    numbered = ranged.withColumn("row", F.monotonically_increasing_id())
     path = shared_folder(spark)
-    ranged.withColumn("part", F.spark_partition_id()).write.parquet(path)
-    placed = spark.read.schema(f"{_ddl(rows)}, part int").parquet(path)
+    numbered.withColumn("part", upper + lower).drop("row").write.parquet(path)
+    placed = spark.read.schema(f"{_ddl(rows)}, part bigint").parquet(path)
 
-    # Keys that reach over several ranges, and their last version in each.
-    reach = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-    wide = reach.where("low < high AND key IS NOT NULL").select("key")
+    # Keys that reach over several ranges begin one of them and end another.
+    ends = placed.groupBy("part").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    wide = ends.select(F.explode(F.array_distinct(F.array("low", "high"))).alias("key"))
+    wide = wide.where("key IS NOT NULL").groupBy("key").count().where("count > 1").select("key")
     last = F.max_by("version", F.when(F.col("kind") == 0, F.col("at")))
-    per_range = placed.join(wide, "key", "left_semi").groupBy("part", "key")
+    per_range = placed.join(F.broadcast(wide), "key", "left_semi").groupBy("part", "key")
     per_range = per_range.agg(last.alias("last"))
     earlier = Window.partitionBy("key").orderBy("part").rowsBetween(
         Window.unboundedPreceding, -1

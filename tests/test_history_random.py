@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
+from footfall.operators import history_ranges
 from footfall.operators.history import as_of, as_of_join, first_versions, merge_versions
 from footfall.operators.history_ranges import as_of_join_by_ranges
 from footfall.storage.history import read_history, update_snapshot
@@ -170,3 +173,22 @@ def test_a_key_that_is_hot_on_both_sides(spark):
     wrong = joined.where("status_as_of IS DISTINCT FROM cast((id % 100000) div 100 as string)")
     assert joined.count() == 1_000_000
     assert wrong.isEmpty()
+
+
+def test_short_ranges_make_no_more_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(history_ranges, "shared_folder", lambda spark: str(tmp_path / "placed"))
+    rows = spark.range(2000)
+    moment = F.expr("CAST('2024-01-01' AS timestamp_ntz) + make_dt_interval(0, 0, id)")
+    facts = rows.select((F.col("id") % 3).alias("order_id"), moment.alias("at"))
+    nothing = F.lit(None).cast("timestamp_ntz")
+    history = facts.limit(3).select(
+        "order_id", F.col("at").alias("valid_from"), nothing.alias("valid_to"), "at"
+    )
+    arguments = (facts, history, "order_id", "at", ["valid_from"])
+    got = as_of_join_by_ranges(*arguments, range_rows=5)
+    want = as_of_join(*arguments)
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+    placed = spark.read.parquet(str(tmp_path / "placed"))
+    assert placed.select("part").distinct().count() >= 400
+    assert placed.groupBy("part").count().where("count > 5").isEmpty()
+    assert len(list((tmp_path / "placed").glob("part-*"))) <= 8
