@@ -191,13 +191,14 @@ def write_table(df: DataFrame, name: str, target: str, mode: str = "append") ->
     if mode == "ignore" and exists:
         return
     layout = (list(table.partition_by), table.sort_by)
+    gained = partial(_days, table) if table.days else None
     if not exists and table.days:
-        rows, span = _first_rows(df, table, target)
+        rows, span, days = _first_rows(df, table, target)
+        gained = lambda _: days
     else:
         rows, span = df, grain.of(spark, target)
     marks = {grain.MARK: span} if table.days else {}
     laid_out = _laid_out(rows, table, span)
-    gained = partial(_days, table) if table.days else None
     if mode == "replace" and exists:
         replace_keys(spark, laid_out, target, table.key, *layout, gained)
     elif mode == "overwrite":
@@ -211,18 +212,20 @@ def _first(target: str) -> str:
     return f"{target.rstrip('/')}.first"
 
 
-def _first_rows(df: DataFrame, table: Table, target: str) -> tuple[DataFrame, str]:
-    """The rows of a new table, written down once, and the span that their bytes ask for."""
+def _first_rows(df: DataFrame, table: Table, target: str) -> tuple[DataFrame, str, list[str]]:
+    """The rows of a new table, written down once, the span their bytes ask for, and their days."""
     spark, staged = df.sparkSession, _first(target)
     df.write.mode("overwrite").parquet(staged)
     rows = spark.read.schema(df.schema).parquet(staged)
-    return rows, grain.chosen(files.size(spark, staged), len(_days(table, rows)))
+    days = _days(table, rows)
+    return rows, grain.chosen(files.size(spark, staged), len(days)), days
 
 
 def _days(table: Table, rows: DataFrame) -> list[str]:
     """The days of some rows, of which there are a few thousand at most."""
     (sql,) = table.days.values()
-    found = rows.select(F.expr(sql).cast("string").alias("day")).distinct()
+    # Days become text once each, and not once per row.
+    found = rows.select(F.expr(sql).alias("day")).distinct().select(F.col("day").cast("string"))
     return sorted(row.day for row in found.collect() if row.day is not None)
 
 

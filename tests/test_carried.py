@@ -242,6 +242,57 @@ def test_only_the_ranges_of_a_batch_are_read(spark, items, rows, tmp_path):
     assert [(r.order_id, r.order_value) for r in found.collect()] == [(15, (0, 30000))]
 
 
+def test_ranges_do_not_grow_with_the_ids(spark, items, rows, tmp_path, monkeypatch):
+    """A build cuts its ids into so many ranges, whose width later updates and reads go by."""
+    monkeypatch.setattr(order_values, "MOST_RANGES", 4)
+    path = str(tmp_path / "values")
+
+    def ranges():
+        return sorted(p.name for p in (tmp_path / "values").glob("order_range=*"))
+
+    items(*[(i, 10 * i, 1.5, f"2024-01-0{1 + i % 3}") for i in range(40)])
+    assert kept_values(spark, items, path) == all_values(spark, items)
+    assert ranges() == [f"order_range={i}" for i in range(4)]
+    items((3, 35, 2.5, "2024-01-01"), (39, 390, None, "2024-01-01"), mode="replace")
+    items((90, 450, 4.0, "2024-01-02"))
+    assert kept_values(spark, items, path) == all_values(spark, items)
+    assert ranges() == [f"order_range={i}" for i in range(5)]
+
+    for part in (tmp_path / "values").glob("order_range=2/**/*.parquet"):
+        part.write_bytes(b"gone")
+    wanted = rows("order_id bigint", (30,), (35,), (450,))
+    found = order_values.values_of(spark, path, wanted, span=10).collect()
+    assert sorted((r.order_id, r.order_value.low) for r in found) == [(35, 25000), (450, 40000)]
+
+
+def test_ranges_of_ids_far_apart_or_missing(spark, items, tmp_path):
+    path = str(tmp_path / "values")
+    items((1, -(2**63), 1.0, "2024-01-01"), (2, 2**63 - 1, 2.0, "2024-01-01"))
+    assert kept_values(spark, items, path, span=1) == all_values(spark, items)
+    items((3, None, 4.0, "2024-01-01"), (4, None, 1.0, "2024-01-02"), mode="overwrite")
+    assert kept_values(spark, items, path) == all_values(spark, items)
+
+
+def test_sums_without_a_noted_width_keep_their_ranges(spark, items, rows, tmp_path):
+    path = str(tmp_path / "values")
+    items((1, 1, 2.5, "2024-01-01"), (2, 15, 3.0, "2024-01-01"))
+    kept_values(spark, items, path)
+    files.delete(spark, f"{path}/{order_values.WIDTH}")
+    items((3, 15, 1.0, "2024-01-01"), (4, 999, 1.0, "2024-01-01"))
+    assert kept_values(spark, items, path) == all_values(spark, items)
+    assert {p.name[12:] for p in (tmp_path / "values").glob("order_range=*")} == {"0", "1", "99"}
+    found = order_values.values_of(spark, path, rows("order_id bigint", (999,)), span=10)
+    assert [r.order_id for r in found.collect()] == [999]
+
+
+def test_a_first_load_reads_its_days_once(spark, items, tmp_path, monkeypatch):
+    calls, days = [], csv._days
+    monkeypatch.setattr(csv, "_days", lambda *a: calls.append(1) or days(*a))
+    items((1, 1, 2.5, "2024-01-02"), (2, 1, 2.5, "2024-01-01"), (3, 1, 2.5, None))
+    assert len(calls) == 1
+    assert changes.since(spark, items.path, 0).gained == {"2024-01-01", "2024-01-02"}
+
+
 def test_a_day_does_not_read_all_items(spark, rows, tmp_path, monkeypatch):
     """From the second day on, spans of items without new rows are not opened."""
     monkeypatch.setattr(grain, "PARTITION_BYTES", 1)

@@ -4,6 +4,7 @@ import os
 import subprocess
 import sys
 from datetime import date
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql.types import StructType
@@ -276,3 +277,17 @@ def test_a_keyed_load_opens_only_what_the_index_names(spark, rows, tmp_path, mon
     others = [p.name for p in (tmp_path / "t").glob("part=*") if p.name != "part=z"]
     assert stored(*others) == sorted(want.values())
     assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_folders_of_rows_take_no_pattern(spark, tmp_path):
+    """The key of a whole table passes here; a pattern took most of the time of its index."""
+    path = str(tmp_path / "t=1" / "t")
+    df = spark.range(4).selectExpr("id", "'a=/b' AS x", "id % 2 AS y")
+    tables.write_partitioned(df, path, ["x", "y"])
+    stored = spark.read.parquet(path)
+    present = files.partitions(spark, path, 2)
+    for depth in (1, 2):
+        folder = key_index.folder_of(depth)
+        assert "regexp" not in str(folder)
+        found = {unquote(r[0]) for r in stored.select(folder).collect()}
+        assert found == {"/".join(name.split("/")[-depth:]) for name in present}
