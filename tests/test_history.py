@@ -112,6 +112,27 @@ def test_nothing_at_first(spark, rows, tmp_path):
     assert versions(history) == {(1, "Processing", DAY[2], None)}
 
 
+def test_many_changes_do_not_go_to_every_task(spark, tmp_path):
+    """A million sorted keys are a small file, by which Spark took them for a small table."""
+    path, number = str(tmp_path / "history"), 1_000_000
+    state = spark.range(number).selectExpr(
+        "id AS order_id",
+        "'P' AS status",
+        "CASE WHEN id % 5 > 0 THEN timestamp_ntz'2023-12-01' END AS created_at",
+        "timestamp_ntz'2024-01-01' AS updated_at",
+        "'' AS note",
+    )
+    record(spark, path, state, DAY[0])
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "8m")
+    try:
+        record(spark, path, state.withColumn("status", F.lit("C")), DAY[1])
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    history = read_history(spark, path, state.schema)
+    counts = history.groupBy("status", F.col("valid_to").isNull().alias("open")).count().collect()
+    assert {tuple(row) for row in counts} == {("P", False, number), ("C", True, number)}
+
+
 def test_rows_without_a_month(spark, rows, tmp_path):
     """NULL is a month like any other, for new orders, changed ones and moves from and to it."""
     path = str(tmp_path / "history")
