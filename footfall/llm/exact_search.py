@@ -44,6 +44,9 @@ SAMPLE = 2048  # vectors that pivots are chosen from
 PIVOTS = 32
 RING_ROWS = 1024  # of a ring, while there are at most RINGS of them
 RINGS = 1 << 16
+GROUPS = 64  # of rings, while the vectors of one take at most GROUP_BYTES
+GROUP_BYTES = 16 << 20
+GROUP_BITS = 20  # of a ring's number, below those of its group
 PACK_ROWS = 512  # queries that travel together
 GROWTH = 8  # times as many rings in the next round
 AT_ONCE = 1 << 20  # distances between queries and rings that are held at a time
@@ -66,9 +69,11 @@ _PACK = pa.schema(
 )
 _ASKED = pa.schema(
     [
-        ("ring", pa.int64()),
+        ("group", pa.int64()),
         ("pack", pa.int64()),
-        ("slots", pa.binary()),
+        ("rings", pa.list_(pa.int64())),
+        ("slots_of", pa.list_(pa.binary())),
+        ("members", pa.binary()),
         ("asking", pa.binary()),
         ("own", pa.binary()),
         ("queries", pa.binary()),
@@ -90,6 +95,7 @@ _FLOORS = "array<struct<slot: int, score: bigint>>"
 
 def _ddl(schema: pa.Schema) -> str:
     names = {pa.int64(): "long", pa.int32(): "int", pa.float64(): "double", pa.binary(): "binary"}
+    names |= {pa.list_(kind): f"array<{names[kind]}>" for kind in (pa.int64(), pa.binary())}
     return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
 
 
@@ -115,9 +121,11 @@ def index(vectors: DataFrame, shape: Shape, pivots: np.ndarray) -> DataFrame:
 
     Rows are dealt by ranges of pivot, distance and id, so that one vector that stands there
     very often is spread as well. With more than ``RINGS`` times ``RING_ROWS`` vectors rings
-    grow, so that the list of rings does not.
+    grow, so that the list of rings does not. The rings of a range make up a group.
     """
     size = max(RING_ROWS, -(-shape.rows // RINGS))
+    row = shape.size * shape.width + 16  # with id and distance
+    groups = max(GROUPS, -(-shape.rows * row // GROUP_BYTES))
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,7 +143,7 @@ def index(vectors: DataFrame, shape: Shape, pivots: np.ndarray) -> DataFrame:
             )
 
     def ring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 20
+        number = TaskContext.get().partitionId() << GROUP_BITS
         for piece in pieces(batches, "pivot", size):
             rows = from_byte_rows(piece.column("vector"), shape)
             far = piece.column("far").to_numpy()
@@ -157,7 +165,8 @@ def index(vectors: DataFrame, shape: Shape, pivots: np.ndarray) -> DataFrame:
         key, "pivot int, far double, vec_id long, wanted boolean, vector binary"
     )
     order = ["pivot", "far", "vec_id"]
-    dealt = keyed.repartitionByRange(max(1, -(-shape.rows // (4 * size))), *order)
+    parts = max(1, min(groups, -(-shape.rows // (4 * size))))
+    dealt = keyed.repartitionByRange(parts, *order)
     return kept(dealt.sortWithinPartitions(*order).mapInArrow(ring, _ddl(_RINGS)))
 
 
@@ -225,8 +234,13 @@ def _packed(rings: DataFrame, shape: Shape) -> DataFrame:
 def _asked(
     packs: DataFrame, shape: Shape, directory: Directory, first: int, last: int
 ) -> DataFrame:
-    """For the rings at places ``first`` to ``last``: the queries that they can serve."""
+    """For the rings at places ``first`` to ``last``: the queries that they can serve.
+
+    A pack's queries go once to each group of rings, with the slots that each ring serves.
+    """
     chunk = max(1, AT_ONCE // max(1, len(directory.ring)))
+    groups = directory.ring >> GROUP_BITS
+    cuts = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(groups)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,22 +257,42 @@ def _asked(
                     place, limit = directory.limits(rows[part])
                     open_ = limit >= floors[part, None]
                     asked[part] = open_ & (place >= first) & (place < last)
-                for ring in np.flatnonzero(asked.any(axis=0)):
-                    slots = np.flatnonzero(asked[:, ring])
+                for low, high in zip(cuts, cuts[1:], strict=False):
+                    rings = low + np.flatnonzero(asked[:, low:high].any(axis=0))
+                    if not len(rings):
+                        continue
+                    members = np.flatnonzero(asked[:, rings].any(axis=1))
                     yield record(
                         _ASKED,
-                        ring=[directory.ring[ring]],
+                        group=[groups[low]],
                         pack=[batch.column("pack")[i].as_py()],
-                        slots=[slots.tobytes()],
-                        asking=[ids[slots].tobytes()],
-                        own=[own[slots].tobytes()],
-                        queries=[rows[slots].tobytes()],
-                        floors=[floors[slots].tobytes()],
+                        rings=[directory.ring[rings]],
+                        slots_of=[[np.flatnonzero(asked[:, r]).tobytes() for r in rings]],
+                        members=[members.tobytes()],
+                        asking=[ids[members].tobytes()],
+                        own=[own[members].tobytes()],
+                        queries=[rows[members].tobytes()],
+                        floors=[floors[members].tobytes()],
                     )
 
     return packs.mapInArrow(run, _ddl(_ASKED))
 
 
+def _met(asked: DataFrame, content: DataFrame) -> DataFrame:
+    """Each ring with each pack that asks it, and in ``slots`` the queries that do.
+
+    Spark judges what is asked by the bytes of the packs, of which it is a multiple, and would
+    collect it in the driver to send it to every task. So both sides are sorted by group: a
+    task holds the rings of one group and goes through the packs.
+    """
+    place = F.array_position("rings", F.col("ring"))
+    rings = content.withColumn("group", F.shiftright("ring", GROUP_BITS))
+    each = asked.hint("merge").join(rings, "group")
+    each = each.withColumn("place", place.cast("int")).where("place > 0")
+    slots = F.element_at("slots_of", F.col("place"))
+    return each.withColumn("slots", slots).drop("group", "rings", "slots_of", "place")
+
+
 def _scored(pairs: DataFrame, shape: Shape, directory: Directory, k: int) -> DataFrame:
     """The best of each ring for each query that asks it."""
 
@@ -270,9 +304,11 @@ def _scored(pairs: DataFrame, shape: Shape, directory: Directory, k: int) -> Dat
     def best(x: dict) -> Iterator[pa.RecordBatch]:
         ids, far = longs(x["ids"]), np.frombuffer(x["far"], np.float64)
         vectors = matrix(x["vectors"], len(ids), shape)
-        slots, asking, floors = longs(x["slots"]), longs(x["asking"]), longs(x["floors"])
-        own = longs(x["own"]).reshape(-1, 2)
-        queries = matrix(x["queries"], len(slots), shape)
+        slots, members = longs(x["slots"]), longs(x["members"])
+        chosen = np.searchsorted(members, slots)
+        asking, floors = longs(x["asking"])[chosen], longs(x["floors"])[chosen]
+        own = longs(x["own"]).reshape(-1, 2)[chosen]
+        queries = matrix(x["queries"], len(members), shape)[chosen]
         away = _distances(queries, directory.pivots[x["pivot"], None])[:, 0]
         # How far from its own distance a query's k-th score lets it look.
         reach = squares(queries) + x["longest"] + 2.0 - 2.0 * floors
@@ -344,7 +380,7 @@ def nearest(
             full = best.where(F.col("rank") == k).groupBy("pack")
             full = full.agg(F.collect_list(F.struct("slot", "score")).alias("floors"))
             known = packs.join(full, "pack", "left")
-        pairs = _asked(known, shape, directory, first, last).join(content, "ring")
+        pairs = _met(_asked(known, shape, directory, first, last), content)
         found = _scored(pairs, shape, directory, k)
         if best is not None:
             found = found.unionByName(best.drop("rank"))

@@ -111,11 +111,14 @@ def leading(
 
     Scores below the row's ``floor`` are left out, and hidden ones.
     """
-    among = scores >= floor[:, None]
-    if scores.shape[1] > k:
-        place = scores.shape[1] - k
-        among &= scores >= np.partition(scores, place, axis=1)[:, place, None]
-    rows, columns = np.nonzero(among)
+    # Exact in the scores' own type, which holds all whole numbers up to the largest score.
+    among = scores >= floor.astype(scores.dtype)[:, None]
+    many = np.count_nonzero(among, axis=1) > k
+    if many.any():
+        which, place = slice(None) if many.all() else many, scores.shape[1] - k
+        some = scores[which]
+        among[which] &= some >= np.partition(some, place, axis=1)[:, place, None]
+    rows, columns = np.divmod(np.flatnonzero(among), scores.shape[1])
     order = np.lexsort((ids[columns], -scores[rows, columns], rows))
     rows, columns = rows[order], columns[order]
     top = np.arange(len(rows)) - np.searchsorted(rows, rows) < k

@@ -222,6 +222,25 @@ def test_search_in_small_rings(spark, monkeypatch):
     assert searched(df, 7, k=9, pivots=4) == plain_search(TABLES["copies"], 9, 7)
 
 
+def test_neither_queries_nor_rings_go_to_every_task(spark):
+    """Spark judges them by the bytes of files, and what is asked is a multiple of the packs."""
+    noise = F.transform(F.sequence(F.lit(1), F.lit(64)), lambda i: F.xxhash64("id", i) % 100 / 256)
+    df = spark.range(20_000).select(F.col("id").alias("vec_id"), noise.alias("embedding"))
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "1500k")
+    try:
+        got = searched(df, every=8)
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    points = np.floor(256 * np.array([r.embedding for r in df.orderBy("vec_id").collect()]))
+    assert [x[:2] for x in got] == [(i, n) for i in range(0, 20_000, 8) for n in range(1, 6)]
+    for at in range(0, len(got), 250):
+        query = got[at][0]
+        scores = points @ points[query]
+        scores[query] = -np.inf
+        best = np.argsort(-scores, kind="stable")[:5]
+        assert [x[2:] for x in got[at : at + 5]] == [(j, scores[j]) for j in best]
+
+
 def test_most_rings_are_never_read(spark, monkeypatch):
     """Groups that lie apart: the bounds leave out the rings of other groups."""
     monkeypatch.setattr(exact_search, "RING_ROWS", 32)
